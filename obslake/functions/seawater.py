@@ -171,10 +171,15 @@ class _Stages:
         self.df = self.df.withColumns({f"__{name}": column for name, column in new.items()})
 
     def finish(self, name: str, result: Column) -> DataFrame:
+        """The table with the result as a float column, NaN turned into null.
+
+        The one-element ``explode`` keeps a later filter on the result above it. Pushed
+        down, the filter would have all stages nested into it.
+        """
         self.add(result=result)
         others = [c for c in self.columns if c != name]
         kept = F.when(~F.isnan(self["result"]), self["result"].cast("float"))
-        return self.df.select(*others, kept.alias(name))
+        return self.df.select(*others, F.explode(F.array(kept)).alias(name))
 
 
 def absolute_salinity(psal: Column, anomaly: Column | None = None) -> Column:

@@ -43,7 +43,7 @@ def mode_of(
     parameter: str, parameters: Column, modes: Column, unset: str | None = "", strict: bool = True
 ) -> Column:
     """The mode listed for a parameter; where it is listed twice the last one counts."""
-    from_end = F.array_position(F.reverse(F.transform(parameters, F.trim)), parameter).cast("int")
+    from_end = F.array_position(F.reverse(F.transform(parameters, lambda name: F.trim(name))), parameter).cast("int")
     found = F.when(from_end > 0, F.get(modes, F.size(parameters) - from_end))
     code = short_code(found, strict)
     return F.coalesce(code, F.lit(unset)) if unset is not None else code
@@ -70,7 +70,7 @@ def spread_data_modes(
 
 def unknown_parameters(df: DataFrame, parameters: str = "PARAMETER") -> DataFrame:
     """Parameter names outside the raw vocabulary, with the number of profiles that list them."""
-    names = df.select(F.explode(F.array_distinct(F.transform(parameters, F.trim))).alias("parameter"))
+    names = df.select(F.explode(F.array_distinct(F.transform(parameters, lambda name: F.trim(name)))).alias("parameter"))
     known = vocab.parameters("BGC", raw=True)
     outside = names.where((F.col("parameter") != "") & ~F.col("parameter").isin(*known))
     return outside.groupBy("parameter").agg(F.count("*").alias("n_profiles"))

@@ -14,10 +14,17 @@ Transform = Callable[[DataFrame], DataFrame]
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files_per_batch: int = FILES_PER_BATCH,
+    fmt: str = "parquet",
+    names: str | None = None,
 ) -> DataFrame:
-    """The files under a path as a stream of bounded batches."""
+    """The files in a folder, or those whose names match a pattern, as a stream of bounded batches."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if names is not None:
+        reader = reader.option("pathGlobFilter", names)
     return reader.format(fmt).load(path)
 
 
