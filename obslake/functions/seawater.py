@@ -94,7 +94,7 @@ ENTHALPY_ROWS = {
 # --- end of fixed values ------------------------------------------------------------
 
 
-Term = float | Column
+Term = float | str
 
 
 def specific_volume_terms() -> dict[tuple[int, ...], float]:
@@ -107,12 +107,16 @@ def dense(terms: Mapping[int, Term]) -> list[Term]:
     return [terms.get(power, 0.0) for power in range(max(terms) + 1)]
 
 
-def horner(coefficients: Sequence[Term], at: Column) -> Column:
-    """The polynomial with these coefficients, lowest power first."""
-    terms = [F.lit(c) if isinstance(c, float) else c for c in coefficients]
-    total = terms[-1]
-    for given, term in zip(reversed(coefficients[:-1]), reversed(terms[:-1])):
-        total = total * at if isinstance(given, float) and given == 0.0 else total * at + term
+def _text(term: Term) -> str:
+    return f"({term!r}D)" if isinstance(term, float) else f"({term})"
+
+
+def horner(coefficients: Sequence[Term], at: str) -> str:
+    """The polynomial with these coefficients, lowest power first, as an expression."""
+    *lower, top = coefficients
+    total = _text(top)
+    for term in reversed(lower):
+        total = f"({total} * {at})" if term == 0.0 else f"({total} * {at} + {_text(term)})"
     return total
 
 
@@ -145,41 +149,42 @@ def standard_volume_row() -> list[float]:
     return dense(by_z)
 
 
-def _number(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("double"), F.lit(float("nan")))
+def _number(column: str) -> str:
+    return f"coalesce(cast(`{column}` as double), double('NaN'))"
 
 
-def _ratio(numerator: Column, denominator: Column) -> Column:
-    return F.coalesce(F.try_divide(numerator, denominator), F.lit(float("nan")))
+def _ratio(numerator: str, denominator: str) -> str:
+    return f"coalesce(try_divide({numerator}, {denominator}), double('NaN'))"
 
 
 class _Stages:
     """Adds intermediate results to a table, one projection at a time, and takes them out at the end.
 
     Nested into one expression, every use of an intermediate result would repeat all of
-    its arithmetic.
+    its arithmetic. The expressions are SQL text, since a Column would need a call into
+    the JVM for each of some hundred steps.
     """
 
-    def __init__(self, df: DataFrame):
-        self.columns = list(df.columns)
-        self.df = df
-
-    def __getitem__(self, name: str) -> Column:
-        return F.col(f"__{name}")
+    def __init__(self, df: DataFrame, **inputs: str):
+        self.columns = [f"`{c}`" for c in df.columns]
+        self.names = list(inputs)
+        self.df = df.selectExpr(*self.columns, *[f"{_number(c)} as __{n}" for n, c in inputs.items()])
 
-    def add(self, **new: Column) -> None:
-        self.df = self.df.withColumns({f"__{name}": column for name, column in new.items()})
+    def add(self, **new: str) -> None:
+        kept = [f"__{n}" for n in self.names if n not in new]
+        self.df = self.df.selectExpr(*self.columns, *kept, *[f"{e} as __{n}" for n, e in new.items()])
+        self.names = [*dict.fromkeys([*self.names, *new])]
 
-    def finish(self, name: str, result: Column) -> DataFrame:
+    def finish(self, name: str, result: str) -> DataFrame:
         """The table with the result as a float column, NaN turned into null.
 
         The one-element ``explode`` keeps a later filter on the result above it. Pushed
         down, the filter would have all stages nested into it.
         """
         self.add(result=result)
-        others = [c for c in self.columns if c != name]
-        kept = F.when(~F.isnan(self["result"]), self["result"].cast("float"))
-        return self.df.select(*others, F.explode(F.array(kept)).alias(name))
+        others = [c for c in self.columns if c != f"`{name}`"]
+        value = "case when not isnan(__result) then cast(__result as float) end"
+        return self.df.selectExpr(*others, f"explode(array({value})) as `{name}`")
 
 
 def absolute_salinity(psal: Column, anomaly: Column | None = None) -> Column:
@@ -195,54 +200,52 @@ def with_conservative_temperature(df: DataFrame, name: str, sa: str, temperature
     Potential temperature at the surface is where the entropy equals that of the sample.
     It is found by two rounds of a Newton step that takes the slope half-way.
     """
-    s = _Stages(df)
-    s.add(sa=_number(sa), t=_number(temperature), p=_number(pressure))
+    s = _Stages(df, sa=sa, t=temperature, p=pressure)
     s.add(
-        x=F.sqrt(s["sa"] * F.lit(SALINITY_SCALE)),
-        y=s["t"] * F.lit(0.025),
-        z=s["p"] * F.lit(1e-4),
-        u=s["sa"] * F.lit(35 / SSO),
+        x=f"sqrt(__sa * {SALINITY_SCALE}D)",
+        y="__t * 0.025D",
+        z="__p * 1e-4D",
+        u=f"__sa * {35 / SSO}D",
     )
 
     # The sample's entropy, by power of x, and the first guess of the temperature.
-    by_x: dict[int, dict[int, Column]] = {}
+    by_x: dict[int, dict[int, str]] = {}
     for (i, j), by_z in ENTROPY_ROWS.items():
-        by_x.setdefault(i, {})[j] = horner(by_z, s["z"])
-    warming = horner([-8.38241357039698e-6, 1.77803965218656e-8], s["t"])
-    warming = warming + s["u"] * F.lit(2.83933368585534e-8) + s["p"] * F.lit(1.71155619208233e-10)
-    haline = horner([8.65483913395442e-6, -1.41636299744881e-6], s["u"])
-    guess = s["t"] + s["p"] * (haline - s["p"] * F.lit(7.38286467135737e-9) + s["t"] * warming)
-    s.add(q=guess, **{f"e{i}": horner(dense(row), s["y"]) for i, row in by_x.items()})
+        by_x.setdefault(i, {})[j] = horner(by_z, "__z")
+    warming = horner([-8.38241357039698e-6, 1.77803965218656e-8], "__t")
+    warming = f"({warming} + __u * 2.83933368585534e-8D + __p * 1.71155619208233e-10D)"
+    haline = horner([8.65483913395442e-6, -1.41636299744881e-6], "__u")
+    guess = f"__t + __p * ({haline} - __p * 7.38286467135737e-9D + __t * {warming})"
+    s.add(q=guess, **{f"e{i}": horner(dense(row), "__y") for i, row in by_x.items()})
 
     surface = surface_entropy_rows()
-    top = max(surface)
-    dilution = horner([0.95, 0.05 / SSO], s["sa"])
+    dilution = horner([0.95, 0.05 / SSO], "__sa")
     s.add(
-        y=s["q"] * F.lit(0.025),
-        target=horner(dense({i: s[f"e{i}"] for i in by_x}), s["x"]),
-        slope=_ratio(F.lit(-HEAT_CAPACITY / 0.025**2), (s["q"] + F.lit(ZERO_CELSIUS)) * dilution),
-        **{f"a{j}": horner(dense(row), s["x"]) for j, row in surface.items()},
+        y="__q * 0.025D",
+        target=horner(dense({i: f"__e{i}" for i in by_x}), "__x"),
+        slope=_ratio(f"{-HEAT_CAPACITY / 0.025**2}D", f"(__q + {ZERO_CELSIUS}D) * {dilution}"),
+        **{f"a{j}": horner(dense(row), "__x") for j, row in surface.items()},
     )
-    entropy = dense({j: s[f"a{j}"] for j in surface})
-    entropy_slope = [s[f"a{j}"] * F.lit(float(j)) for j in range(1, top + 1)]
+    entropy = dense({j: f"__a{j}" for j in surface})
+    entropy_slope = [f"__a{j} * {float(j)}D" for j in range(1, max(surface) + 1)]
     for _ in range(2):
-        s.add(gap=horner(entropy, s["y"]) - s["target"])
-        s.add(middle=s["y"] - _ratio(s["gap"], s["slope"]) * F.lit(0.5))
-        s.add(slope=horner(entropy_slope, s["middle"]))
-        s.add(y=s["y"] - _ratio(s["gap"], s["slope"]))
+        s.add(gap=f"{horner(entropy, '__y')} - __target")
+        s.add(middle=f"__y - {_ratio('__gap', '__slope')} * 0.5D")
+        s.add(slope=horner(entropy_slope, "__middle"))
+        s.add(y=f"__y - {_ratio('__gap', '__slope')}")
 
-    enthalpy = {i: horner(row, s["y"]) for i, row in ENTHALPY_ROWS.items()}
-    return s.finish(name, horner(dense(enthalpy), s["x"]) * F.lit(1 / HEAT_CAPACITY))
+    enthalpy = {i: horner(row, "__y") for i, row in ENTHALPY_ROWS.items()}
+    return s.finish(name, f"{horner(dense(enthalpy), '__x')} * {1 / HEAT_CAPACITY}D")
 
 
 def with_sigma1(df: DataFrame, name: str, sa: str, ct: str) -> DataFrame:
     """Add the potential density anomaly at 1000 dbar from absolute salinity and conservative temperature."""
-    s = _Stages(df)
-    s.add(sa=_number(sa), ct=_number(ct))
-    s.add(x=F.sqrt(horner([SALINITY_OFFSET, SALINITY_SCALE], s["sa"])), y=s["ct"] * F.lit(0.025))
-    s.add(**{f"v{j}": horner(row, s["x"]) for j, row in enumerate(sigma1_rows())})
-    s.add(v=horner([s[f"v{j}"] for j in range(len(sigma1_rows()))], s["y"]))
-    return s.finish(name, _ratio(F.lit(1.0), s["v"]) - F.lit(1000.0))
+    rows = sigma1_rows()
+    s = _Stages(df, sa=sa, ct=ct)
+    s.add(x=f"sqrt({horner([SALINITY_OFFSET, SALINITY_SCALE], '__sa')})", y="__ct * 0.025D")
+    s.add(**{f"v{j}": horner(row, "__x") for j, row in enumerate(rows)})
+    s.add(v=horner([f"__v{j}" for j in range(len(rows))], "__y"))
+    return s.finish(name, f"{_ratio('1.0D', '__v')} - 1000.0D")
 
 
 def with_pressure(df: DataFrame, name: str, depth: str, latitude: str) -> DataFrame:
@@ -253,12 +256,15 @@ def with_pressure(df: DataFrame, name: str, depth: str, latitude: str) -> DataFr
     volume = standard_volume_row()
     height = [0.0] + [1e8 * v / (j + 1) for j, v in enumerate(volume)]
     slope = [1e4 * v for v in volume]
-    s = _Stages(df)
-    s.add(h=-_number(depth), sine=F.sin(F.radians(_number(latitude))))
-    s.add(ss=s["sine"] * s["sine"])
-    s.add(gravity=horner([1.0, 5.2792e-3, 2.32e-5], s["ss"]) * F.lit(9.780327), c=horner([1 - 5.92e-3, -5.25e-3], s["ss"]))
-    s.add(p=_ratio(s["h"] * F.lit(-2.0), s["c"] + F.sqrt(s["c"] * s["c"] + s["h"] * F.lit(8.84e-6))))
-    potential = s["h"] * s["gravity"] * horner([1.0, -0.5 * 2.26e-7], s["h"])
-    s.add(gap=horner(height, s["p"] * F.lit(1e-4)) + potential)
-    s.add(middle=s["p"] - _ratio(s["gap"], horner(slope, s["p"] * F.lit(1e-4))) * F.lit(0.5))
-    return s.finish(name, s["p"] - _ratio(s["gap"], horner(slope, s["middle"] * F.lit(1e-4))))
+    s = _Stages(df, depth=depth, latitude=latitude)
+    s.add(h="-__depth", sine="sin(radians(__latitude))")
+    s.add(ss="__sine * __sine")
+    s.add(
+        gravity=f"{horner([1.0, 5.2792e-3, 2.32e-5], '__ss')} * 9.780327D",
+        c=horner([1 - 5.92e-3, -5.25e-3], "__ss"),
+    )
+    s.add(p=_ratio("__h * -2.0D", "__c + sqrt(__c * __c + __h * 8.84e-6D)"))
+    potential = f"__h * __gravity * {horner([1.0, -0.5 * 2.26e-7], '__h')}"
+    s.add(gap=f"{horner(height, '(__p * 1e-4D)')} + {potential}")
+    s.add(middle=f"__p - {_ratio('__gap', horner(slope, '(__p * 1e-4D)'))} * 0.5D")
+    return s.finish(name, f"__p - {_ratio('__gap', horner(slope, '(__middle * 1e-4D)'))}")

@@ -52,7 +52,9 @@ def add_derived(
     ratio = None
     if atlas is not None:
         df, ratio = with_anomaly(df, atlas, grid), F.col("__anomaly")
-    df = df.withColumn(sa, seawater.absolute_salinity(F.col("PSAL"), ratio)).drop("__anomaly")
+    # Like the stages that follow it, the result is kept apart by a one-element explode.
+    salinity = F.explode(F.array(seawater.absolute_salinity(F.col("PSAL"), ratio)))
+    df = df.select(*[c for c in df.columns if c not in (sa, "__anomaly")], salinity.alias(sa))
     df = seawater.with_conservative_temperature(df, ct, sa, "TEMP", "PRES")
     return seawater.with_sigma1(df, sigma1, sa, ct)
 

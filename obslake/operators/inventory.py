@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from obslake.functions import geo, text, times
 from obslake.operators.ranking import with_position
+from obslake.session import written
 
 # Endings of the per-platform files, and the limit on batches.
 PLATFORM_FILE_ENDING = {"bgc": "_Sprof.nc", "phy": "_prof.nc"}
@@ -198,15 +200,17 @@ def fetch_actions(
 def assign_batches(plan: DataFrame, batches: int, key: str = "filepath_main") -> DataFrame:
     """Add ``batch_id`` from 0: runs of consecutive keys, all of one size but the last.
 
-    At most 100 batches and at most one per row. The positions are computed without
-    sorting the whole plan in one task.
+    At most 100 batches and at most one per row. The plan is stored once, then the
+    positions are computed without sorting all of it in one task.
     """
     if batches < 1:
         raise ValueError("at least one batch")
-    total = plan.agg(F.count("*")).scalar()
-    size = F.ceil(F.try_divide(total, F.least(F.lit(min(batches, MAX_BATCHES)), total)))
-    placed = with_position(plan, key, "__position")
-    return placed.withColumn("batch_id", F.floor((F.col("__position") - 1) / size).cast("int")).drop("__position")
+    stored = written(plan, "fetch-plan")
+    total = stored.count()
+    size = math.ceil(total / max(1, min(batches, MAX_BATCHES, total)))
+    placed = with_position(stored, key, "__position")
+    batch = F.floor((F.col("__position") - 1) / F.lit(max(1, size)))
+    return placed.withColumn("batch_id", batch.cast("int")).drop("__position")
 
 
 def load_failures(manifest: DataFrame, loaded: DataFrame, key: str = "input_file") -> DataFrame:

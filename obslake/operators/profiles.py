@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from obslake import vocab
 from obslake.functions.text import short_code
-from obslake.operators.standardize import reindex
+from obslake.operators.standardize import typed_null
 
 CALIBRATION = "parameters differ between calibrations"
 LONG_MODE = "data mode longer than one letter"
@@ -32,8 +32,9 @@ def flatten_profiles(df: DataFrame, levels: Sequence[str] | None = None, keep: S
     given); shorter arrays end in nulls. ``keep`` are the per-profile columns to repeat.
     """
     known = set(vocab.raw_columns("BGC")) | set(vocab.raw_columns("PHY"))
-    arrays = list(levels) if levels is not None else [c for c in array_columns(df) if c in known]
-    scalars = list(keep) if keep is not None else [c for c in df.columns if c not in array_columns(df) and c in known]
+    present, columns = array_columns(df), df.columns
+    arrays = list(levels) if levels is not None else [c for c in present if c in known]
+    scalars = list(keep) if keep is not None else [c for c in columns if c in known and c not in present]
     zipped = F.arrays_zip(*[F.col(c) for c in arrays])
     spread = df.select(*scalars, F.posexplode(zipped).alias("N_LEVELS", "__level"))
     return spread.select(*scalars, "N_LEVELS", *[F.col("__level").getField(c).alias(c) for c in arrays])
@@ -117,6 +118,11 @@ def raw_table(profiles: DataFrame, profile: str) -> DataFrame:
     """Sound profiles to the raw table: modes spread for BGC, flattened, all raw columns in order and type."""
     modes = vocab.profile_type(profile) == "BGC" and "PARAMETER_DATA_MODE" in profiles.columns
     spread = spread_data_modes(profiles) if modes else profiles
-    schema = vocab.raw_schema(profile)
-    flat = reindex(flatten_profiles(spread), schema)
-    return flat.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    flat = flatten_profiles(spread)
+    present = set(flat.columns)
+    return flat.select(
+        *[
+            (F.col(f.name).cast(f.dataType) if f.name in present else typed_null(f.dataType)).alias(f.name)
+            for f in vocab.raw_schema(profile).fields
+        ]
+    )

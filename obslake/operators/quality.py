@@ -84,26 +84,35 @@ def has_best_value(parameter: str, mode: str) -> Column:
     return _adjusted_counts(parameter, mode) | _realtime_counts(parameter, mode)
 
 
-def best_value(parameter: str, mode: str) -> list[Column]:
-    """Value, flag and error: the adjusted ones, else the real-time ones, else nulls.
+def _choice(parameter: str, mode: str) -> Column:
+    """Which of its values a parameter keeps: the adjusted, else the real-time one, else null for none.
 
     A condition that is null because a flag or the mode is counts as not met.
     """
-    adjusted, realtime = _adjusted_counts(parameter, mode), _realtime_counts(parameter, mode)
+    realtime = F.when(_realtime_counts(parameter, mode), F.lit("R"))
+    return F.when(_adjusted_counts(parameter, mode), F.lit("A")).otherwise(realtime)
 
-    def choose(adjusted_name: str, realtime_name: str | None) -> Column:
-        choice = F.when(adjusted, F.col(adjusted_name))
-        return choice if realtime_name is None else choice.when(realtime, F.col(realtime_name))
+
+def _chosen(parameter: str, choice: str) -> list[Column]:
+    """Value, flag and error that go with the choice; real-time values have no error."""
+    adjusted, realtime = F.col(choice) == "A", F.col(choice) == "R"
+
+    def pick(suffix: str) -> Column:
+        return F.when(adjusted, F.col(f"{parameter}_ADJUSTED{suffix}")).when(realtime, F.col(parameter + suffix))
 
     return [
-        choose(f"{parameter}_ADJUSTED", parameter).cast("float").alias(parameter),
-        choose(f"{parameter}_ADJUSTED_QC", f"{parameter}_QC").cast("smallint").alias(f"{parameter}_QC"),
-        choose(f"{parameter}_ADJUSTED_ERROR", None).cast("float").alias(f"{parameter}_ERROR"),
+        pick("").cast("float").alias(parameter),
+        pick("_QC").cast("smallint").alias(f"{parameter}_QC"),
+        F.when(adjusted, F.col(f"{parameter}_ADJUSTED_ERROR")).cast("float").alias(f"{parameter}_ERROR"),
     ]
 
 
 def best_values(df: DataFrame, profile: str, parameters: Sequence[str] | None = None) -> DataFrame:
-    """Replace value, flag and adjusted columns of each parameter by the best value, in one projection."""
+    """Replace value, flag and adjusted columns of each parameter by the best value, flag and error.
+
+    The choice is made once per parameter and used three times. Spark keeps the two
+    projections apart and so does not repeat its conditions.
+    """
     names = list(parameters) if parameters is not None else flagged_parameters(df.columns)
     replaced = {
         name + suffix
@@ -111,8 +120,9 @@ def best_values(df: DataFrame, profile: str, parameters: Sequence[str] | None =
         for suffix in ("", "_QC", "_ERROR", "_ADJUSTED", "_ADJUSTED_QC", "_ADJUSTED_ERROR")
     }
     others = [c for c in df.columns if c not in replaced]
-    best = [column for name in names for column in best_value(name, mode_column(name, profile))]
-    return df.select(*others, *best)
+    choices = {name: f"__choice_{name}" for name in names}
+    chosen = df.withColumns({choices[name]: _choice(name, mode_column(name, profile)) for name in names})
+    return chosen.select(*others, *[c for name in names for c in _chosen(name, choices[name])])
 
 
 def _located() -> Column:

@@ -29,14 +29,16 @@ def with_position(df: DataFrame, key: str, position: str = "position") -> DataFr
     """Add the row's 1-based position in the order of a unique, non-null ``key``.
 
     Rows are put in about a thousand key ranges, numbered within their range, and shifted
-    by the size of the ranges before it. The range sizes are one small row each.
+    by the size of the ranges before it. The range sizes are one small row each. The table
+    is used three times, for the boundaries, the sizes and the rows: give a stored one.
     """
     bounded = df.withColumn("__b", _bucket_boundaries(df, key).scalar())
     reached = F.size(F.filter("__b.coarse", lambda b: b <= F.col(key)))
     coarse = bounded.withColumn("__start", reached * F.lit(FANOUT))
     in_range = F.slice("__b.fine", F.col("__start") + F.lit(1), F.lit(FANOUT))
     bucket = F.col("__start") + F.size(F.filter(in_range, lambda b: b <= F.col(key)))
-    ranged = coarse.withColumn("__bucket", bucket).drop("__b", "__start")
+    # Declared non-null, or the join below would test it for null inside the scan.
+    ranged = coarse.withColumn("__bucket", F.coalesce(bucket, F.lit(0))).drop("__b", "__start")
     sizes = ranged.groupBy("__bucket").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     # At most FANOUT * FANOUT + FANOUT rows: safe to sort in one task and to broadcast.

@@ -22,7 +22,8 @@ def typed_null(dtype: T.DataType) -> Column:
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename the columns that are there."""
-    return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns})
+    present = set(df.columns)
+    return df.withColumnsRenamed({old: new for old, new in names.items() if old in present})
 
 
 def harmonise_aliases(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
@@ -69,7 +70,8 @@ def restrict_domains(df: DataFrame) -> DataFrame:
     """Null out enumerated values outside their domain: data modes, directions and sources."""
     domains: dict[str, Sequence[str]] = {c: vocab.DATA_MODES for c in df.columns if "DATA_MODE" in c}
     domains |= {"DIRECTION": vocab.DIRECTIONS, "DB_NAME": tuple(vocab.SOURCES)}
-    return df.withColumns({c: domain_column(c, allowed) for c, allowed in domains.items() if c in df.columns})
+    present = set(df.columns)
+    return df.withColumns({c: domain_column(c, allowed) for c, allowed in domains.items() if c in present})
 
 
 def null_for_nan(df: DataFrame, sentinels: Sequence[float] = ()) -> DataFrame:

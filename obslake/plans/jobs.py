@@ -6,6 +6,7 @@ Run one with ``python -m obslake.plans.jobs <job> …`` or under ``spark-submit`
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -27,10 +28,19 @@ _STANDARDIZERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
 
 
 def to_lake(df: DataFrame, source: str, profile: str, add_derived: bool = False) -> DataFrame:
-    """A source's table in the lake's form, with derived variables if asked for."""
+    """A source's table in the lake's form, with derived variables if asked for.
+
+    The rows that go into the derived variables are counted on the way, as the observed
+    metric ``lake_rows…`` for query listeners. The counting also separates the two parts:
+    each gets generated code of its own, and the long one of a BGC table does not keep the
+    other from being compiled.
+    """
     vocab.source(source)
     lake = _STANDARDIZERS[source](df, vocab.profile_type(profile))
-    return derived.add_derived(lake) if add_derived else lake
+    if not add_derived:
+        return lake
+    counted = lake.observe(f"lake_rows_{source}_{profile}_{uuid.uuid4().hex}", F.count("*").alias("n_rows"))
+    return derived.add_derived(counted)
 
 
 def read_source(spark: SparkSession, paths: str | Sequence[str], source: str) -> DataFrame:
