@@ -40,33 +40,30 @@ def flatten_profiles(df: DataFrame, levels: Sequence[str] | None = None, keep: S
     return spread.select(*scalars, "N_LEVELS", *[F.col("__level").getField(c).alias(c) for c in arrays])
 
 
-def mode_of(
-    parameter: str, parameters: Column, modes: Column, unset: str | None = "", strict: bool = True
-) -> Column:
-    """The mode listed for a parameter; where it is listed twice the last one counts."""
-    from_end = F.array_position(F.reverse(F.transform(parameters, lambda name: F.trim(name))), parameter).cast("int")
-    found = F.when(from_end > 0, F.get(modes, F.size(parameters) - from_end))
-    code = short_code(found, strict)
-    return F.coalesce(code, F.lit(unset)) if unset is not None else code
-
-
 def spread_data_modes(
     df: DataFrame,
     parameters: str = "PARAMETER",
     modes: str = "PARAMETER_DATA_MODE",
     names: Sequence[str] | None = None,
-    unset: str | None = "",
+    unset: str = "",
     strict: bool = True,
 ) -> DataFrame:
     """Add ``<parameter>_DATA_MODE`` for each parameter of the raw vocabulary (or each of ``names``).
 
-    Parameters the vocabulary does not know are skipped; ``unknown_parameters`` lists them.
-    A mode longer than one letter is an error, or counts as unset if not ``strict``.
+    Where a parameter is listed twice its last mode counts. Parameters the vocabulary does
+    not know are skipped; ``unknown_parameters`` lists them. A mode longer than one letter
+    is an error, or counts as unset if not ``strict``.
     """
     names = vocab.parameters("BGC", raw=True) if names is None else names
-    return df.withColumns(
-        {f"{n}_DATA_MODE": mode_of(n, F.col(parameters), F.col(modes), unset, strict) for n in names}
+    own = [c for c in df.columns if c not in {f"{n}_DATA_MODE" for n in names}]
+    codes = F.transform(F.slice(modes, F.lit(1), F.size(parameters)), lambda m: short_code(m, strict))
+    # The names are turned round so that the first position found is the last one listed.
+    lists = df.withColumns(
+        {"__names": F.reverse(F.transform(parameters, lambda name: F.trim(name))), "__modes": codes}
     )
+    listed = "get(__modes, size(__names) - cast(array_position(__names, '{n}') as int))"
+    spread = [f"coalesce({listed.format(n=n)}, '{unset}') as {n}_DATA_MODE" for n in names]
+    return lists.selectExpr(*[f"`{c}`" for c in own], *spread)
 
 
 def unknown_parameters(df: DataFrame, parameters: str = "PARAMETER") -> DataFrame:
