@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The text forms times come in.
-ISO_MINUTES = "yyyy-MM-dd'T'HH:mm[:ss]X"
+ISO_MINUTES = "yyyy-MM-dd'T'HH:mm[:ss]XXX"
 COMPACT_SECONDS = "yyyyMMddHHmmss"
 
 

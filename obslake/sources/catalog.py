@@ -68,7 +68,8 @@ def discover(spark: SparkSession, root: str, sources: str | Iterable[str] | None
 
 def save_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
     """Write a schema beside the data of a table."""
-    row = spark.createDataFrame([(schema.json(),)], "value string")
+    stored = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    row = spark.createDataFrame([(stored.json(),)], "value string")
     row.coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}")
 
 

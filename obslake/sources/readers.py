@@ -55,33 +55,44 @@ def source_csv_schema(source: str, header: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.DoubleType() if c in numeric else T.StringType()) for c in header])
 
 
-def read_csv(
-    spark: SparkSession, path: str, source: str, rejects: bool = False
-) -> DataFrame | tuple[DataFrame, DataFrame]:
+def _resolve(path: str, source: str) -> str:
+    """The source's usual file, where only a folder is given."""
+    if not path.endswith("/"):
+        return path
+    default = vocab.source(source).default_file
+    if default is None:
+        raise ValueError(f"{source} has no default file name; name one")
+    return path + default
+
+
+def read_csv(spark: SparkSession, path: str, source: str, check: bool = False) -> DataFrame:
     """A delimited file with a header, without a pass to infer types.
 
-    A missing, an empty and a malformed file raise ``FileNotFoundError``, ``EmptyFileError``
-    and ``UnreadableFileError``; a malformed row is found when the table is used. With
-    ``rejects`` malformed rows come as a second table instead, with the file they are in.
+    A missing and an empty file raise ``FileNotFoundError`` and ``EmptyFileError``. A
+    malformed row fails the query that meets it; with ``check`` the rows are looked
+    through first and the error is ``UnreadableFileError``.
     """
-    if path.endswith("/"):
-        default = vocab.source(source).default_file
-        if default is None:
-            raise ValueError(f"{source} has no default file name; name one")
-        path = path + default
+    path = _resolve(path, source)
     schema = source_csv_schema(source, _header(spark, path))
-    if not rejects:
-        return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
-    marked = schema.add(CORRUPT, T.StringType())
-    table = spark.read.schema(marked).csv(
-        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
-    )
+    if check:
+        first = read_csv_with_rejects(spark, path, source)[1].first()
+        if first is not None:
+            raise UnreadableFileError(f"{path}: {first['row']}")
+    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """The well-formed rows of a delimited file, and its malformed rows with the file they are in."""
+    path = _resolve(path, source)
+    marked = source_csv_schema(source, _header(spark, path)).add(CORRUPT, T.StringType())
+    table = spark.read.schema(marked).csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
     # All columns are listed with the mark, since Spark parses only the columns a query uses.
     everything = table.select("*", F.col("_metadata.file_path").alias("input_file"))
     bad = F.col(CORRUPT).isNotNull()
-    good_rows = everything.where(~bad).drop(CORRUPT, "input_file")
-    bad_rows = everything.where(bad).select("input_file", F.col(CORRUPT).alias("row"), F.lit("malformed").alias("reason"))
-    return good_rows, bad_rows
+    return (
+        everything.where(~bad).drop(CORRUPT, "input_file"),
+        everything.where(bad).select("input_file", F.col(CORRUPT).alias("row"), F.lit("malformed").alias("reason")),
+    )
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -53,4 +53,6 @@ def closed_hours(stream: DataFrame, delay: str = "1 day", time: str = "arrived",
     An hour is given out ``delay`` after its end; what comes later than that is not in it.
     Use ``watch`` where nothing may be left out.
     """
-    return hourly_counts(stream.withWatermark(time, delay), time, failed)
+    zoned = stream.withColumn(time, F.col(time).cast("timestamp"))  # watermarks need this type
+    counted = hourly_counts(zoned.withWatermark(time, delay), time, failed)
+    return counted.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
