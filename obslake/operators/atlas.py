@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_POINTS = 1_000_000
+from obslake.operators.joins import join_listed
+from obslake.session import written
 
 # The corners of a cell, in steps east and north of its south-west corner.
 _CORNERS = ((0, 0), (1, 0), (0, 1), (1, 1))
@@ -68,17 +69,15 @@ def atlas_cells(atlas: DataFrame, grid: Grid = Grid()) -> DataFrame:
 def with_anomaly(df: DataFrame, atlas: DataFrame, grid: Grid = Grid()) -> DataFrame:
     """Add ``__anomaly``, the ratio at each row's place and pressure; null outside the atlas.
 
-    The cells are broadcast only if the atlas is counted to be small, so that the
-    observations are not shuffled; a larger atlas is joined on the cell.
+    The cells are broadcast if there are few enough, so that the observations are not
+    shuffled; those of a larger atlas are joined on the cell.
     """
     cells = atlas_cells(atlas, grid).withColumnsRenamed({"i": "__i", "j": "__j", "levels": "__levels"})
-    if atlas.limit(MAX_BROADCAST_POINTS + 1).count() <= MAX_BROADCAST_POINTS:
-        cells = F.broadcast(cells)
     own = list(df.columns)
     placed = df.withColumns(
         {"__east": grid.steps_east(F.col("LONGITUDE")), "__north": grid.steps_north(F.col("LATITUDE"))}
     ).withColumns({"__i": F.floor("__east").cast("int"), "__j": F.floor("__north").cast("int")})
-    joined = placed.join(cells, ["__i", "__j"], "left")
+    joined = join_listed(placed, written(cells, "atlas-cells"), ["__i", "__j"], "left")
 
     # The levels on both sides of the pressure; beyond either end the end level counts.
     top, bottom = F.get("__levels", F.lit(0))["pressure"], F.try_element_at("__levels", F.lit(-1))["pressure"]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.functions import geo, text, times
+from obslake.operators.joins import join_listed
 from obslake.operators.ranking import with_position
 from obslake.session import written
 
@@ -73,7 +74,8 @@ def subset_index(
         for sensor in [sensors] if isinstance(sensors, str) else sensors:
             wanted = wanted & text.has_sensor(F.col("parameters"), sensor, sensor_match)
     if isinstance(platforms, DataFrame):
-        return index.where(wanted).join(platforms.select("wmoid"), "wmoid", "left_semi").select(index.columns)
+        listed = platforms.select("wmoid").distinct()
+        return join_listed(index.where(wanted), listed, "wmoid", "left_semi").select(index.columns)
     if platforms is not None:
         wanted = wanted & F.col("wmoid").isin(*([platforms] if isinstance(platforms, int) else platforms))
     return index.where(wanted)

@@ -1,0 +1,19 @@
+"""Joins of a large table with a list that is usually, but not surely, small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def join_listed(large: DataFrame, listed: DataFrame, on: str | list[str], how: str) -> DataFrame:
+    """Join with a list of short rows, one per key.
+
+    The list is counted; give a stored one. Up to a million rows it is broadcast, so that
+    the large table is not shuffled. A longer list is joined by key; there Spark splits
+    keys that hold very many rows of the large table at run time.
+    """
+    small = listed.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    return large.join(F.broadcast(listed) if small else listed, on, how)

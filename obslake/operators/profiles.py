@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from obslake import vocab
 from obslake.functions.text import short_code
+from obslake.operators.joins import join_listed
 from obslake.operators.standardize import typed_null
+from obslake.session import written
 
 CALIBRATION = "parameters differ between calibrations"
 LONG_MODE = "data mode longer than one letter"
@@ -99,16 +101,15 @@ def split_rejects(marked: DataFrame, file: str | None = None) -> tuple[DataFrame
     """Sound profiles, and the others with their reason.
 
     With the name of a ``file`` column one bad profile rejects all profiles of its file.
-    The list of bad files is aggregated before it is joined, so a file with very many
-    profiles is no burden for one task.
+    Only the names of bad files are aggregated, never the profiles of one file.
     """
     bad = F.col("reject_reason").isNotNull()
     if file is None:
         return marked.where(~bad).drop("reject_reason"), marked.where(bad)
-    bad_files = marked.where(bad).groupBy(file).agg(F.min("reject_reason").alias("file_reason"))
-    accepted = marked.join(bad_files, file, "left_anti").drop("reject_reason")
-    rejected = marked.drop("reject_reason").join(bad_files, file).withColumnRenamed("file_reason", "reject_reason")
-    return accepted, rejected.select(marked.columns)
+    bad_files = written(marked.where(bad).groupBy(file).agg(F.min("reject_reason").alias("file_reason")), "bad-files")
+    accepted = join_listed(marked, bad_files.select(file), file, "left_anti").drop("reject_reason")
+    rejected = join_listed(marked.drop("reject_reason"), bad_files, file, "inner")
+    return accepted, rejected.withColumnRenamed("file_reason", "reject_reason").select(marked.columns)
 
 
 def raw_table(profiles: DataFrame, profile: str) -> DataFrame:

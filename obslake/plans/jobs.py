@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from obslake import vocab
 from obslake.operators import derived, inventory, profiles, quality, standardize
 from obslake.operators.filters import Filters
-from obslake.session import build_session
+from obslake.operators.joins import join_listed
+from obslake.session import build_session, written
 from obslake.sources import readers, writers
 
 _STANDARDIZERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
@@ -151,8 +152,8 @@ def plan_and_ingest(
     """
     index = inventory.subset_index(inventory.enrich_index(readers.read_index(spark, index_path)), dataset, **subset)
     kept = spark.read.parquet(writers.write_index_metadata(index, root, dataset))
-    wanted = kept.select(F.col("wmoid").cast("bigint").alias("PLATFORM_NUMBER")).distinct()
-    arrays = spark.read.parquet(arrays_path).join(wanted, "PLATFORM_NUMBER", "left_semi")
+    wanted = written(kept.select(F.col("wmoid").cast("bigint").alias("PLATFORM_NUMBER")).distinct(), "wanted")
+    arrays = join_listed(spark.read.parquet(arrays_path), wanted, "PLATFORM_NUMBER", "left_semi")
     file = "input_file" if "input_file" in arrays.columns else None
     profile = vocab.profile_type(dataset)
     raw_profiles(spark, arrays, profile, f"{root}/{profile}", f"{root}/rejects/{profile}", file)

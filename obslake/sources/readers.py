@@ -82,16 +82,24 @@ def read_csv(spark: SparkSession, path: str, source: str, check: bool = False) -
 
 
 def read_csv_with_rejects(spark: SparkSession, path: str, source: str) -> tuple[DataFrame, DataFrame]:
-    """The well-formed rows of a delimited file, and its malformed rows with the file they are in."""
+    """The well-formed rows of a delimited file, and its malformed rows with the file they are in.
+
+    Lines are parsed by an expression, since the file reader itself parses, and so checks,
+    only the columns a query uses.
+    """
     path = _resolve(path, source)
-    marked = source_csv_schema(source, _header(spark, path)).add(CORRUPT, T.StringType())
-    table = spark.read.schema(marked).csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-    # All columns are listed with the mark, since Spark parses only the columns a query uses.
-    everything = table.select("*", F.col("_metadata.file_path").alias("input_file"))
-    bad = F.col(CORRUPT).isNotNull()
+    schema = source_csv_schema(source, _header(spark, path))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("input_file"))
+    header = spark.read.text(path).first()["value"]
+    marked = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.add(CORRUPT, T.StringType()).fields)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.where((F.col("value") != header) & (F.trim("value") != "")).withColumn(
+        "parsed", F.from_csv("value", marked, options)
+    )
+    bad = F.col(f"parsed.{CORRUPT}").isNotNull()
     return (
-        everything.where(~bad).drop(CORRUPT, "input_file"),
-        everything.where(bad).select("input_file", F.col(CORRUPT).alias("row"), F.lit("malformed").alias("reason")),
+        parsed.where(~bad).select("parsed.*").drop(CORRUPT),
+        parsed.where(bad).select("input_file", F.col("value").alias("row"), F.lit("malformed").alias("reason")),
     )
 
 

@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from obslake import vocab
-from obslake.operators import profiles
+from obslake.operators import joins, profiles
 from tests.conftest import rows
 
 
@@ -58,6 +58,20 @@ def test_rejects_by_profile_and_by_file(spark):
     assert sound.columns == arrays(spark, [GOOD]).columns
 
 
+def test_bad_files_are_broadcast_only_if_few(spark, monkeypatch):
+    bad = ("b", 0, 8, [1.0], [1.0], ["PRES"], ["R"], [["PRES"], ["TEMP"]])
+    marked = profiles.mark_rejects(arrays(spark, [GOOD, bad]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, kind in ((1, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+            monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
+            sound, unsound = profiles.split_rejects(marked, "input_file")
+            assert kind in sound._jdf.queryExecution().executedPlan().toString()
+            assert (sound.count(), unsound.count()) == (1, 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_unknown_parameters(spark):
     df = arrays(spark, [(*GOOD[:5], ["PRES", "MTIME ", "MTIME", ""], ["R"] * 4, None), (*GOOD[:5], ["MTIME"], ["R"], None)])
     assert rows(profiles.unknown_parameters(df)) == [("MTIME", 2)]
