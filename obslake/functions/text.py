@@ -15,8 +15,7 @@ def profile_file_parts(path: Column) -> dict[str, Column]:
     """Platform number, cycle and the path pieces of a profile file; null where it has another form."""
 
     def part(group: int) -> Column:
-        found = F.regexp_extract(path, PROFILE_FILE, group)
-        return F.when(found != "", found)
+        return F.nullif(F.regexp_extract(path, PROFILE_FILE, group), F.lit(""))
 
     columns = {name: part(group) for name, group in _GROUP_OF.items()}
     for number in ("wmoid", "cycle"):

@@ -86,19 +86,16 @@ def _by_path_and_platform(index: DataFrame) -> DataFrame:
 
     All profiles of a platform are combined before they are shuffled.
     """
-    return (
-        index.where(F.col("filepath_main").isNotNull())
-        .groupBy("filepath_main", "wmoid")
-        .agg(
-            F.min("file").alias("first_file"),
-            F.max("date_update").alias("latest_update"),
-            F.max(F.col("date_update").isNull()).alias("undated"),
-        )
+    return index.groupBy("filepath_main", "wmoid").agg(
+        F.min("file").alias("first_file"),
+        F.max("date_update").alias("latest_update"),
+        F.max(F.col("date_update").isNull()).alias("undated"),
     )
 
 
 def _one_per_path(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("filepath_main").agg(F.min_by("wmoid", "first_file").alias("wmoid"))
+    placed = pairs.where(F.col("filepath_main").isNotNull())
+    return placed.groupBy("filepath_main").agg(F.min_by("wmoid", "first_file").alias("wmoid"))
 
 
 def distinct_platforms(index: DataFrame) -> DataFrame:
@@ -110,7 +107,7 @@ def distinct_platforms(index: DataFrame) -> DataFrame:
 
 
 def _newest(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("wmoid").agg(
+    return pairs.where(F.col("wmoid").isNotNull()).groupBy("wmoid").agg(
         F.max("latest_update").alias("latest_update"), F.max("undated").alias("undated")
     )
 
@@ -144,8 +141,11 @@ def platform_plan(
 
     ``inventory`` lists local copies with their ``mtime``, by ``local_path`` if it has
     that column, else by ``wmoid``. Without ``check_time`` every file is due.
+
+    The index is read once: what is left of it, a row per path and platform, is stored and
+    then used twice.
     """
-    pairs = _by_path_and_platform(index)
+    pairs = written(_by_path_and_platform(index), "platforms")
     root = f"{save_to.rstrip('/')}/" if save_to else ""
     platforms = _one_per_path(pairs).withColumn(
         "file_name", F.concat(F.col("wmoid").cast("string"), F.lit(PLATFORM_FILE_ENDING[dataset_name(dataset)]))

@@ -141,6 +141,7 @@ def test_load_failures(spark):
 
 
 def test_index_is_combined_before_it_is_shuffled(spark):
-    plan = inventory.fetch_plan(index(spark, [("aoml/1/profiles/R1_001.nc", "")]))._jdf.queryExecution().executedPlan().toString()
+    idx = index(spark, [("aoml/1/profiles/R1_001.nc", "")])
+    plan = inventory.staleness(idx, spark.createDataFrame([], "wmoid int, mtime timestamp_ntz"))._jdf.queryExecution().executedPlan().toString()
     first = plan.rindex("Exchange hashpartitioning(filepath_main")
     assert "partial_max" in plan[first:]
