@@ -7,8 +7,9 @@ all in or all out, and the other meets the next document. So a source's words ar
 within its last document. Documents are paired in leaves of about ``LEAF_ROWS`` first; what each leaf
 leaves open, one document, goes up a tree ``FAN_IN`` leaves at a time.
 
-Each leaf draws from a generator seeded by its name and goes through its documents in the
-order of their ids, so a run gives the same mix however the work is dealt out.
+Each leaf draws from a generator seeded by its name and goes through its documents from the
+largest to the least, so that what it leaves open tends to be small; ids settle ties. A run
+gives the same mix however the work is dealt out.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ def _one_level(rows: DataFrame, level: int) -> DataFrame:
         if leaf is not None and leaf.open is not None:
             yield pa.RecordBatch.from_pylist([leaf.open], batch.schema)
 
-    dealt = rows.repartition("source", "leaf").sortWithinPartitions("source", "leaf", "doc_id", "size")
+    dealt = rows.repartition("source", "leaf").sortWithinPartitions("source", "leaf", F.desc("size"), "doc_id")
     return stored(dealt.mapInArrow(run, _STATE), "mixing")
 
 
@@ -139,9 +140,8 @@ def _settle(rows: DataFrame, leaves: int) -> DataFrame:
             break
         leaves, level = -(-leaves // FAN_IN), level + 1
         rows = rows.withColumn("leaf", F.expr(f"leaf div {FAN_IN}"))
-    # One document of each source may be left; it comes in with the probability it has.
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "source", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    last = rows.withColumn("in_words", F.when(draw * F.col("size") < F.col("in_words"), F.col("size").cast("double")).otherwise(0.0))
+    # One document of each source may be left, and goes to the nearer side.
+    last = rows.withColumn("in_words", F.when(2 * F.col("in_words") >= F.col("size"), F.col("size").cast("double")).otherwise(0.0))
     for table in settled:
         last = last.union(table)
     return last.select("doc_id", "source", "size", (F.col("in_words") > 0).cast("int").alias("extra"))
