@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import decontaminate, mixing, near_dedup, quality, sharding
+from obslake.llm import decontaminate, extraction, mixing, near_dedup, quality, secrets, sharding, tokens, warc
 from obslake.llm.scratch import prepare
+from obslake.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    versions = docs.select(F.col("doc_id").alias("path"), F.col("text").alias("content"))
+    found = secrets.scan(versions, shared_folder(spark, "ledger"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    base = F.filter("spans", lambda s: s.kind.isin(*secrets.BASE_KINDS))
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *map(count, secrets.BASE_KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+        "digest",
+    )
+
+
 def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -63,14 +85,40 @@ def op6_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = extraction.extract(_table(spark, sf_dir, "pages"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    archives = shared_folder(spark, "archives")
+    warc.write_archives(pages, archives)
+    return warc.read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    counted = docs.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        tokens.token_count(spark, F.col("text")).alias("n_tokens"),
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > tokens.LIMIT)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.links(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_ledger": op1_secret_ledger,
     "op2_histogram_sort": op2_histogram_sort,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_host_quality": op5_host_quality,
     "op6_pivotal_mix": op6_pivotal_mix,
+    "op7_main_text": op7_main_text,
+    "op8_warc_revisits": op8_warc_revisits,
+    "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
 }

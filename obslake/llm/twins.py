@@ -68,6 +68,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed JOIN judged ON failed.source IS NOT DISTINCT FROM judged.source
 """
 
+OP8 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM h)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < response THEN response END AS refers_to
+FROM r
+"""
+
 OP10 = f"""
 WITH d AS ({_shingles("documents", "doc_id", 5)}), b AS ({_shingles("benchmark", "item_id", 5)}),
 n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
@@ -79,5 +89,6 @@ GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)
 TWINS: dict[str, str] = {
     "op3_near_duplicates": OP3,
     "op5_host_quality": OP5,
+    "op8_warc_revisits": OP8,
     "op10_decontaminate": OP10,
 }
