@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import decontaminate, extraction, mixing, near_dedup, quality, secrets, sharding, tokens, warc
+from obslake.llm import decontaminate, extraction, mixing, near_dedup, quality, repeats, secrets, sharding, tokens, warc
 from obslake.llm.scratch import prepare
 from obslake.session import shared_folder
 
@@ -64,6 +64,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     assessed = quality.assess(_table(spark, sf_dir, "documents"))
     return assessed.select(
@@ -115,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_histogram_sort": op2_histogram_sort,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_host_quality": op5_host_quality,
     "op6_pivotal_mix": op6_pivotal_mix,
     "op7_main_text": op7_main_text,
