@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from obslake.llm import secrets
+from obslake.llm.queries import op1_secret_ledger
+from tests.conftest import MEDIUM
+
+FORMS = {
+    "assign": re.compile(r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+LEAST = {"assign": lambda m: len(m[2]) >= 8, "access": lambda m: len(m[0]) >= 16, "hex": lambda m: len(m[0]) >= 32}
+
+
+def brute(text):
+    """Base spans as (start, kind's place, kind, end)."""
+    spans = [
+        (m.start(), place, kind, m.end())
+        for place, kind in enumerate(FORMS)
+        for m in FORMS[kind].finditer(text or "")
+        if LEAST[kind](m)
+    ]
+    return sorted(spans)
+
+
+def joined(spans):
+    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+
+
+ALPHABET = ["token", "Secret", "API_KEY", "apikey", "passwd", "ſecret", "=", ":", " ", '"', "'", "AKIA", "AKIAABCDEF", "abcdef01", "Z9", "0123456789abcdef", "é", "\n", ".", "-"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(ALPHABET), max_size=25).map("".join))
+def test_base_spans_follow_their_definitions(text):
+    found = sorted((a, p, kind, b) for p, kind in enumerate(FORMS) for a, b in secrets.FINDERS[kind](text))
+    assert found == brute(text)
+
+
+def test_query_returns_the_base_digest_of_every_document(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
+    rows = op1_secret_ledger(spark, MEDIUM).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        spans = brute(docs[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(joined(spans).encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[2] == k for s in spans) for k in FORMS)
+        assert set(joined(spans).split(",")) <= set(r.spans.split(","))
+    assert any(r.spans for r in rows)
+
+
+def spans_of(df):
+    return {r.path: [tuple(s) for s in r.spans] for r in df.collect()}
+
+
+def versions(spark, rows):
+    return spark.createDataFrame(rows, "path string, content string, extra string")
+
+
+def test_own_kinds(spark, scratch):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----"
+    texts = {"k": key, "g": "x ghp_" + "a1B2" * 10, "u": "see https://me:pw@host/ now", "clean": "https://host/a:b@c token of thanks"}
+    got = spans_of(secrets.scan(versions(spark, [(k, v, None) for k, v in texts.items()]), f"{scratch}/ledger"))
+    assert [s[0] for s in got["k"]] == ["private_key"] and got["k"][0][1:] == (0, len(key))
+    assert [s[0] for s in got["g"]] == ["forge_token"] and [s[0] for s in got["u"]] == ["url_password"]
+    assert got["clean"] == []
+
+
+def test_only_unseen_pairs_are_scanned(spark, scratch):
+    ledger = f"{scratch}/ledger"
+    one = "token = abcdefgh12"
+    first = versions(spark, [("a", one, "x"), ("b", one, "y"), ("c", "nothing", None), ("a", "another version", None)])
+    assert secrets.scan(first, ledger).where("size(spans) > 0").count() == 2
+    entries = spark.read.parquet(ledger)
+    assert entries.count() == 3 and entries.select("digest").distinct().count() == 3
+
+    more = first.union(versions(spark, [("d", one, None), ("e", "secret: 12345678x", None)]))
+    got = spans_of(secrets.scan(more, ledger))
+    assert got["d"] == got["b"] == [("assign", 0, 18)] and len(got["e"]) == 1
+    assert spark.read.parquet(ledger).count() == 4
+
+    raised = {**secrets.RULES, "hex": 2}
+    secrets.scan(more, ledger, raised).collect()
+    scans = spark.read.parquet(ledger).collect()
+    assert len(scans) == 8 and sum([tuple(p) for p in r.scanned] == [("hex", 2)] for r in scans) == 4
+    only_access = spans_of(secrets.scan(more, ledger, {"access": 1}))
+    assert all(not spans for spans in only_access.values())
+    assert spark.read.parquet(ledger).count() == 8
+
+
+def test_awkward_rows(spark, awkward, clashing, nothing, scratch):
+    from pyspark.sql import functions as F
+
+    for k, df in enumerate((awkward, clashing, nothing)):
+        named = df.select(F.col("doc_id").alias("path"), F.col("text").alias("content"), "*")
+        rows = secrets.scan(named, f"{scratch}/ledger{k}").collect()
+        assert len(rows) == df.count() and all(r.spans == [] for r in rows)
+    repeated = versions(spark, [(None, "secret=12345678", None)] * 5 + [("p", "secret=12345678", None)] * 3)
+    rows = secrets.scan(repeated, f"{scratch}/again").collect()
+    assert len(rows) == 8 and all(len(r.spans) == 1 for r in rows)
+    assert spark.read.parquet(f"{scratch}/again").count() == 1
