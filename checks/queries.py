@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from datetime import datetime
 
@@ -23,9 +24,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def with_folder(spark: SparkSession) -> SparkSession:
+    """Here, on a local master, a folder for intermediate tables where the session names none."""
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()) and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="obslake-"))
+    return spark
+
+
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(apply_settings(spark), sf_dir)
+        return build(apply_settings(with_folder(spark)), sf_dir)
 
     QUERIES[build.__name__] = run
     return run
@@ -191,15 +200,14 @@ def bgc_tables(spark, d) -> dict[str, DataFrame]:
     }
 
 
-# The filters use every comparison; DATA_MODE is absent from all sources but one.
+# Between them the filters use every comparison; measurements and DATA_MODE are absent from some sources.
 AND_FILTER = [
-    ("LATITUDE", "<", 70), ("LATITUDE", ">", 0), ("LONGITUDE", "<", 0), ("LONGITUDE", ">=", -40),
-    ("PRES", "<=", 900), ("TEMP", ">", 10),
+    ("PSAL", ">=", 31), ("PSAL", "<=", 34.5), ("PRES", ">", 150), ("LONGITUDE", "!=", 0), ("TEMP_QC", "in", [1, 2, 5]),
 ]
 OR_FILTER = [
-    [("LATITUDE", "<", 70), ("LATITUDE", ">", 0), ("TEMP", ">", 10)],
-    [("LATITUDE", "<=", 0), ("PSAL", "!=", 33), ("PRES", "<", 1000)],
-    [("PSAL_QC", "in", [2]), ("DB_NAME", "=", "GLODAP")],
+    [("DB_NAME", "==", "CPR"), ("LONGITUDE", ">", 100)],
+    [("PRES", "<=", 400), ("PSAL", "<", 32)],
+    [("TEMP", "<", 4)],
 ]
 MODE_FILTER = [[("DATA_MODE", "in", ["D", "A"]), ("LATITUDE", ">", 0)], [("DATA_MODE", "==", "R")]]
 NOT_IN_FILTER = [("TEMP_QC", "not in", [1, 2]), ("PRES", ">", 100)]
@@ -212,14 +220,7 @@ def lake_union(spark, d):
 
 @query
 def lake_union_bgc(spark, d):
-    wanted = [c for c in vocab.lake_columns("BGC") if c in BGC_COLUMNS]
-    return lake.unite(bgc_tables(spark, d), lake.selected_columns(wanted, "BGC"))
-
-
-BGC_COLUMNS = {
-    "DB_NAME", "PLATFORM_NUMBER", "LATITUDE", "LONGITUDE", "JULD", "PRES", "PRES_DATA_MODE",
-    "TEMP", "PSAL", "PSAL_QC", "DOXY", "DOXY_QC", "DOXY_ERROR", "NITRATE", "NITRATE_QC", "SILICATE",
-}
+    return lake.unite(bgc_tables(spark, d), lake.selected_columns(None, "BGC"))
 
 
 @query
@@ -314,6 +315,11 @@ def index_platforms(spark, d):
     return inventory.subset_index(index(spark, d), platforms=[1900007, 1900010, 1900101])
 
 
+@query
+def index_no_range(spark, d):
+    return inventory.subset_index(index(spark, d))
+
+
 @query
 def index_platforms_from_table(spark, d):
     wanted = v.LOCAL_INVENTORY.read(spark, d).where("mtime < timestamp'2004-01-01'")
@@ -360,10 +366,12 @@ def fetch_plan_profiles(spark, d):
 @query
 def fetch_actions(spark, d):
     plan = inventory.platform_plan(index(spark, d), copies(spark, d), dataset="phy")
-    checked = inventory.fetch_actions(plan)
-    kept = inventory.fetch_actions(plan, check_time=False).select("filepath_main", F.col("action").alias("action_keep"))
-    forced = inventory.fetch_actions(plan, check_time=False, overwrite=True).select("filepath_main", F.col("action").alias("action_force"))
-    return checked.join(kept, "filepath_main").join(forced, "filepath_main").select("filepath_main", "action", "action_keep", "action_force")
+    return plan.select(
+        "filepath_main",
+        inventory.fetch_action().alias("action"),
+        inventory.fetch_action(check_time=False).alias("action_keep"),
+        inventory.fetch_action(check_time=False, overwrite=True).alias("action_force"),
+    )
 
 
 @query
@@ -371,6 +379,11 @@ def fetch_batches(spark, d):
     return inventory.assign_batches(fetch_plan(spark, d), 36).select("filepath_main", "batch_id")
 
 
+@query
+def fetch_batches_many(spark, d):
+    return inventory.assign_batches(fetch_plan(spark, d), 200).select("filepath_main", "batch_id")
+
+
 @query
 def load_failures(spark, d):
     return inventory.load_failures(v.MANIFEST.read(spark, d), v.LOADED.read(spark, d))
@@ -419,6 +432,27 @@ def profile_rejects_by_file(spark, d):
     return rejected.select(*_PROFILE_KEYS, "reject_reason")
 
 
+def _judged(marked: DataFrame) -> DataFrame:
+    """All profiles with their reason, sound ones with none, from the two tables of a split."""
+    sound, rejected = profiles.split_rejects(marked, "input_file")
+    sound = sound.withColumn("reject_reason", F.lit(None).cast("string"))
+    return sound.unionByName(rejected).select(*_PROFILE_KEYS, "reject_reason")
+
+
+@query
+def profile_rejects_bad_values(spark, d):
+    """A blank flag, which is no number, rejects its file and does not fail the query."""
+    flags = F.expr("transform(PRES, p -> case when CYCLE_NUMBER%883=5 then ' ' else '1' end)")
+    arrays = v.profile_arrays(spark, d).withColumn("TEMP_QC", flags)
+    return _judged(profiles.mark_rejects(arrays, schema=vocab.raw_schema("PHY")))
+
+
+@query
+def profile_rejects_null_file(spark, d):
+    nameless = F.expr("case when CYCLE_NUMBER%5<>0 then input_file end")
+    return _judged(profiles.mark_rejects(v.profile_arrays(spark, d).withColumn("input_file", nameless)))
+
+
 @query
 def profile_unknown_parameters(spark, d):
     return profiles.unknown_parameters(v.profile_arrays(spark, d))
@@ -500,6 +534,39 @@ def sink_roundtrip(spark, d):
     return readers.read_parquet(spark, path, schema=catalog.load_schema(spark, path))
 
 
+@query
+def sink_append_fewer_columns(spark, d):
+    """Append a table without the derived columns; those of the rows that are there stay."""
+    path = shared_folder(spark, "narrower")
+    table = quality.best_value_table(v.OBS_PHY.read(spark, d), "PHY")
+    writers.write_table(derived.add_derived(table.where("LATITUDE < 0")), path)
+    writers.write_table(table.where("LATITUDE >= 0"), path, overwrite=False)
+    return readers.read_parquet(spark, path, schema=catalog.load_schema(spark, path))
+
+
+@query
+def job_bottle_append(spark, d):
+    """The bottle job run twice, the second time appending: both profile types hold each row twice."""
+    root = shared_folder(spark, "bottles-twice")
+    v.SRC_BOTTLE.read(spark, d).write.csv(f"{root}/text", header=True)
+    for again in (False, True):
+        jobs.bottles(spark, f"{root}/text", f"{root}/PHY", f"{root}/BGC", overwrite=not again)
+    counts = spark.read.parquet(f"{root}/BGC").agg(F.count("*").alias("n_bgc"))
+    return spark.read.parquet(f"{root}/PHY").crossJoin(F.broadcast(counts))
+
+
+@query
+def job_raw_append(spark, d):
+    """Raw profiles in two runs, the second appending."""
+    root, arrays = shared_folder(spark, "raw-twice"), v.profile_arrays(spark, d)
+    for odd in (0, 1):
+        part = arrays.where(F.col("PLATFORM_NUMBER") % 2 == odd)
+        jobs.raw_profiles(spark, part, "PHY", f"{root}/PHY", f"{root}/rejects", overwrite=odd == 0)
+    kept = spark.read.parquet(f"{root}/PHY").groupBy("PLATFORM_NUMBER").agg(F.count("*").alias("n_levels"))
+    bad = spark.read.parquet(f"{root}/rejects").groupBy("PLATFORM_NUMBER").agg(F.count("*").alias("n_rejects"))
+    return kept.join(bad, "PLATFORM_NUMBER", "full")
+
+
 @query
 def lake_from_disk(spark, d):
     """Write each source, then load the lake from its root with a filter."""

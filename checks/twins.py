@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from checks import views as v
+from obslake.vocab import lake_columns
 from checks.seawater_sql import abs_salinity_sql, ct_sql, pressure_sql, sigma1_sql
 
 GOOD = "(1, 2, 5, 8)"
@@ -30,8 +31,8 @@ def gate(profile: str) -> str:
 
 def best(p: str, profile: str) -> str:
     mode = mode_of(p, profile)
-    adjusted = f"{p}_ADJUSTED IS NOT NULL AND {p}_ADJUSTED_QC IN {GOOD} AND {mode} IN ('A', 'D')"
-    raw = f"{p} IS NOT NULL AND {p}_QC IN {GOOD} AND {mode} = 'R'"
+    adjusted = f"{p}_ADJUSTED IS NOT NULL AND NOT isnan({p}_ADJUSTED) AND {p}_ADJUSTED_QC IN {GOOD} AND {mode} IN ('A', 'D')"
+    raw = f"{p} IS NOT NULL AND NOT isnan({p}) AND {p}_QC IN {GOOD} AND {mode} = 'R'"
     return (
         f"CASE WHEN {adjusted} THEN {p}_ADJUSTED WHEN {raw} THEN {p} END AS {p}, "
         f"CASE WHEN {adjusted} THEN {p}_ADJUSTED_QC WHEN {raw} THEN {p}_QC END AS {p}_QC, "
@@ -88,7 +89,7 @@ _bottle_keys = (
     "make_timestamp(G2year, G2month, G2day, G2hour, G2minute, 0) AS JULD, "
     f"cast(G2pressure AS float) AS PRES, {NULL_Q} AS PRES_QC, {NULL_F} AS PRES_ERROR, "
     f"cast(G2temperature AS float) AS TEMP, {NULL_Q} AS TEMP_QC, {NULL_F} AS TEMP_ERROR, "
-    f"cast(G2salinity AS float) AS PSAL, cast(G2salinityf AS smallint) AS PSAL_QC, {NULL_F} AS PSAL_ERROR"
+    f"cast(nullif(G2salinity, -9999) AS float) AS PSAL, cast(G2salinityf AS smallint) AS PSAL_QC, {NULL_F} AS PSAL_ERROR"
 )
 CTES["bottle_phy"] = f"SELECT {_bottle_keys} FROM src_bottle"
 CTES["bottle_bgc"] = (
@@ -133,15 +134,12 @@ def union(wheres: dict[str, str] | None = None, columns: list[str] = PHY_COLUMNS
 
 CTES["lake_phy"] = union()
 
-_AND_PLACE = "LATITUDE < 70 AND LATITUDE > 0 AND LONGITUDE < 0 AND LONGITUDE >= -40"
-AND_WHERES = {s: f"{_AND_PLACE} AND PRES <= 900 AND TEMP > 10" for s in ALL_PHY} | {"plankton": _AND_PLACE}
-_OR = (
-    "(LATITUDE < 70 AND LATITUDE > 0 AND TEMP > 10) OR (LATITUDE <= 0 AND PSAL <> 33 AND PRES < 1000) "
-    "OR (PSAL_QC IN (2) AND DB_NAME = 'GLODAP')"
-)
-# Plankton has no measurements: in each group only the predicates it can answer are left.
-OR_WHERES = {s: _OR for s in ALL_PHY} | {
-    "plankton": "(LATITUDE < 70 AND LATITUDE > 0) OR (LATITUDE <= 0) OR (DB_NAME = 'GLODAP')"
+AND_WHERES = {
+    s: "PSAL BETWEEN 31 AND 34.5 AND PRES > 150 AND LONGITUDE <> 0 AND TEMP_QC IN (1, 2, 5)" for s in ALL_PHY
+} | {"plankton": "LONGITUDE <> 0"}
+# Plankton has no measurements: only the group that it can answer is left.
+OR_WHERES = {s: "(DB_NAME = 'CPR' AND LONGITUDE > 100) OR (PRES <= 400 AND PSAL < 32) OR TEMP < 4" for s in ALL_PHY} | {
+    "plankton": "LONGITUDE > 100"
 }
 _MODE = "(DATA_MODE IN ('D', 'A') AND LATITUDE > 0) OR DATA_MODE = 'R'"
 # The second group vanishes for sources without a mode; the first keeps its other half.
@@ -150,7 +148,7 @@ NULL_WHERES = {s: "1 = 0" for s in ALL_PHY} | {"argo_phy": _MODE}
 _NOT_IN = "(TEMP_QC IS NULL OR TEMP_QC NOT IN (1, 2)) AND PRES > 100"
 NOT_IN_WHERES = {s: _NOT_IN for s in ALL_PHY} | {"plankton": ""}
 
-RESET_COLUMNS = ["LATITUDE", "LONGITUDE", "PRES", "TEMP"]
+RESET_COLUMNS = ["LONGITUDE", "PRES", "TEMP_QC", "PSAL"]
 SELECT_COLUMNS = ["JULD", "DB_NAME", "TEMP", "DATA_MODE"]
 
 # --- sizes --------------------------------------------------------------------------
@@ -167,7 +165,7 @@ SIZE_REPORT = " UNION ALL ".join(
 
 # --- index --------------------------------------------------------------------------
 
-_FILE = "(([a-z]*/[0-9]*/)profiles/)([A-Z]*([0-9]*)_([0-9]*)[A-Z]*.nc)"
+_FILE = "^(([^/]*/[0-9]{7}/)profiles/)((?:R|D|SR|SD|BR|BD)([0-9]{7})_([0-9]{3,4})(?:D)?[.]nc)$"
 
 
 def part(group: int) -> str:
@@ -180,10 +178,6 @@ CTES["idx"] = (
     f"cast({part(4)} AS integer) AS wmoid, {part(2)} AS filepath_main, {part(1)} AS filepath, "
     f"{part(3)} AS filename, cast({part(5)} AS integer) AS cycle FROM profile_index"
 )
-_EVERYWHERE = (
-    "latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 "
-    "AND date BETWEEN timestamp '1900-01-01' AND timestamp '2200-01-01'"
-)
 CTES["platform"] = "SELECT filepath_main, min_by(wmoid, file) AS wmoid FROM idx GROUP BY filepath_main"
 CTES["stale"] = (
     "SELECT i.wmoid, i.latest_update, c.mtime, "
@@ -221,6 +215,13 @@ CTES["bad_file"] = (
     "SELECT input_file, min(reject_reason) AS file_reason FROM profile WHERE reject_reason IS NOT NULL GROUP BY input_file"
 )
 _KEYS = "input_file, PLATFORM_NUMBER, CYCLE_NUMBER, N_PROF"
+CTES["misfit_profile"] = (
+    f"SELECT {_KEYS}, coalesce(reject_reason, CASE WHEN l_orderkey%883=5 "
+    "THEN 'value that does not fit the type of its column' END) AS reason FROM profile"
+)
+CTES["named_profile"] = (
+    "SELECT * REPLACE (CASE WHEN l_orderkey%5<>0 THEN input_file END AS input_file) FROM profile"
+)
 # Modes by position: PRES first, TEMP second or (listed twice) last, PSAL third.
 _LIST = (
     "CASE WHEN l_orderkey%991=1 THEN ['R', '', 'A', 'R'] WHEN l_orderkey%3=0 THEN ['R', 'R', 'A', 'D'] "
@@ -247,18 +248,32 @@ def with_derived(source: str) -> str:
 CTES["derived_argo"] = with_derived("argo_phy")
 CTES["derived_bottle"] = with_derived("bottle_phy")
 
-_BGC_UNION = {
-    "argo_bgc": {"NITRATE": NULL_F, "NITRATE_QC": NULL_Q, "SILICATE": NULL_F},
-    "bottle_bgc": {"PRES_DATA_MODE": NULL_S, "SILICATE": NULL_F},
-    "plankton": {
-        "PRES_DATA_MODE": NULL_S, "PSAL_QC": NULL_Q, "DOXY_QC": NULL_Q, "NITRATE_QC": NULL_Q,
-        **{c: NULL_F for c in ("PRES", "TEMP", "PSAL", "DOXY", "DOXY_ERROR", "NITRATE", "SILICATE")},
+# What each source has of the BGC columns; the rest is null.
+_BGC_HAS = {
+    "argo_bgc": {
+        "DB_NAME", "PLATFORM_NUMBER", "LATITUDE", "LONGITUDE", "JULD",
+        *(f"{p}_DATA_MODE" for p in ("PRES", "TEMP", "PSAL", "DOXY")),
+        *(p + x for p in ("PRES", "TEMP", "PSAL", "DOXY") for x in ("", "_QC", "_ERROR")),
+    },
+    "bottle_bgc": {
+        "DB_NAME", "PLATFORM_NUMBER", "LATITUDE", "LONGITUDE", "JULD",
+        *(p + x for p in ("PRES", "TEMP", "PSAL", "DOXY", "NITRATE") for x in ("", "_QC", "_ERROR")),
     },
+    "plankton": {"DB_NAME", "PLATFORM_NUMBER", "LATITUDE", "LONGITUDE", "JULD"},
 }
-_BGC_COLUMNS = [
-    "DB_NAME", "PLATFORM_NUMBER", "LATITUDE", "LONGITUDE", "JULD", "PRES", "PRES_DATA_MODE", "TEMP",
-    "PSAL", "PSAL_QC", "DOXY", "DOXY_QC", "DOXY_ERROR", "NITRATE", "NITRATE_QC", "SILICATE",
-]
+
+
+def typed_absence(column: str) -> str:
+    """The null of an absent column, of the type its name says."""
+    return NULL_Q if column.endswith("_QC") else NULL_S if column.endswith("_DATA_MODE") else NULL_F
+
+
+def bgc_union(columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        "SELECT " + ", ".join(c if c in has else f"{typed_absence(c)} AS {c}" for c in columns) + f" FROM {source}"
+        for source, has in _BGC_HAS.items()
+    )
+
 
 _NANOS_MICROS = "((nanos - ((nanos % 1000) + 1000) % 1000) // 1000)"
 
@@ -306,10 +321,7 @@ BODIES: dict[str, str] = {
     "try_strptime(iso, '%Y-%m-%dT%H:%MZ') AS from_iso, try_strptime(compact, '%Y%m%d%H%M%S') AS from_compact, "
     f"make_timestamp({_NANOS_MICROS}) AS from_nanos FROM messy",
     "lake_union": "SELECT * FROM lake_phy",
-    "lake_union_bgc": " UNION ALL ".join(
-        "SELECT " + ", ".join(f"{absent[c]} AS {c}" if c in absent else c for c in _BGC_COLUMNS) + f" FROM {source}"
-        for source, absent in _BGC_UNION.items()
-    ),
+    "lake_union_bgc": bgc_union(lake_columns("BGC")),
     "lake_union_select": union(columns=SELECT_COLUMNS, sources=["argo_phy", "plankton"]),
     "lake_filter_and": union(AND_WHERES),
     "lake_filter_or": union(OR_WHERES),
@@ -328,25 +340,28 @@ BODIES: dict[str, str] = {
     "index_enrich": "SELECT * FROM idx",
     "index_box": "SELECT * FROM idx WHERE latitude BETWEEN -30 AND 45.5 AND longitude BETWEEN -60 AND 20 "
     "AND date BETWEEN timestamp '1994-01-01' AND timestamp '1997-06-01 12:00:00'",
-    "index_dateline": f"SELECT * FROM idx WHERE latitude BETWEEN 0 AND 60 AND (longitude >= 170 OR longitude <= -170) AND {_EVERYWHERE}",
-    "index_platforms": f"SELECT * FROM idx WHERE wmoid IN (1900007, 1900010, 1900101) AND {_EVERYWHERE}",
-    "index_platforms_from_table": f"SELECT * FROM idx WHERE {_EVERYWHERE} AND wmoid IN "
+    "index_dateline": f"SELECT * FROM idx WHERE latitude BETWEEN 0 AND 60 AND (longitude >= 170 OR longitude <= -170)",
+    "index_platforms": f"SELECT * FROM idx WHERE wmoid IN (1900007, 1900010, 1900101)",
+    "index_platforms_from_table": f"SELECT * FROM idx WHERE wmoid IN "
     "(SELECT wmoid FROM local_inventory WHERE mtime < timestamp '2004-01-01')",
+    "index_no_range": "SELECT * FROM idx",
     "index_sensors": f"SELECT * FROM idx WHERE list_contains(string_split(parameters, ' '), 'DOXY') "
-    f"AND list_contains(string_split(parameters, ' '), 'CHLA') AND {_EVERYWHERE}",
-    "index_sensors_contains": f"SELECT * FROM idx WHERE contains(parameters, 'CHLA') AND {_EVERYWHERE}",
+    f"AND list_contains(string_split(parameters, ' '), 'CHLA')",
+    "index_sensors_contains": f"SELECT * FROM idx WHERE contains(parameters, 'CHLA')",
     "index_rejects": "SELECT upper(file) AS file, date, cast(NULL AS integer) AS wmoid, cast(NULL AS integer) AS cycle "
     "FROM idx WHERE ends_with(parameters, 'CHLA')",
     "index_unique_platforms": "SELECT * FROM platform",
     "index_staleness": "SELECT * FROM stale",
     "fetch_plan": "SELECT * FROM due_bgc",
     "fetch_plan_profiles": "SELECT file, wmoid, filename AS file_name, 'dac/' || filepath AS url, "
-    f"'gdac/' || filepath || filename AS local_path FROM idx WHERE list_contains(string_split(parameters, ' '), 'DOXY') AND {_EVERYWHERE}",
+    f"'gdac/' || filepath || filename AS local_path FROM idx WHERE list_contains(string_split(parameters, ' '), 'DOXY')",
     "fetch_actions": "SELECT filepath_main, CASE WHEN mtime IS NULL THEN 'fetch' WHEN latest_update > mtime THEN 'overwrite' "
     "ELSE 'skip_fresh' END AS action, CASE WHEN mtime IS NULL THEN 'fetch' ELSE 'skip_exists' END AS action_keep, "
     "CASE WHEN mtime IS NULL THEN 'fetch' ELSE 'overwrite' END AS action_force FROM plan_bgc",
     "fetch_batches": "SELECT filepath_main, cast(floor((row_number() OVER (ORDER BY filepath_main) - 1) / "
     "ceil((count(*) OVER ()) / least(36.0, count(*) OVER ()))) AS integer) AS batch_id FROM due_bgc",
+    "fetch_batches_many": "SELECT filepath_main, cast(floor((row_number() OVER (ORDER BY filepath_main) - 1) / "
+    "ceil((count(*) OVER ()) / least(200.0, count(*) OVER ()))) AS integer) AS batch_id FROM due_bgc",
     "load_failures": "SELECT input_file FROM manifest WHERE input_file NOT IN (SELECT input_file FROM loaded)",
     "load_failure_summary": "SELECT count(*) AS n_inputs, count(*) FILTER (WHERE NOT hit) AS n_failed, "
     "count(*) FILTER (WHERE NOT hit) * 100e0 / count(*) AS failed_percent "
@@ -358,6 +373,9 @@ BODIES: dict[str, str] = {
     "profile_rejects": f"SELECT {_KEYS}, reject_reason FROM profile WHERE reject_reason IS NOT NULL",
     "profile_rejects_by_file": f"SELECT {_KEYS.replace('input_file', 'p.input_file')}, b.file_reason AS reject_reason "
     "FROM profile p JOIN bad_file b ON p.input_file = b.input_file",
+    "profile_rejects_bad_values": f"SELECT {_KEYS}, min(reason) OVER (PARTITION BY input_file) AS reject_reason FROM misfit_profile",
+    "profile_rejects_null_file": f"SELECT {_KEYS}, CASE WHEN input_file IS NULL THEN reject_reason "
+    "ELSE min(reject_reason) OVER (PARTITION BY input_file) END AS reject_reason FROM named_profile",
     "profile_unknown_parameters": "SELECT 'MTIME' AS parameter, count(*) AS n_profiles FROM lineitem WHERE l_orderkey%7<>0 HAVING count(*) > 0",
     "profile_raw_table": "SELECT PLATFORM_NUMBER, N_PROF, cast(i AS integer) AS N_LEVELS, CYCLE_NUMBER, "
     f"{NULL_S} AS DIRECTION, LATITUDE, LONGITUDE, JULD, cast(PRES AS float) AS PRES, {NULL_Q} AS PRES_QC, "
@@ -373,6 +391,12 @@ BODIES: dict[str, str] = {
     "scan_filtered": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem "
     "WHERE (l_quantity < 10 AND l_returnflag IN ('R', 'A')) OR l_discount > 0.09",
     "sink_roundtrip": "SELECT * FROM argo_phy",
+    "sink_append_fewer_columns": "SELECT * FROM derived_argo WHERE LATITUDE < 0 UNION ALL "
+    f"SELECT *, {NULL_F}, {NULL_F}, {NULL_F} FROM argo_phy WHERE LATITUDE >= 0",
+    "job_bottle_append": "SELECT b.*, 2 * (SELECT count(*) FROM derived_bottle) AS n_bgc "
+    "FROM (SELECT * FROM derived_bottle UNION ALL SELECT * FROM derived_bottle) b",
+    "job_raw_append": "SELECT PLATFORM_NUMBER, nullif(sum(CASE WHEN l_orderkey%499<>0 THEN l_linenumber ELSE 0 END), 0)::bigint AS n_levels, "
+    "nullif(count(*) FILTER (WHERE l_orderkey%499=0), 0) AS n_rejects FROM profile GROUP BY PLATFORM_NUMBER",
     "lake_from_disk": union(OR_WHERES),
     "csv_roundtrip": "SELECT * FROM bottle_phy",
     "job_raw_profiles": "SELECT PLATFORM_NUMBER, CYCLE_NUMBER, N_PROF, cast(i AS integer) AS N_LEVELS, cast(PRES AS float) AS PRES, "

@@ -58,7 +58,7 @@ _KEYS = {
 }
 _PRES = block("PRES", "l_quantity*40e0", "1+l_partkey%4", IS_R, "1e0", "1+l_suppkey%5", "2.5e0")
 _TEMP = block(
-    "TEMP", "l_discount*256e0", "1+(l_partkey+l_linenumber)%8", f"{IS_R} or l_linenumber=7", "0.5e0",
+    "TEMP", "(case when l_partkey%17=0 then cast('NaN' as double) else l_discount*256e0 end)", "1+(l_partkey+l_linenumber)%8", f"{IS_R} or l_linenumber=7", "0.5e0",
     "1+(l_suppkey+l_linenumber)%9", "0.25e0",
 )
 _PSAL = block(
@@ -101,7 +101,7 @@ SRC_BOTTLE = View(
         "G2longitude": _ORDER_LONGITUDE,
         "G2pressure": "cast(o_orderkey%4000 as double)",
         "G2temperature": "cast(o_orderkey%256 as double)/8e0",
-        "G2salinity": "32e0+cast(o_custkey%64 as double)/16e0",
+        "G2salinity": "case when o_orderkey%9=0 then -9999e0 else 32e0+cast(o_custkey%64 as double)/16e0 end",
         "G2salinityf": "cast(case o_orderkey%3 when 0 then 0 when 1 then 2 else 9 end as int)",
         "G2oxygen": "case when o_orderkey%10=0 then null else 100e0+cast(o_orderkey%200 as double) end",
         "G2oxygenf": "cast(case when o_orderkey%10=0 then 9 else 2 end as int)",
@@ -149,9 +149,9 @@ PROFILE_INDEX = View(
         "cast(1900000+o_custkey as string),'/profiles/',case when o_orderstatus='F' then 'SD' else 'SR' end,"
         "cast(1900000+o_custkey as string),'_',lpad(cast(o_orderkey%1000 as string),3,'0'),"
         "case when o_orderkey%17=0 then 'D' else '' end,'.nc')",
-        "date": "concat(cast(year(o_orderdate) as string),lpad(cast(month(o_orderdate) as string),2,'0'),"
-        "lpad(cast(day(o_orderdate) as string),2,'0'),'120000')",
-        "latitude": _ORDER_LATITUDE,
+        "date": "case when o_orderkey%13=0 then '' else concat(cast(year(o_orderdate) as string),lpad(cast(month(o_orderdate) as string),2,'0'),"
+        "lpad(cast(day(o_orderdate) as string),2,'0'),'120000') end",
+        "latitude": f"case when o_orderkey%19=0 then null else {_ORDER_LATITUDE} end",
         "longitude": _ORDER_LONGITUDE,
         "parameters": "concat('PRES TEMP PSAL',case when o_orderkey%2=0 then ' DOXY' else '' end,"
         "case when o_orderkey%3=0 then ' CHLA' else '' end,"
@@ -165,9 +165,8 @@ LOCAL_INVENTORY = View(
     "customer",
     {
         "wmoid": "cast(1900000+c_custkey as bigint)",
-        "mtime": "cast(concat(cast(2001+c_custkey%6 as string),'-07-01 00:00:00') as timestamp)",
+        "mtime": "case when c_custkey%4<>0 then cast(concat(cast(2001+c_custkey%6 as string),'-07-01 00:00:00') as timestamp) end",
     },
-    "c_custkey%4<>0",
 )
 
 # One profile per row with 1 to 7 levels; the salinity array is one level short.
@@ -243,7 +242,8 @@ REISSUED = View(
 ARRIVALS = View("events", {"arrived": "ts", "failed": "event_id%9=0"})
 
 MANIFEST = View("supplier", {"input_file": "concat('p', cast(s_suppkey as string))"})
-LOADED = View("lineitem", {"input_file": "concat('p', cast(l_suppkey as string))"}, "l_suppkey%7<>0")
+# Files of some suppliers are under names that the manifest does not have.
+LOADED = View("lineitem", {"input_file": "concat(case when l_suppkey%7=0 then 'q' else 'p' end, cast(l_suppkey as string))"})
 
 VIEWS = {
     "obs_phy": OBS_PHY,

@@ -22,32 +22,38 @@ HEAT_CAPACITY = 3991.86795711963
 ZERO_CELSIUS = 273.15
 SIGMA1_PRESSURE = 1000.0  # dbar
 
-# --- fixed values: specific volume, coefficient of x^i y^j z^k (Roquet et al., 2015) --
-
-SPECIFIC_VOLUME_TEXT = """
-000 1.0769995862e-3 001 -6.0799143809e-5 002 9.9856169219e-6 003 -1.1309361437e-6 004 1.0531153080e-7
-005 -1.2647261286e-8 006 1.9613503930e-9
-010 -1.5649734675e-5 011 1.8505765429e-5 012 -1.1736386731e-6 013 -3.6527006553e-7 014 3.1454099902e-7
-020 2.7762106484e-5 021 -1.1716606853e-5 022 2.1305028740e-6 023 2.8695905159e-7
-030 -1.6521159259e-5 031 7.9279656173e-6 032 -4.6132540037e-7
-040 6.9111322702e-6 041 -3.4102187482e-6 042 -6.3352916514e-8
-050 -8.0539615540e-7 051 5.0736766814e-7 060 2.0543094268e-7
-100 -3.1038981976e-4 101 2.4262468747e-5 102 -5.8484432984e-7 103 3.6310188515e-7 104 -1.1147125423e-7
-110 3.5009599764e-5 111 -9.5677088156e-6 112 -5.5699154557e-6 113 -2.7295696237e-7
-120 -3.7435842344e-5 121 -2.3678308361e-7 122 3.9137387080e-7
-130 2.4141479483e-5 131 -3.4558773655e-6 132 7.7618888092e-9
-140 -8.7595873154e-6 141 1.2956717783e-6 150 -3.3052758900e-7
-200 6.6928067038e-4 201 -3.4792460974e-5 202 -4.8122251597e-6 203 1.6746303780e-8
-210 -4.3592678561e-5 211 1.1100834765e-5 212 5.4620748834e-6
-220 3.5907822760e-5 221 2.9283346295e-6 222 -6.5731104067e-7
-230 -1.4353633048e-5 231 3.1655306078e-7 240 4.3703680598e-6
-300 -8.5047933937e-4 301 3.7470777305e-5 302 4.9263106998e-6
-310 3.4532461828e-5 311 -9.8447117844e-6 312 -1.3544185627e-6
-320 -1.8698584187e-5 321 -4.8826139200e-7 330 2.2863324556e-6
-400 5.8086069943e-4 401 -1.7322218612e-5 402 -1.7811974727e-6
-410 -1.1959409788e-5 411 2.5909225260e-6 420 3.8595339244e-6
-500 -2.1092370507e-4 501 3.0927427253e-6 510 1.3864594581e-6 600 3.1932457305e-5
-"""
+# --- fixed values: specific volume, rows of z^k coefficients for each (power of x, power of y) (Roquet et al., 2015) --
+
+SPECIFIC_VOLUME_ROWS = {
+    (0, 0): (1.0769995862e-3, -6.0799143809e-5, 9.9856169219e-6, -1.1309361437e-6, 1.0531153080e-7, -1.2647261286e-8, 1.9613503930e-9),
+    (0, 1): (-1.5649734675e-5, 1.8505765429e-5, -1.1736386731e-6, -3.6527006553e-7, 3.1454099902e-7),
+    (0, 2): (2.7762106484e-5, -1.1716606853e-5, 2.1305028740e-6, 2.8695905159e-7),
+    (0, 3): (-1.6521159259e-5, 7.9279656173e-6, -4.6132540037e-7),
+    (0, 4): (6.9111322702e-6, -3.4102187482e-6, -6.3352916514e-8),
+    (0, 5): (-8.0539615540e-7, 5.0736766814e-7),
+    (0, 6): (2.0543094268e-7,),
+    (1, 0): (-3.1038981976e-4, 2.4262468747e-5, -5.8484432984e-7, 3.6310188515e-7, -1.1147125423e-7),
+    (1, 1): (3.5009599764e-5, -9.5677088156e-6, -5.5699154557e-6, -2.7295696237e-7),
+    (1, 2): (-3.7435842344e-5, -2.3678308361e-7, 3.9137387080e-7),
+    (1, 3): (2.4141479483e-5, -3.4558773655e-6, 7.7618888092e-9),
+    (1, 4): (-8.7595873154e-6, 1.2956717783e-6),
+    (1, 5): (-3.3052758900e-7,),
+    (2, 0): (6.6928067038e-4, -3.4792460974e-5, -4.8122251597e-6, 1.6746303780e-8),
+    (2, 1): (-4.3592678561e-5, 1.1100834765e-5, 5.4620748834e-6),
+    (2, 2): (3.5907822760e-5, 2.9283346295e-6, -6.5731104067e-7),
+    (2, 3): (-1.4353633048e-5, 3.1655306078e-7),
+    (2, 4): (4.3703680598e-6,),
+    (3, 0): (-8.5047933937e-4, 3.7470777305e-5, 4.9263106998e-6),
+    (3, 1): (3.4532461828e-5, -9.8447117844e-6, -1.3544185627e-6),
+    (3, 2): (-1.8698584187e-5, -4.8826139200e-7),
+    (3, 3): (2.2863324556e-6,),
+    (4, 0): (5.8086069943e-4, -1.7322218612e-5, -1.7811974727e-6),
+    (4, 1): (-1.1959409788e-5, 2.5909225260e-6),
+    (4, 2): (3.8595339244e-6,),
+    (5, 0): (-2.1092370507e-4, 3.0927427253e-6),
+    (5, 1): (1.3864594581e-6,),
+    (6, 0): (3.1932457305e-5,),
+}
 
 # --- fixed values: negative entropy, rows of z^k coefficients for each (power of x, power of y) --
 
@@ -91,15 +97,27 @@ ENTHALPY_ROWS = {
     7: (-48.5891069025409,),
 }
 
+# --- fixed values: first guess of potential temperature and of entropy's slope, gravity and pressure from height --
+
+GUESS_WARMING = (-8.38241357039698e-6, 1.77803965218656e-8)  # powers of t
+GUESS_WARMING_SALINITY, GUESS_WARMING_PRESSURE = 2.83933368585534e-8, 1.71155619208233e-10
+GUESS_HALINE = (8.65483913395442e-6, -1.41636299744881e-6)  # powers of scaled salinity
+GUESS_PRESSURE = 7.38286467135737e-9
+SLOPE_DILUTION = (0.95, 0.05)
+GRAVITY_EQUATOR = 9.780327
+GRAVITY_SINE_SQUARED = (1.0, 5.2792e-3, 2.32e-5)
+GRAVITY_HEIGHT = 2.26e-7
+PRESSURE_SINE_SQUARED = (1 - 5.92e-3, -5.25e-3)
+PRESSURE_HEIGHT = 8.84e-6
+
 # --- end of fixed values ------------------------------------------------------------
 
 
 Term = float | str
 
 
-def specific_volume_terms() -> dict[tuple[int, ...], float]:
-    words = SPECIFIC_VOLUME_TEXT.split()
-    return {tuple(map(int, powers)): float(value) for powers, value in zip(words[::2], words[1::2])}
+def specific_volume_terms() -> dict[tuple[int, int, int], float]:
+    return {(i, j, k): value for (i, j), row in SPECIFIC_VOLUME_ROWS.items() for k, value in enumerate(row)}
 
 
 def dense(terms: Mapping[int, Term]) -> list[Term]:
@@ -212,14 +230,14 @@ def with_conservative_temperature(df: DataFrame, name: str, sa: str, temperature
     by_x: dict[int, dict[int, str]] = {}
     for (i, j), by_z in ENTROPY_ROWS.items():
         by_x.setdefault(i, {})[j] = horner(by_z, "__z")
-    warming = horner([-8.38241357039698e-6, 1.77803965218656e-8], "__t")
-    warming = f"({warming} + __u * 2.83933368585534e-8D + __p * 1.71155619208233e-10D)"
-    haline = horner([8.65483913395442e-6, -1.41636299744881e-6], "__u")
-    guess = f"__t + __p * ({haline} - __p * 7.38286467135737e-9D + __t * {warming})"
+    warming = horner(GUESS_WARMING, "__t")
+    warming = f"({warming} + __u * {GUESS_WARMING_SALINITY}D + __p * {GUESS_WARMING_PRESSURE}D)"
+    haline = horner(GUESS_HALINE, "__u")
+    guess = f"__t + __p * ({haline} - __p * {GUESS_PRESSURE}D + __t * {warming})"
     s.add(q=guess, **{f"e{i}": horner(dense(row), "__y") for i, row in by_x.items()})
 
     surface = surface_entropy_rows()
-    dilution = horner([0.95, 0.05 / SSO], "__sa")
+    dilution = horner([SLOPE_DILUTION[0], SLOPE_DILUTION[1] / SSO], "__sa")
     s.add(
         y="__q * 0.025D",
         target=horner(dense({i: f"__e{i}" for i in by_x}), "__x"),
@@ -260,11 +278,11 @@ def with_pressure(df: DataFrame, name: str, depth: str, latitude: str) -> DataFr
     s.add(h="-__depth", sine="sin(radians(__latitude))")
     s.add(ss="__sine * __sine")
     s.add(
-        gravity=f"{horner([1.0, 5.2792e-3, 2.32e-5], '__ss')} * 9.780327D",
-        c=horner([1 - 5.92e-3, -5.25e-3], "__ss"),
+        gravity=f"{horner(GRAVITY_SINE_SQUARED, '__ss')} * {GRAVITY_EQUATOR}D",
+        c=horner(PRESSURE_SINE_SQUARED, "__ss"),
     )
-    s.add(p=_ratio("__h * -2.0D", "__c + sqrt(__c * __c + __h * 8.84e-6D)"))
-    potential = f"__h * __gravity * {horner([1.0, -0.5 * 2.26e-7], '__h')}"
+    s.add(p=_ratio("__h * -2.0D", f"__c + sqrt(__c * __c + __h * {PRESSURE_HEIGHT}D)"))
+    potential = f"__h * __gravity * {horner([1.0, -0.5 * GRAVITY_HEIGHT], '__h')}"
     s.add(gap=f"{horner(height, '(__p * 1e-4D)')} + {potential}")
     s.add(middle=f"__p - {_ratio('__gap', horner(slope, '(__p * 1e-4D)'))} * 0.5D")
     return s.finish(name, f"__p - {_ratio('__gap', horner(slope, '(__middle * 1e-4D)'))}")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: <data centre>/<platform>/profiles/<mode><platform>_<cycle>[D].nc
-PROFILE_FILE = r"(([a-z]*/[0-9]*/)profiles/)([A-Z]*([0-9]*)_([0-9]*)[A-Z]*.nc)"
+# Fixed value: the form of a profile file's path, <data centre>/<platform>/profiles/<mode><platform>_<cycle>[D].nc
+PROFILE_FILE = r"^(([a-z]+/[0-9]+/)profiles/)([A-Z]+([0-9]+)_([0-9]+)D?\.nc)$"
 
 _GROUP_OF = {"filepath": 1, "filepath_main": 2, "filename": 3, "wmoid": 4, "cycle": 5}
 

@@ -12,7 +12,8 @@ ISO_MINUTES = "yyyy-MM-dd'T'HH:mm[:ss]XXX"
 COMPACT_SECONDS = "yyyyMMddHHmmss"
 
 
-def _utc_ntz(timestamp: Column) -> Column:
+def utc_ntz(timestamp: Column) -> Column:
+    """A moment as the zone-free timestamp that holds UTC, whatever the session's zone."""
     local = timestamp.cast("timestamp_ntz")
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
 
@@ -32,7 +33,7 @@ def from_iso(text: Column, strict: bool = True) -> Column:
     """Time from ISO text with a zone, seconds optional."""
     parse = F.to_timestamp if strict else F.try_to_timestamp
     pattern = ISO_MINUTES if strict else F.lit(ISO_MINUTES)
-    return _utc_ntz(parse(text, pattern))
+    return utc_ntz(parse(text, pattern))
 
 
 def from_compact(text: Column) -> Column:
@@ -44,4 +45,4 @@ def from_nanos(nanos: Column) -> Column:
     """Time from nanoseconds since 1970 as a number; whole microseconds, rounded down."""
     thousand = F.lit(1000).cast("bigint")
     micros = F.call_function("div", nanos - F.pmod(nanos, thousand), thousand)
-    return _utc_ntz(F.timestamp_micros(micros))
+    return utc_ntz(F.timestamp_micros(micros))

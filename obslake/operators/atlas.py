@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.operators.joins import join_listed
 from obslake.session import written
 
 # The corners of a cell, in steps east and north of its south-west corner.
@@ -77,7 +76,7 @@ def with_anomaly(df: DataFrame, atlas: DataFrame, grid: Grid = Grid()) -> DataFr
     placed = df.withColumns(
         {"__east": grid.steps_east(F.col("LONGITUDE")), "__north": grid.steps_north(F.col("LATITUDE"))}
     ).withColumns({"__i": F.floor("__east").cast("int"), "__j": F.floor("__north").cast("int")})
-    joined = join_listed(placed, written(cells, "atlas-cells"), ["__i", "__j"], "left")
+    joined = placed.join(written(cells, "atlas-cells"), ["__i", "__j"], "left")
 
     # The levels on both sides of the pressure; beyond either end the end level counts.
     top, bottom = F.get("__levels", F.lit(0))["pressure"], F.try_element_at("__levels", F.lit(-1))["pressure"]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obslake import vocab
-from obslake.functions import seawater
+from obslake.functions import seawater, times
 from obslake.operators.atlas import Grid, with_anomaly
 from obslake.operators.quality import constant_flags
 from obslake.operators.standardize import harmonise_aliases, reindex, standardize, typed_null
@@ -50,6 +52,10 @@ def add_derived(
         return df.withColumns({c: typed_null(T.FloatType()) for c in vocab.DERIVED_COLUMNS})
     sa, ct, sigma1 = vocab.DERIVED_COLUMNS
     ratio = None
+    # Counting the rows, which query listeners may read, ends the generated code of what comes
+    # before. Else a long choice of best values and the polynomials make one method too
+    # large for the JVM to compile.
+    df = df.observe(f"derived_rows_{uuid.uuid4().hex}", F.count("*").alias("n_rows"))
     if atlas is not None:
         df, ratio = with_anomaly(df, atlas, grid), F.col("__anomaly")
     # Like the stages that follow it, the result is kept apart by a one-element explode.
@@ -59,9 +65,14 @@ def add_derived(
     return seawater.with_sigma1(df, sigma1, sa, ct)
 
 
+def _in_utc(time: Column, dtype: T.DataType) -> Column:
+    """A moment as zone-free UTC; what has no zone already is taken as UTC."""
+    return times.utc_ntz(time) if isinstance(dtype, T.TimestampType) else time.cast("timestamp_ntz")
+
+
 def standardize_glider(df: DataFrame, profile: str = "PHY", strict: bool = True) -> DataFrame:
     """Glider data; pressure comes from depth, and all measurements are flagged good."""
     named = reindex(harmonise_aliases(df, vocab.source("SprayGliders").aliases), GLIDER_SCHEMA)
-    timed = named.withColumn("time", F.col("time").cast("timestamp_ntz"))
+    timed = named.withColumn("time", _in_utc(F.col("time"), named.schema["time"].dataType))
     lake = standardize(add_pressure_from_depth(timed), "SprayGliders", profile, strict)
     return constant_flags(lake, ["TEMP", "PSAL", "PRES"], 1, profile)

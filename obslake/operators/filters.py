@@ -54,6 +54,8 @@ def groups_of(filters: Filters | None) -> list[list[Predicate]]:
         return []
     nested = [filters] if isinstance(filters[0], tuple) else filters
     groups = [list(group) for group in nested]
+    if not all(groups):
+        raise ValueError("a group of filters has no predicate")
     for predicate in (p for group in groups for p in group):
         if not (isinstance(predicate, tuple) and len(predicate) == 3):
             raise ValueError(f"a predicate is (column, op, value), got {predicate!r}")

@@ -10,15 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.functions import geo, text, times
-from obslake.operators.joins import join_listed
 from obslake.operators.ranking import with_position
 from obslake.session import written
 
-# Endings of the per-platform files, and the limit on batches.
+# Endings of the per-platform files.
 PLATFORM_FILE_ENDING = {"bgc": "_Sprof.nc", "phy": "_prof.nc"}
-MAX_BATCHES = 100
-
-FIRST_DATE, LAST_DATE = datetime(1900, 1, 1), datetime(2200, 1, 1)
 
 
 def dataset_name(value: str) -> str:
@@ -57,17 +53,20 @@ def subset_index(
 ) -> DataFrame:
     """Entries in the given ranges (ends included), of the given platforms, with all given sensors.
 
-    A null coordinate or date is in no range, not even in the default one that covers
-    everything. Longitudes may cross the date line. ``platforms`` may be a table with a
-    ``wmoid`` column.
+    What is not asked for is not tested: entries without date or position stay unless a range
+    is given, and then a null is in no range. Longitudes may cross the date line.
+    ``platforms`` may be a table with a ``wmoid`` column.
     """
     dataset_name(dataset)
-    lat_lo, lat_hi = latitudes or (-90.0, 90.0)
-    wanted = (
-        F.col("latitude").between(lat_lo, lat_hi)
-        & geo.in_longitudes(F.col("longitude"), longitudes or (-180.0, 180.0))
-        & F.col("date").between(F.lit(start or FIRST_DATE).cast("timestamp_ntz"), F.lit(end or LAST_DATE).cast("timestamp_ntz"))
-    )
+    wanted = F.lit(True)
+    if latitudes is not None:
+        wanted = wanted & F.col("latitude").between(*latitudes)
+    if longitudes is not None:
+        wanted = wanted & geo.in_longitudes(F.col("longitude"), longitudes)
+    if start is not None:
+        wanted = wanted & (F.col("date") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        wanted = wanted & (F.col("date") <= F.lit(end).cast("timestamp_ntz"))
     if sensors is not None:
         if dataset != "bgc":
             raise ValueError("sensors can only be asked for in the bgc dataset")
@@ -75,7 +74,7 @@ def subset_index(
             wanted = wanted & text.has_sensor(F.col("parameters"), sensor, sensor_match)
     if isinstance(platforms, DataFrame):
         listed = platforms.select("wmoid").distinct()
-        return join_listed(index.where(wanted), listed, "wmoid", "left_semi").select(index.columns)
+        return index.where(wanted).join(listed, "wmoid", "left_semi").select(index.columns)
     if platforms is not None:
         wanted = wanted & F.col("wmoid").isin(*([platforms] if isinstance(platforms, int) else platforms))
     return index.where(wanted)
@@ -185,10 +184,8 @@ def profile_fetch_plan(index: DataFrame, url_root: str = "", save_to: str = "")
     )
 
 
-def fetch_actions(
-    plan: DataFrame, remote_time: str = "latest_update", check_time: bool = True, overwrite: bool = False
-) -> DataFrame:
-    """Add ``action``: what to do with each file, given the local copy's ``mtime`` (null if there is none).
+def fetch_action(remote_time: str = "latest_update", check_time: bool = True, overwrite: bool = False) -> Column:
+    """What to do with a file, given the local copy's ``mtime`` (null if there is none).
 
     With ``check_time`` a copy is replaced only by a newer file, whatever ``overwrite``
     says; an unknown remote time is not newer.
@@ -196,20 +193,27 @@ def fetch_actions(
     newer = F.coalesce(F.col(remote_time) > F.col("mtime"), F.lit(False))
     replace, keep = F.lit("overwrite"), F.lit("skip_fresh" if check_time else "skip_exists")
     present = F.when(newer if check_time else F.lit(overwrite), replace).otherwise(keep)
-    return plan.withColumn("action", F.when(F.col("mtime").isNull(), F.lit("fetch")).otherwise(present))
+    return F.when(F.col("mtime").isNull(), F.lit("fetch")).otherwise(present)
+
+
+def fetch_actions(
+    plan: DataFrame, remote_time: str = "latest_update", check_time: bool = True, overwrite: bool = False
+) -> DataFrame:
+    """Add ``action``, see ``fetch_action``."""
+    return plan.withColumn("action", fetch_action(remote_time, check_time, overwrite))
 
 
 def assign_batches(plan: DataFrame, batches: int, key: str = "filepath_main") -> DataFrame:
     """Add ``batch_id`` from 0: runs of consecutive keys, all of one size but the last.
 
-    At most 100 batches and at most one per row. The plan is stored once, then the
-    positions are computed without sorting all of it in one task.
+    There are as many batches as asked for, or one per row if the rows are fewer. The plan is
+    stored once, then the positions are computed without sorting all of it in one task.
     """
     if batches < 1:
         raise ValueError("at least one batch")
     stored = written(plan, "fetch-plan")
     total = stored.count()
-    size = math.ceil(total / max(1, min(batches, MAX_BATCHES, total)))
+    size = math.ceil(total / max(1, min(batches, total)))
     placed = with_position(stored, key, "__position")
     batch = F.floor((F.col("__position") - 1) / F.lit(max(1, size)))
     return placed.withColumn("batch_id", batch.cast("int")).drop("__position")

@@ -8,6 +8,7 @@ whole file with it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,12 +16,12 @@ from pyspark.sql import types as T
 
 from obslake import vocab
 from obslake.functions.text import short_code
-from obslake.operators.joins import join_listed
 from obslake.operators.standardize import typed_null
 from obslake.session import written
 
 CALIBRATION = "parameters differ between calibrations"
 LONG_MODE = "data mode longer than one letter"
+MISFIT = "value that does not fit the type of its column"
 
 
 def array_columns(df: DataFrame) -> list[str]:
@@ -81,13 +82,42 @@ def same_in_all_calibrations(calibrations: Column) -> Column:
     return F.forall(calibrations, lambda listed: listed.eqNullSafe(F.get(calibrations, F.lit(0))))
 
 
+def _misfits(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """For each column of another type than the schema's: whether a value cannot be brought to it."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def misfit(dtype: T.DataType, value: Column) -> Column:
+        return value.isNotNull() & value.try_cast(dtype).isNull()
+
+    def never_fails(dtype: T.DataType, want: T.DataType) -> bool:
+        return dtype == want or (isinstance(dtype, T.NumericType) and isinstance(want, (T.FloatType, T.DoubleType)))
+
+    tests = []
+    for field in schema.fields:
+        dtype = have.get(field.name)
+        if never_fails(dtype.elementType if isinstance(dtype, T.ArrayType) else dtype, field.dataType):
+            continue
+        if isinstance(dtype, T.ArrayType):
+            tests.append(F.exists(field.name, partial(misfit, field.dataType)))
+        elif dtype is not None:
+            tests.append(misfit(field.dataType, F.col(field.name)))
+    return tests
+
+
 def mark_rejects(
     df: DataFrame,
     calibrations: str | None = "CALIBRATION_PARAMETERS",
     modes: str | None = "PARAMETER_DATA_MODE",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Add ``reject_reason``, null for sound profiles."""
+    """Add ``reject_reason``, null for sound profiles.
+
+    With the raw table's ``schema`` a profile with any value that cannot be brought to its
+    column's type, as a blank flag, is unsound too, and does not fail the job.
+    """
     reason = F.lit(None).cast("string")
+    for test in _misfits(df, schema) if schema is not None else []:
+        reason = F.when(test, F.lit(MISFIT)).otherwise(reason)
     if modes is not None:
         too_long = F.exists(modes, lambda m: F.length(F.trim(m)) > 1)
         reason = F.when(too_long, F.lit(LONG_MODE)).otherwise(reason)
@@ -100,16 +130,18 @@ def mark_rejects(
 def split_rejects(marked: DataFrame, file: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Sound profiles, and the others with their reason.
 
-    With the name of a ``file`` column one bad profile rejects all profiles of its file.
-    Only the names of bad files are aggregated, never the profiles of one file.
+    With the name of a ``file`` column one bad profile rejects all profiles of its file; a
+    profile without file name stands for itself. Only the names of bad files are aggregated,
+    never the profiles of one file.
     """
     bad = F.col("reject_reason").isNotNull()
-    if file is None:
-        return marked.where(~bad).drop("reject_reason"), marked.where(bad)
-    bad_files = written(marked.where(bad).groupBy(file).agg(F.min("reject_reason").alias("file_reason")), "bad-files")
-    accepted = join_listed(marked, bad_files.select(file), file, "left_anti").drop("reject_reason")
-    rejected = join_listed(marked.drop("reject_reason"), bad_files, file, "inner")
-    return accepted, rejected.withColumnRenamed("file_reason", "reject_reason").select(marked.columns)
+    judged = marked
+    if file is not None:
+        named = marked.where(bad & F.col(file).isNotNull())
+        files = written(named.groupBy(file).agg(F.min("reject_reason").alias("__file_reason")), "bad-files")
+        joined = marked.join(files, file, "left")
+        judged = joined.withColumn("reject_reason", F.coalesce("__file_reason", "reject_reason")).select(marked.columns)
+    return judged.where(~bad).drop("reject_reason"), judged.where(bad)
 
 
 def raw_table(profiles: DataFrame, profile: str) -> DataFrame:

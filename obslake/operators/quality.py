@@ -68,7 +68,8 @@ def row_gate(df: DataFrame, profile: str) -> DataFrame:
 
 
 def _usable(value: str, flag: str) -> Column:
-    return F.col(value).isNotNull() & F.col(flag).isin(*vocab.GOOD_FLAGS)
+    """Whether there is a value, which NaN is not, with a good flag."""
+    return F.col(value).isNotNull() & ~F.isnan(value) & F.col(flag).isin(*vocab.GOOD_FLAGS)
 
 
 def _adjusted_counts(parameter: str, mode: str) -> Column:

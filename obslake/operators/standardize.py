@@ -124,7 +124,8 @@ def standardize(df: DataFrame, source: str, profile: str = "PHY", strict: bool =
     """A source's table in the lake's names and types: rename, drop, add companions, label, cast."""
     columns = vocab.lake_columns(profile)
     named = drop_outside(rename(df, vocab.source(source).renames), columns)
-    labelled = label_source(add_companions(null_for_nan(named), columns), source)
+    clean = null_for_nan(named, vocab.source(source).fill_values)
+    labelled = label_source(add_companions(clean, columns), source)
     return conform(labelled, vocab.lake_schema(profile), strict)
 
 

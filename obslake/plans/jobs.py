@@ -6,17 +6,15 @@ Run one with ``python -m obslake.plans.jobs <job> …`` or under ``spark-submit`
 from __future__ import annotations
 
 import argparse
-import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake import vocab
 from obslake.operators import derived, inventory, profiles, quality, standardize
+from obslake.operators.atlas import Grid
 from obslake.operators.filters import Filters
-from obslake.operators.joins import join_listed
 from obslake.session import build_session, written
 from obslake.sources import readers, writers
 
@@ -28,20 +26,16 @@ _STANDARDIZERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
 }
 
 
-def to_lake(df: DataFrame, source: str, profile: str, add_derived: bool = False) -> DataFrame:
+def to_lake(
+    df: DataFrame, source: str, profile: str, add_derived: bool = False, atlas: DataFrame | None = None, grid: Grid = Grid()
+) -> DataFrame:
     """A source's table in the lake's form, with derived variables if asked for.
 
-    The rows that go into the derived variables are counted on the way, as the observed
-    metric ``lake_rows…`` for query listeners. The counting also separates the two parts:
-    each gets generated code of its own, and the long one of a BGC table does not keep the
-    other from being compiled.
+    ``atlas`` is the regional salinity anomaly the derived variables take into account.
     """
     vocab.source(source)
     lake = _STANDARDIZERS[source](df, vocab.profile_type(profile))
-    if not add_derived:
-        return lake
-    counted = lake.observe(f"lake_rows_{source}_{profile}_{uuid.uuid4().hex}", F.count("*").alias("n_rows"))
-    return derived.add_derived(counted)
+    return derived.add_derived(lake, atlas, grid) if add_derived else lake
 
 
 def read_source(spark: SparkSession, paths: str | Sequence[str], source: str) -> DataFrame:
@@ -50,7 +44,7 @@ def read_source(spark: SparkSession, paths: str | Sequence[str], source: str) ->
     if not many:
         raise ValueError("no file to read")
     if source in ("GLODAP", "CPR"):
-        return reduce(DataFrame.unionByName, [readers.read_csv(spark, p, source) for p in many])
+        return readers.read_csv(spark, many, source)
     if source == "SprayGliders":
         return glider_levels(spark.read.parquet(*many))
     return standardize.null_for_nan(spark.read.parquet(*many))
@@ -72,37 +66,44 @@ def convert(
     profile: str,
     out: str,
     add_derived: bool = False,
+    atlas: DataFrame | None = None,
+    grid: Grid = Grid(),
     **write_options: object,
 ) -> None:
     """Any source to a table of the lake."""
     df = data if isinstance(data, DataFrame) else read_source(spark, data, source)
-    writers.write_table(to_lake(df, source, profile, add_derived), out, **write_options)
+    writers.write_table(to_lake(df, source, profile, add_derived, atlas, grid), out, **write_options)
 
 
-def argo_best_values(spark: SparkSession, raw: str, profile: str, out: str, filters: Filters | None = None, **write_options: object) -> None:
+def argo_best_values(spark: SparkSession, raw: str, profile: str, out: str, filters: Filters | None = None, **options: object) -> None:
     """Raw profiles to best values with derived variables.
 
     Row by row from scan to file, so by default nothing is shuffled.
     """
     df = standardize.null_for_nan(readers.read_parquet(spark, raw, filters=filters))
-    convert(spark, df, "ARGO", profile, out, add_derived=True, **{"layout": "scan", **write_options})
-
-
-def bottles(spark: SparkSession, path: str, out_phy: str, out_bgc: str, **write_options: object) -> None:
-    """Bottle data to both profile types. The text is parsed once; PHY is taken from the written BGC table."""
-    convert(spark, path, "GLODAP", "BGC", out_bgc, add_derived=True, **write_options)
-    phy = spark.read.parquet(out_bgc).select(*_phy_columns(spark, out_bgc))
-    writers.write_table(phy, out_phy, **write_options)
+    convert(spark, df, "ARGO", profile, out, add_derived=True, **{"layout": "scan", **options})
 
 
-def _phy_columns(spark: SparkSession, bgc: str) -> list[str]:
+def bottles(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    out_phy: str,
+    out_bgc: str,
+    atlas: DataFrame | None = None,
+    grid: Grid = Grid(),
+    **write_options: object,
+) -> None:
+    """Bottle data to both profile types. The text is parsed once; both are made from this run's rows."""
+    table = to_lake(read_source(spark, path, "GLODAP"), "GLODAP", "BGC", True, atlas, grid)
+    rows = written(table, "bottles")
+    writers.write_table(rows, out_bgc, **write_options)
     wanted = set(vocab.lake_columns("PHY")) | set(vocab.DERIVED_COLUMNS)
-    return [c for c in spark.read.parquet(bgc).columns if c in wanted]
+    writers.write_table(rows.select(*[c for c in rows.columns if c in wanted]), out_phy, **write_options)
 
 
-def gliders(spark: SparkSession, paths: str | Sequence[str], out: str, **write_options: object) -> None:
+def gliders(spark: SparkSession, paths: str | Sequence[str], out: str, **options: object) -> None:
     """Glider data to PHY with derived variables."""
-    convert(spark, paths, "SprayGliders", "PHY", out, add_derived=True, **write_options)
+    convert(spark, paths, "SprayGliders", "PHY", out, add_derived=True, **options)
 
 
 def plankton(spark: SparkSession, path: str, out_phy: str, out_bgc: str, **write_options: object) -> None:
@@ -118,20 +119,26 @@ def raw_profiles(
     out: str,
     rejects: str,
     file: str | None = None,
+    overwrite: bool = True,
     **write_options: object,
 ) -> None:
-    """Profiles with arrays to the raw table; unsound ones go to a table of rejects with the reason."""
+    """Profiles with arrays to the raw table; unsound ones go to a table of rejects with the reason.
+
+    By default rows are written as the scan gives them, without a shuffle.
+    """
     bgc = vocab.profile_type(profile) == "BGC"
     has = set(source.columns)
     marked = profiles.mark_rejects(
         source,
         calibrations="CALIBRATION_PARAMETERS" if "CALIBRATION_PARAMETERS" in has else None,
         modes="PARAMETER_DATA_MODE" if bgc and "PARAMETER_DATA_MODE" in has else None,
+        schema=vocab.raw_schema(profile),
     )
     sound, unsound = profiles.split_rejects(marked, file)
-    writers.write_table(profiles.raw_table(sound, profile), out, **write_options)
+    options = {"layout": "scan", **write_options, "overwrite": overwrite}
+    writers.write_table(profiles.raw_table(sound, profile), out, **options)
     scalars = [c for c in unsound.columns if c not in profiles.array_columns(unsound)]
-    writers.write_table(unsound.select(*scalars), rejects, layout="scan", sidecar=False)
+    writers.write_table(unsound.select(*scalars), rejects, layout="scan", sidecar=False, overwrite=overwrite)
 
 
 def plan_and_ingest(
@@ -143,21 +150,27 @@ def plan_and_ingest(
     local_copies: DataFrame | None = None,
     url_root: str = "",
     save_to: str = "",
+    overwrite: bool = True,
+    check_time: bool = True,
     **subset: object,
 ) -> DataFrame:
     """Index to plan to raw table: returns the plan of files still to fetch.
 
     The wanted part of the index is kept beside the data. Profiles that are there already
-    are ingested if their file belongs to a wanted platform.
+    are ingested if their file belongs to a wanted platform. Without ``overwrite`` all three
+    tables, raw, rejects and metadata, are added to.
     """
     index = inventory.subset_index(inventory.enrich_index(readers.read_index(spark, index_path)), dataset, **subset)
-    kept = spark.read.parquet(writers.write_index_metadata(index, root, dataset))
-    wanted = written(kept.select(F.col("wmoid").cast("bigint").alias("PLATFORM_NUMBER")).distinct(), "wanted")
-    arrays = join_listed(spark.read.parquet(arrays_path), wanted, "PLATFORM_NUMBER", "left_semi")
+    kept = written(index, "index")
+    writers.write_index_metadata(kept, root, dataset, overwrite)
+    wanted = kept.select(F.col("wmoid").cast("bigint").alias("PLATFORM_NUMBER")).distinct()
+    arrays = spark.read.parquet(arrays_path).join(wanted, "PLATFORM_NUMBER", "left_semi")
     file = "input_file" if "input_file" in arrays.columns else None
     profile = vocab.profile_type(dataset)
-    raw_profiles(spark, arrays, profile, f"{root}/{profile}", f"{root}/rejects/{profile}", file)
-    return inventory.fetch_plan(kept, local_copies, dataset=dataset, url_root=url_root, save_to=save_to)
+    raw_profiles(spark, arrays, profile, f"{root}/{profile}", f"{root}/rejects/{profile}", file, overwrite)
+    return inventory.fetch_plan(
+        kept, local_copies, dataset=dataset, url_root=url_root, save_to=save_to, check_time=check_time
+    )
 
 
 def _cli() -> argparse.ArgumentParser:
@@ -177,11 +190,18 @@ def _cli() -> argparse.ArgumentParser:
     glider.add_argument("--input", required=True, nargs="+")
     glider.add_argument("--output", required=True)
     raw = jobs.add_parser("raw-profiles")
-    raw.add_argument("--index", required=True)
+    raw.add_argument("--index", required=True, action="append", help="PATH for all datasets, or DATASET=PATH, as often as needed")
     raw.add_argument("--input", required=True)
     raw.add_argument("--dataset", choices=sorted(inventory.PLATFORM_FILE_ENDING), action="append")
     raw.add_argument("--output", required=True)
     raw.add_argument("--plan", help="where to write the plan of files to fetch")
+    raw.add_argument("--local-copies", help="Parquet table of local_path or wmoid, and mtime, of files already fetched")
+    raw.add_argument("--save-to", default="", help="folder of the local copies")
+    raw.add_argument("--url-root", default="")
+    raw.add_argument("--no-check-time", action="store_true", help="plan to fetch every file, also those up to date")
+    for job in (argo, glider, jobs.choices["bottles"]):
+        job.add_argument("--atlas", help="Parquet table of longitude, latitude, pressure and ratio: the salinity anomaly")
+        job.add_argument("--atlas-step", type=float, default=Grid().step, help="degrees between the atlas's places")
     for job in jobs.choices.values():
         job.add_argument("--append", action="store_true", help="add to tables that are there")
     return parser
@@ -191,21 +211,37 @@ def _folder(root: str, source: str, profile: str, base: str | None) -> str:
     return f"{root.rstrip('/')}/{writers.table_name(source, profile, base)}"
 
 
+def _index_of(given: Sequence[str], dataset: str) -> str:
+    """The index named for a dataset, else the one that is for all."""
+    named = {d: path for d, _, path in (g.partition("=") for g in given) if d in inventory.PLATFORM_FILE_ENDING and path}
+    common = [g for g in given if g.partition("=")[0] not in inventory.PLATFORM_FILE_ENDING]
+    if dataset not in named and len(common) != 1:
+        raise ValueError(f"no index, or more than one, for {dataset} in {list(given)}")
+    return named.get(dataset) or common[0]
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = _cli().parse_args(argv)
     spark = build_session(f"obslake {args.job}")
     overwrite = not args.append
+    options: dict[str, object] = {"overwrite": overwrite}
+    if getattr(args, "atlas", None):
+        options |= {"atlas": spark.read.parquet(args.atlas), "grid": Grid(step=args.atlas_step)}
     if args.job == "argo-best-values":
-        argo_best_values(spark, args.input, args.profile, args.output, overwrite=overwrite)
+        argo_best_values(spark, args.input, args.profile, args.output, **options)
     elif args.job == "gliders":
-        gliders(spark, args.input, args.output, overwrite=overwrite)
+        gliders(spark, args.input, args.output, **options)
     elif args.job in ("bottles", "plankton"):
         source, job = {"bottles": ("GLODAP", bottles), "plankton": ("CPR", plankton)}[args.job]
         outs = [_folder(root, source, p, args.basename) for root, p in ((args.phy, "PHY"), (args.bgc, "BGC"))]
-        job(spark, args.input, *outs, overwrite=overwrite)
+        job(spark, args.input, *outs, **options)
     else:
+        copies = spark.read.parquet(args.local_copies) if args.local_copies else None
         for dataset in args.dataset or sorted(inventory.PLATFORM_FILE_ENDING):
-            plan = plan_and_ingest(spark, args.index, args.input, dataset, args.output)
+            plan = plan_and_ingest(
+                spark, _index_of(args.index, dataset), args.input, dataset, args.output, copies, args.url_root,
+                args.save_to, overwrite, not args.no_check_time,
+            )
             if args.plan:
                 plan.write.mode("overwrite").parquet(f"{args.plan}/{dataset}")
 

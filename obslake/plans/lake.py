@@ -130,19 +130,29 @@ def size_report(df: DataFrame) -> DataFrame:
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def total_bytes(df: DataFrame, enough: int | None = None) -> int:
-    """Size of the table's values. Past ``enough`` bytes the text columns are not read any more."""
+def total_bytes(df: DataFrame) -> int:
+    """Size of the table's values."""
     fixed, variable = _split_fields(df)
     size = sum(_WIDTHS[type(f.dataType)] for f in fixed) * df.count()
-    if not variable or (enough is not None and size >= enough):
+    if not variable:
         return size
     texts = df.agg(*[_variable_size(f).alias(f"s{i}") for i, f in enumerate(variable)]).first()
     return size + sum(texts)
 
 
-def collect_if_small(df: DataFrame, limit: int = SMALL_RESULT_BYTES) -> pd.DataFrame | DataFrame:
-    """The table in local memory if it is smaller than the limit, else unchanged."""
-    return df.toPandas() if total_bytes(df, enough=limit) < limit else df
+class TooLargeError(ValueError):
+    """A table that does not fit the bound set for local memory."""
+
+
+def to_local(df: DataFrame, max_bytes: int = SMALL_RESULT_BYTES) -> pd.DataFrame:
+    """The table in local memory; an error if its values take more than ``max_bytes``.
+
+    pandas needs several times the size of the values.
+    """
+    size = total_bytes(df)
+    if size > max_bytes:
+        raise TooLargeError(f"{size} bytes of values, the bound is {max_bytes}; work on the DataFrame, or raise it")
+    return df.toPandas()
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,8 @@ LAKE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.maxFields": "400",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A side is broadcast by its size in bytes only, planned or, with the setting below, measured.
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -47,14 +48,12 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    A machine-local folder is used only where the setting is absent and the master is
-    local, as in tests.
+    Where that setting is absent the context's checkpoint folder serves, and where there is
+    none either it is an error: a machine-local folder would lose rows on a cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="obslake-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -15,16 +15,6 @@ from obslake.sources.catalog import path_exists
 
 CORRUPT = "_corrupt_record"
 
-INDEX_SCHEMA = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in (
-            "file", "date", "latitude", "longitude", "ocean", "profiler_type", "institution",
-            "parameters", "parameter_data_mode", "date_update",
-        )
-    ]
-)
-
 _TEXT_COLUMNS = {"G2expocode", "SampleId", "MidPoint_Date_UTC"}
 
 
@@ -65,20 +55,34 @@ def _resolve(path: str, source: str) -> str:
     return path + default
 
 
-def read_csv(spark: SparkSession, path: str, source: str, check: bool = False) -> DataFrame:
-    """A delimited file with a header, without a pass to infer types.
+def _one_header(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The header all files share; the files are then read as one table."""
+    first = _header(spark, paths[0])
+    if len(paths) > 1:
+        lines = spark.read.text(paths, wholetext=False)
+        marked = lines.where(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("f"), "value")
+        starts = marked.where(F.col("value").isin(",".join(first), ",".join(f'"{c}"' for c in first)))
+        if starts.select("f").distinct().count() < lines.select(F.col("_metadata.file_path").alias("f")).distinct().count():
+            raise UnreadableFileError(f"the files have not all the header of {paths[0]}")
+    return first
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], source: str, check: bool = False) -> DataFrame:
+    """Delimited files with one common header, read as one table without a pass to infer types.
 
     A missing and an empty file raise ``FileNotFoundError`` and ``EmptyFileError``. A
-    malformed row fails the query that meets it; with ``check`` the rows are looked
-    through first and the error is ``UnreadableFileError``.
+    malformed row fails the query that meets it, whichever columns that query uses; with
+    ``check`` the rows are looked through first and the error is ``UnreadableFileError``.
     """
-    path = _resolve(path, source)
-    schema = source_csv_schema(source, _header(spark, path))
+    paths = [_resolve(p, source) for p in ([paths] if isinstance(paths, str) else paths)]
+    schema = source_csv_schema(source, _one_header(spark, paths))
     if check:
-        first = read_csv_with_rejects(spark, path, source)[1].first()
-        if first is not None:
-            raise UnreadableFileError(f"{path}: {first['row']}")
-    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
+        for path in paths:
+            first = read_csv_with_rejects(spark, path, source)[1].first()
+            if first is not None:
+                raise UnreadableFileError(f"{path}: {first['row']}")
+    # Without column pruning every row is parsed, and so checked, in full.
+    return spark.read.schema(schema).option("columnPruning", "false").csv(paths, header=True, mode="FAILFAST")
 
 
 def read_csv_with_rejects(spark: SparkSession, path: str, source: str) -> tuple[DataFrame, DataFrame]:

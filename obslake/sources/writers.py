@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from obslake.session import TARGET_FILE_BYTES
-from obslake.sources.catalog import is_empty_folder, save_schema
+from obslake.sources.catalog import is_empty_folder, load_schema, save_schema
+from obslake.vocab import merge_schemas
 
 LAYOUTS = ("rebalance", "scan")
 
@@ -46,6 +47,10 @@ def write_table(
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
     spark = df.sparkSession
     mode = save_mode(df, path, overwrite)
+    schema = df.schema
+    if sidecar and mode == "append":
+        # What is there keeps its columns; a column of two types is an error before anything is written.
+        schema = merge_schemas([load_schema(spark, path), schema])
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(size, None)
     out = df
@@ -61,11 +66,11 @@ def write_table(
         if layout == "rebalance":
             spark.conf.unset(size) if before is None else spark.conf.set(size, before)
     if sidecar:
-        save_schema(spark, df.schema, path)
+        save_schema(spark, schema, path)
 
 
-def write_index_metadata(index: DataFrame, root: str, dataset: str) -> str:
+def write_index_metadata(index: DataFrame, root: str, dataset: str, overwrite: bool = True) -> str:
     """Keep the index subset a table was made from beside it; returns the path."""
     path = f"{root.rstrip('/')}/metadata/{dataset}"
-    index.write.mode("overwrite").parquet(path)
+    index.write.mode("overwrite" if overwrite else "append").parquet(path)
     return path

@@ -45,14 +45,3 @@ def by_batch(spark: SparkSession, report: str) -> DataFrame:
     sums = _summed(spark.read.parquet(report), "batch_id")
     share = F.try_divide(F.col("n_failed") * F.lit(100e0), F.col("n_ok") + F.col("n_failed"))
     return sums.withColumn("failed_percent", share)
-
-
-def closed_hours(stream: DataFrame, delay: str = "1 day", time: str = "arrived", failed: str = "failed") -> DataFrame:
-    """The counts as a stream, for sinks that take each hour once, when it is over.
-
-    An hour is given out ``delay`` after its end; what comes later than that is not in it.
-    Use ``watch`` where nothing may be left out.
-    """
-    zoned = stream.withColumn(time, F.col(time).cast("timestamp"))  # watermarks need this type
-    counted = hourly_counts(zoned.withWatermark(time, delay), time, failed)
-    return counted.withColumn("hour", F.col("hour").cast("timestamp_ntz"))

@@ -106,6 +106,7 @@ class Source:
     aliases: dict[str, str] = field(default_factory=dict)
     columns: tuple[str, ...] = ()
     default_file: str | None = None
+    fill_values: tuple[float, ...] = ()
 
 
 SOURCES = {
@@ -118,6 +119,7 @@ SOURCES = {
             renames={**BOTTLE_RENAMES, **flag_renames(BOTTLE_RENAMES, BOTTLE_UNFLAGGED)},
             columns=(*BOTTLE_TIME_PARTS, *(c for c in BOTTLE_RENAMES if c != "G2expocode")),
             default_file=BOTTLE_FILE,
+            fill_values=(-9999.0,),
         ),
         Source("SprayGliders", "SPRAY", GLIDER_RENAMES, GLIDER_ALIASES, GLIDER_COLUMNS),
         Source("CPR", "CPR", PLANKTON_RENAMES, columns=PLANKTON_COLUMNS),

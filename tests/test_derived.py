@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from obslake import vocab
 from obslake.functions import seawater
-from obslake.operators import derived, joins
+from obslake.operators import derived
 from obslake.operators.atlas import Grid, with_anomaly
 from tests.conftest import rows
 
@@ -97,9 +97,7 @@ def interpolated(points, grid, lon, lat, p):
     return at(lo) * (1 - w) + at(hi) * w
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 1])
-def test_atlas_against_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
+def test_atlas_against_brute_force(spark):
     grid, rng = Grid(step=30.0, longitude=0.0, latitude=-90.0), random.Random(1)
     points = {(i, j, q): rng.random() for i in range(12) for j in range(7) for q in (0.0, 100.0, 500.0)}
     for q in (0.0, 100.0, 500.0):

@@ -8,27 +8,26 @@ from obslake.functions import geo
 from obslake.operators import filters
 from tests.conftest import rows
 
-AND = [("LATITUDE", "<", 70), ("LATITUDE", ">", 0), ("PRES", "<=", 300)]
-NORTH = [("LATITUDE", "<", 70), ("PRES", "<=", 300)]
-SOUTH = [("LATITUDE", ">", -70), ("PRES", "<=", 300)]
-COLUMNS = ["LATITUDE", "LONGITUDE", "PRES"]
+SALTY = [("PSAL", ">=", 34), ("CYCLE_NUMBER", "!=", 0)]
+SHALLOW = [("PRES", "in", [5, 10])]
+COLUMNS = ["PSAL", "CYCLE_NUMBER", "PRES"]
 
 
 def test_unknown_columns_are_discarded_with_a_warning():
-    with pytest.warns(UserWarning, match="TEMPERATURE"):
-        assert filters.discard_missing([*AND, ("TEMPERATURE", ">", 10)], COLUMNS) == AND
-    with pytest.warns(UserWarning, match="VAR_NAME"):
-        assert filters.discard_missing([NORTH, [*SOUTH, ("VAR_NAME", ">", 1)]], COLUMNS) == [NORTH, SOUTH]
+    with pytest.warns(UserWarning, match="WAVES"):
+        assert filters.discard_missing([("WAVES", "=", 3), *SALTY], COLUMNS) == SALTY
+    with pytest.warns(UserWarning, match="ICE"):
+        assert filters.discard_missing([[("ICE", "<", 2), *SHALLOW], SALTY], COLUMNS) == [SHALLOW, SALTY]
 
 
 def test_emptied_group_goes_and_one_group_is_unnested():
     with pytest.warns(UserWarning):
-        assert filters.discard_missing([NORTH, [("VAR_NAME", ">", 1)]], COLUMNS) == NORTH
-        assert filters.discard_missing([("VAR_NAME", ">", 1)], COLUMNS) == []
+        assert filters.discard_missing([[("ICE", "<", 2)], SALTY], COLUMNS) == SALTY
+        assert filters.discard_missing([("ICE", "<", 2)], COLUMNS) == []
 
 
 def test_restrict_to_filtered_keeps_order():
-    assert filters.restrict_to_filtered(["PRES", "TEMP", "LATITUDE"], [NORTH, SOUTH]) == ["PRES", "LATITUDE"]
+    assert filters.restrict_to_filtered(["PRES", "TEMP", "PSAL"], [SALTY, SHALLOW]) == ["PRES", "PSAL"]
 
 
 def test_bad_filters_raise():
@@ -36,6 +35,9 @@ def test_bad_filters_raise():
         filters.groups_of([("a", "~", 1)])
     with pytest.raises(ValueError):
         filters.groups_of([[("a", "=")]])
+    for empty in ([[]], [SALTY, []]):
+        with pytest.raises(ValueError, match="no predicate"):
+            filters.groups_of(empty)
 
 
 def test_missing_policies(spark):

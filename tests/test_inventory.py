@@ -40,7 +40,9 @@ def test_index_file_with_preamble(spark, scratch):
     got = rows(readers.read_index(spark, path).select("file", "date", "latitude", "date_update"), "file")
     assert got[0] == ("aoml/1/profiles/R1_001.nc", dt.datetime(1997, 7, 29, 20, 3), 0.267, dt.datetime(2018, 10, 11, 18, 5, 20))
     assert got[1][1:3] == (None, None)
-    assert inventory.subset_index(inventory.enrich_index(readers.read_index(spark, path)), "phy").count() == 1
+    index = inventory.enrich_index(readers.read_index(spark, path))
+    assert inventory.subset_index(index, "phy").count() == 2
+    assert inventory.subset_index(index, "phy", latitudes=[-90, 90]).count() == 1
 
 
 def test_sensors(spark):
@@ -126,7 +128,7 @@ def test_positions_are_exact(spark, n):
 def test_batches(spark, n, batches):
     plan = spark.createDataFrame([(f"a/{i:05d}/",) for i in range(n)], "filepath_main string")
     got = [r.batch_id for r in inventory.assign_batches(plan, batches).orderBy("filepath_main").collect()]
-    size = math.ceil(n / max(1, min(batches, 100, n)))
+    size = math.ceil(n / max(1, min(batches, n)))
     assert got == [i // size for i in range(n)]
     with pytest.raises(ValueError):
         inventory.assign_batches(plan, 0)

@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from obslake import vocab
-from obslake.operators import joins, profiles
+from obslake.operators import profiles
 from tests.conftest import rows
 
 
@@ -58,18 +58,15 @@ def test_rejects_by_profile_and_by_file(spark):
     assert sound.columns == arrays(spark, [GOOD]).columns
 
 
-def test_bad_files_are_broadcast_only_if_few(spark, monkeypatch):
-    bad = ("b", 0, 8, [1.0], [1.0], ["PRES"], ["R"], [["PRES"], ["TEMP"]])
-    marked = profiles.mark_rejects(arrays(spark, [GOOD, bad]))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for limit, kind in ((1, "BroadcastHashJoin"), (0, "SortMergeJoin")):
-            monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
-            sound, unsound = profiles.split_rejects(marked, "input_file")
-            assert kind in sound._jdf.queryExecution().executedPlan().toString()
-            assert (sound.count(), unsound.count()) == (1, 1)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_bad_values_and_nameless_files(spark):
+    blank = F.expr("case when PLATFORM_NUMBER = 8 then array('1', ' ') else array('1', null) end")
+    table = arrays(spark, [GOOD, ("b", 0, 8, [1.0], [1.0], ["PRES"], ["R"], None)]).withColumn("PRES_QC", blank)
+    marked = profiles.mark_rejects(table, schema=vocab.raw_schema("PHY"))
+    assert {(r.PLATFORM_NUMBER, r.reject_reason) for r in marked.collect()} == {(7, None), (8, profiles.MISFIT)}
+    nameless = marked.withColumn("input_file", F.lit(None).cast("string"))
+    sound, unsound = profiles.split_rejects(nameless, "input_file")
+    assert [r.PLATFORM_NUMBER for r in sound.collect()] == [7]
+    assert [r.PLATFORM_NUMBER for r in unsound.collect()] == [8]
 
 
 def test_unknown_parameters(spark):

@@ -110,10 +110,10 @@ def test_whole_table_golden(spark):
 def test_whole_table_known_sums(spark):
     out = quality.best_value_table(views.OBS_PHY.read(spark, MEDIUM), "PHY")
     total = out.agg(F.count("*"), F.count("PRES"), F.count("TEMP"), F.count("PSAL"), F.sum(F.col("PRES").cast("double"))).first()
-    assert tuple(total) == (39712, 27476, 18674, 22178, 27959902.0)
+    assert tuple(total) == (39486, 27476, 17576, 22178, 27959902.0)
     bgc = quality.best_value_table(views.OBS_BGC.read(spark, MEDIUM), "BGC")
     counts = bgc.agg(F.count("*"), F.count("PRES"), F.count("TEMP"), F.count("PSAL"), F.count("DOXY")).first()
-    assert tuple(counts) == (40582, 26232, 18326, 20739, 15938)
+    assert tuple(counts) == (40511, 26232, 17249, 20739, 15938)
 
 
 def test_row_gate_shape():

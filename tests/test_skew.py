@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from obslake.operators import inventory, joins, profiles
+from obslake.operators import inventory, profiles
 from obslake.streaming import latest
 
 ROWS = 20_000
@@ -25,17 +25,18 @@ def test_hot_platform_in_the_index(spark):
     assert next(r for r in plan if r.wmoid == 7).latest_update.second == 58
 
 
-def test_hot_file_among_the_profiles(spark, monkeypatch):
+def test_hot_file_among_the_profiles(spark):
     table = spark.range(ROWS).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("f"), F.col("id") % 100)).alias("input_file"),
         F.when(F.col("id").isin(0, 1), F.lit("bad")).alias("reject_reason"),
         "id",
     )
-    for limit in (1_000_000, 0):
-        monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
+    for threshold in ("32m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         sound, unsound = profiles.split_rejects(table, "input_file")
         n_bad = table.where("input_file in ('hot', 'f1')").count()
         assert (sound.count(), unsound.count()) == (ROWS - n_bad, n_bad)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
 
 
 def test_hot_file_among_the_index_entries(spark):

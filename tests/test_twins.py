@@ -4,10 +4,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, difference
+from checks.queries import QUERIES
+from checks.twins import TWINS
 from tests.conftest import SMALL
 
-NAMES = sorted(queries())
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -15,10 +15,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(TWINS) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 @pytest.mark.filterwarnings("ignore::UserWarning")
 def test_query_equals_sql(spark, duck, name):
     assert difference(queries()[name](spark, SMALL), duck, oracle_sql()[name]) is None
