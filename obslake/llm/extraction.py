@@ -147,6 +147,8 @@ class TreeModel:
         inside = [[0.0, self.own(nodes, k)] for k in range(len(nodes))]
         up: list[tuple[float, float]] = [(0.0, 0.0)] * len(nodes)
         for k in range(len(nodes) - 1, 0, -1):
+            if nodes[k].never:
+                continue  # no text can stand there, which says nothing about what is around
             no, yes = inside[k]
             edges = kinds[k]
             up[k] = tuple(_sum(edges[above][0] + no, edges[above][1] + yes) for above in (0, 1))

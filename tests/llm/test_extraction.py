@@ -38,7 +38,7 @@ def test_marginals_are_those_of_all_labellings():
         score = 0.0
         for k, label in enumerate(labels):
             score += model.own(nodes, k) if label else 0.0
-            if k:
+            if k and not nodes[k].never:
                 kind = extraction.edge_kind(nodes[nodes[k].parent], nodes[k])
                 score += model.edges[kind][labels[nodes[k].parent]][label]
         weight = math.exp(score) if score > -math.inf else 0.0

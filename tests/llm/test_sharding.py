@@ -11,7 +11,9 @@ from obslake.llm.queries import op2_histogram_sort
 from tests.conftest import SMALL
 from tests.llm.conftest import DOCUMENTS
 
-SIZE = F.octet_length(F.coalesce("text", F.lit(""))) + 1
+
+def size():
+    return F.octet_length(F.coalesce("text", F.lit(""))) + 1
 
 
 def check_law(rows, shards, largest):
@@ -64,14 +66,14 @@ def test_a_key_with_very_many_rows_is_cut_into_runs(spark, monkeypatch):
 
 
 def test_awkward_rows(awkward, clashing, nothing):
-    rows = sharding.histogram_sort(awkward, ["doc_id", "text"], SIZE).collect()
+    rows = sharding.histogram_sort(awkward, ["doc_id", "text"], size()).collect()
     assert len(rows) == awkward.count() and awkward.columns == [c for c in rows[0].asDict() if c not in ("shard", "slot")]
-    placed = sharding.histogram_sort(clashing.drop("__key", "__tie"), ["doc_id", "text"], SIZE)
+    placed = sharding.histogram_sort(clashing.drop("__key", "__tie"), ["doc_id", "text"], size())
     assert placed.count() == len(rows) and dict(placed.dtypes)["shard"] == "int"
-    assert sharding.histogram_sort(nothing, ["doc_id", "text"], SIZE).collect() == []
+    assert sharding.histogram_sort(nothing, ["doc_id", "text"], size()).collect() == []
 
 
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a", "en", "s", 1)], DOCUMENTS)
-    plan = sharding.histogram_sort(df, ["doc_id", "text"], SIZE)._jdf.queryExecution().toString()
+    plan = sharding.histogram_sort(df, ["doc_id", "text"], size())._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
