@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obslake.functions import seawater as sw
+from checks import seawater_tables as sw
 
 
 def poly(coefficients: list, at: str) -> str:
