@@ -202,6 +202,8 @@ def _cli() -> argparse.ArgumentParser:
     for job in (argo, glider, jobs.choices["bottles"]):
         job.add_argument("--atlas", help="Parquet table of longitude, latitude, pressure and ratio: the salinity anomaly")
         job.add_argument("--atlas-step", type=float, default=Grid().step, help="degrees between the atlas's places")
+    for job in (argo, glider, jobs.choices["bottles"], jobs.choices["plankton"]):
+        job.add_argument("--cluster-by", nargs="+", default=[], help="columns, as JULD LATITUDE, whose ranges files and row groups shall keep apart")
     for job in jobs.choices.values():
         job.add_argument("--append", action="store_true", help="add to tables that are there")
     return parser
@@ -225,6 +227,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session(f"obslake {args.job}")
     overwrite = not args.append
     options: dict[str, object] = {"overwrite": overwrite}
+    if getattr(args, "cluster_by", None):
+        options |= {"layout": "rebalance", "cluster_by": args.cluster_by}
     if getattr(args, "atlas", None):
         options |= {"atlas": spark.read.parquet(args.atlas), "grid": Grid(step=args.atlas_step)}
     if args.job == "argo-best-values":

@@ -353,3 +353,6 @@ def test_command_line(spark, scratch, monkeypatch):
     jobs.main(["argo-best-values", "--input", f"{scratch}/raw", "--profile", "PHY", "--output", f"{scratch}/out"])
     jobs.main(["argo-best-values", "--input", f"{scratch}/raw", "--profile", "PHY", "--output", f"{scratch}/out", "--append"])
     assert spark.read.parquet(f"{scratch}/out").count() == 2 * 3993
+    jobs.main(["argo-best-values", "--input", f"{scratch}/raw", "--profile", "PHY", "--output", f"{scratch}/by-time", "--cluster-by", "JULD"])
+    times = [r.JULD for r in spark.read.parquet(f"{scratch}/by-time").coalesce(1).select("JULD").collect()]
+    assert len(times) == 3993 and times == sorted(times)
