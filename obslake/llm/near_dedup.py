@@ -3,15 +3,18 @@
 Texts with equal shingle sets are one class, so copies cost one row each and no pairs.
 Each class is sketched (``sketch.py``) with ``SIZE`` coordinates in bands of ``ROWS``: two classes of
 similarity 0.8 share no band with probability (1 - 0.8**4)**32 = 5e-8. In every bucket all
-classes are compared with the bucket's least and greatest one first; whatever these links do
-not join to one component is then compared in full, so a large group of near copies costs a
-number of comparisons in proportion to its members, and no link that could change a
-component is left out. Each comparison is made on the full sets.
+classes are compared with one of them first, the one that shares its other buckets with most
+classes: among edited copies that is the text they were made from. What these links do not
+join to one component is then compared by the sketches, and pairs that agree as often as
+similar sets do (all but ``MISS`` of them) are verified: as rows in buckets of up to ``BLOCK_ROWS``
+classes, and inside tasks, block against block with the sets at hand, in larger ones. So a large
+group of near copies never becomes a row for every pair. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,25 +29,38 @@ from obslake.llm.text import WordHashes, long_lists, lower_words, shingle_set, t
 
 SIZE, ROWS = 128, 4
 PERCENT = 80
+#: Probability that the sketches of a pair of the least similarity are taken for dissimilar.
+MISS = 1e-7
+#: Larger buckets are compared in blocks of about so many classes.
+BLOCK_ROWS = 64
+#: Rows of two blocks each that a task holds at once.
+BLOCKS_AT_ONCE = "8"
 
-_SKETCHED = "doc_id long, digest binary, n_shingles long, buckets array<long>"
+_SKETCHED = "doc_id long, digest binary, n_shingles long, buckets array<long>, sketch binary"
 
 
 def _sketched(docs: DataFrame, width: int) -> DataFrame:
-    """Identity of the shingle set, its size and its bucket keys, for each document."""
+    """Identity of the shingle set, its size, bucket keys and sketch, for each document.
+
+    Of the sketch's coordinates the lowest byte is kept: different ones agree by chance in one
+    case of 256, so equal bytes are never fewer than equal coordinates.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sets = [shingle_set(hashes.of(lower_words(t)), width) for t in to_bytes(batch.column("text"))]
+            table = sketches(sets, SIZE)
+            low = table.astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([hashlib.md5(one.tobytes()).digest() for one in sets], pa.binary()),
                     pa.array([len(one) for one in sets], pa.int64()),
-                    long_lists(bands(sketches(sets, SIZE), ROWS)),
+                    long_lists(bands(table, ROWS)),
+                    pa.array([row.tobytes() for row in low], pa.binary()),
                 ],
-                ["doc_id", "digest", "n_shingles", "buckets"],
+                ["doc_id", "digest", "n_shingles", "buckets", "sketch"],
             )
 
     return docs.mapInArrow(run, _SKETCHED)
@@ -63,6 +79,15 @@ def _full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node binary, shingles binary")
 
 
+def _reaches(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets' intersection is at least ``percent`` % of their union."""
+    if len(one) > len(other):
+        one, other = other, one
+    at = np.minimum(np.searchsorted(other, one), len(other) - 1)
+    shared = int((other[at] == one).sum())
+    return 100 * shared >= percent * (len(one) + len(other) - shared)
+
+
 def _similar(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity."""
 
@@ -71,25 +96,23 @@ def _similar(pairs: DataFrame, percent: int) -> DataFrame:
             linked = []
             sets = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("set_a", "set_b"))
             for one, other in zip(*sets, strict=True):
-                one, other = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
-                if len(one) > len(other):
-                    one, other = other, one
-                at = np.minimum(np.searchsorted(other, one), len(other) - 1)
-                shared = int((other[at] == one).sum())
-                linked.append(100 * shared >= percent * (len(one) + len(other) - shared))
+                linked.append(_reaches(np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64), percent))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool, width: int, percent: int) -> DataFrame:
-    """Links among stored candidate ``pairs`` of classes; only texts that occur in a pair are read again."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool, width: int) -> DataFrame:
+    """(node, shingles) of these classes, stored; only their texts are read again."""
     wanted = classes.join(nodes, "node", "left_semi").select("doc_id")
     sets = _full_sets(docs.join(wanted, "doc_id", "left_semi"), width)
     if repeated:  # a doc_id has several rows, so a class may come more than once
         sets = sets.dropDuplicates(["node"])
-    sets = stored(sets, "sets")
+    return stored(sets, "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among candidate ``pairs`` of classes."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     return stored(_similar(pairs.join(one, "a").join(other, "b"), percent), "links")
@@ -100,6 +123,106 @@ def _close_in_size(percent: int):
     return small * 100 >= large * percent
 
 
+def least_agreement(percent: int) -> int:
+    """Equal coordinates that a pair of the least similarity has, but with probability ``MISS``."""
+    share, tail = percent / 100, 0.0
+    for k in range(SIZE + 1):
+        tail += math.comb(SIZE, k) * share**k * (1 - share) ** (SIZE - k)
+        if tail > MISS:
+            return k
+    return SIZE
+
+
+def _sketches(members: list[dict]) -> np.ndarray:
+    return np.frombuffer(b"".join(one["sketch"] for one in members), np.uint8).reshape(-1, SIZE)
+
+
+def _alike(still: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in a small bucket whose sketches agree often enough.
+
+    ``still`` has bucket, node, component, n_shingles and sketch, ``BLOCK_ROWS`` rows a bucket at most.
+    """
+    buckets = still.groupBy("bucket").agg(F.collect_list(F.struct("node", "component", "n_shingles", "sketch")).alias("m"))
+    least = least_agreement(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for members in batch.column("m").to_pylist():
+                sizes = np.array([one["n_shingles"] for one in members])
+                table = _sketches(members)
+                for k, one in enumerate(members[:-1]):
+                    others, size = sizes[k + 1 :], sizes[k]
+                    close = 100 * np.minimum(others, size) >= percent * np.maximum(others, size)
+                    for j in np.flatnonzero(close & ((table[k + 1 :] == table[k]).sum(axis=1) >= least)):
+                        other = members[k + 1 + int(j)]
+                        if one["component"] != other["component"]:
+                            found.add((min(one["node"], other["node"]), max(one["node"], other["node"])))
+            columns = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return buckets.select("m").mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _linked_in_blocks(still: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components in a large bucket, verified where the blocks meet.
+
+    ``still`` has bucket, node, component, sketch, buckets and shingles. The largest component of a
+    bucket needs no comparison within itself, so blocks of the other classes meet blocks
+    of all. A pair is compared in the first bucket it shares only.
+    """
+    parts = still.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("m"))
+    main = main.select("bucket", "n", F.col("m.component").alias("main"), F.col("m.n").alias("n_main"))
+    dealt = still.join(main, "bucket")
+    fields = F.struct("node", "component", (F.col("component") == F.col("main")).alias("main"), "sketch", "buckets", "shingles")
+
+    def blocks(rows: DataFrame, count, name: str) -> DataFrame:
+        number = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(count / BLOCK_ROWS)))
+        return rows.groupBy("bucket", number.alias("block")).agg(F.collect_list(fields).alias(name)).drop("block")
+
+    aside = blocks(dealt.where("component <> main"), F.col("n") - F.col("n_main"), "one")
+    met = aside.join(blocks(dealt, F.col("n"), "all"), "bucket")
+    least = least_agreement(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in range(batch.num_rows):
+                bucket = batch.column("bucket")[row].as_py()
+                ones, others = batch.column("one")[row].as_py(), batch.column("all")[row].as_py()
+                keys = np.array([other["buckets"] for other in others])
+                table, sets = _sketches(others), [np.frombuffer(other["shingles"], np.uint64) for other in others]
+                sizes = np.array([len(one) for one in sets])
+                for one in ones:
+                    mine = np.frombuffer(one["shingles"], np.uint64)
+                    own = np.array(one["buckets"])
+                    first = (keys == own).argmax(axis=1) == int(np.flatnonzero(own == bucket)[0])
+                    close = 100 * np.minimum(sizes, len(mine)) >= percent * np.maximum(sizes, len(mine))
+                    agree = (table == np.frombuffer(one["sketch"], np.uint8)).sum(axis=1) >= least
+                    for j in np.flatnonzero(first & close & agree):
+                        other = others[j]
+                        if other["component"] == one["component"] or (not other["main"] and other["node"] < one["node"]):
+                            continue  # within a component, or met from the other side
+                        if _reaches(mine, sets[j], percent):
+                            found.append((one["node"], other["node"]))
+            columns = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return met.mapInArrow(run, "a binary, b binary")
+
+
+def _small_batches(df: DataFrame) -> DataFrame:
+    """The table stored, computed with few rows of blocks in a task's memory at a time."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, BLOCKS_AT_ONCE)
+    try:
+        return stored(df, "links")
+    finally:
+        conf.set(name, before)
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 2, percent: int = PERCENT
 ) -> DataFrame:
@@ -120,44 +243,44 @@ def near_duplicates(
     classes = stored(
         rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy(F.col("digest").alias("node"))
-        .agg(F.min(F.struct("doc_id", "n_shingles", "buckets")).alias("r"))
+        .agg(F.min(F.struct("doc_id", "n_shingles", "buckets", "sketch")).alias("r"))
         .select("node", "r.*"),
         "classes",
     )
     banded = classes.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(banded.join(shared, "bucket"), "members")
 
-    ends = members.select("node", "n_shingles", F.explode(F.array("lo", "hi")).alias("end")).where("node <> end").distinct()
+    reach = members.groupBy("node").agg(F.sum("n").alias("reach"))
+    pivots = members.join(reach, "node").groupBy("bucket").agg(F.max(F.struct("reach", "node", "n_shingles")).alias("p"))
     first = stored(
-        ends.join(classes.select(F.col("node").alias("end"), F.col("n_shingles").alias("n_b")), "end")
+        members.join(pivots.select("bucket", F.col("p.node").alias("pivot"), F.col("p.n_shingles").alias("n_b")), "bucket")
         .withColumnRenamed("n_shingles", "n_a")
-        .where(_close_in_size(percent))
-        .select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b"))
+        .where((F.col("node") != F.col("pivot")) & _close_in_size(percent))
+        .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         .distinct(),
         "pairs",
     )
-    links = _verified(first, classes, docs, repeated, width, percent)
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+    links = _verified(first, _sets_of(ends(first), classes, docs, repeated, width), percent)
     joined = components(links, "a", "b")
 
     placed = stored(
-        members.select("bucket", "node", "n_shingles")
+        members.select("bucket", "node", "n_shingles", "n")
         .join(joined, "node", "left")
         .withColumn("component", F.coalesce("component", "node")),
         "placed",
     )
     open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
-    still = placed.join(open_buckets.select("bucket"), "bucket", "left_semi")
-    left = still.select("bucket", *(F.col(c).alias(n) for c, n in (("node", "a"), ("n_shingles", "n_a"), ("component", "c_a"))))
-    right = still.select("bucket", *(F.col(c).alias(n) for c, n in (("node", "b"), ("n_shingles", "n_b"), ("component", "c_b"))))
-    rest = (
-        left.join(right, "bucket")
-        .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _close_in_size(percent))
-        .select("a", "b")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = _verified(stored(rest, "pairs"), classes, docs, repeated, width, percent)
+    still = stored(placed.join(open_buckets.select("bucket"), "bucket", "left_semi"), "still")
+    small, large = still.where(F.col("n") <= BLOCK_ROWS), still.where(F.col("n") > BLOCK_ROWS)
+    rest = stored(_alike(small.join(classes.select("node", "sketch"), "node"), percent).join(first, ["a", "b"], "left_anti"), "pairs")
+    crowd = large.select("node").distinct()
+    sets = _sets_of(ends(rest).union(crowd).distinct(), classes, docs, repeated, width)
+    held = large.drop("n").join(classes.select("node", "sketch", "buckets"), "node").join(sets, "node")
+    more = _verified(rest, sets, percent).union(_small_batches(_linked_in_blocks(held, percent)))
     joined = components(links.union(more), "a", "b")
 
     labelled = classes.select("node", "doc_id").join(joined, "node", "left")
