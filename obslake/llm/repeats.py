@@ -21,9 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.llm.scratch import stored
@@ -228,25 +227,53 @@ def _across(ends: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, _OUTCOME)
 
 
+#: Odd multipliers of the two window hashes, and their inverses modulo 2**64.
+_BASES = [(b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(count - 1, base, np.uint64)]))
+
+
+def window_sums(hashes: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of every LEAST_WORDS successive words: sums of word hashes times powers."""
+    out = []
+    for base, inverse in _BASES:
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(base, len(hashes)))])
+        windows = sums[LEAST_WORDS:] - sums[:-LEAST_WORDS]
+        out.append(windows * _powers(inverse, len(windows)))
+    return out
+
+
 def _window_hashes(contexts: DataFrame) -> DataFrame:
-    """(node, start, window): a hash of every window of the given positions."""
+    """(node, start, w1, w2): a hash of every window of the given positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.schema([("node", pa.binary()), ("start", pa.int32()), ("window", pa.binary())])
+        hashes = WordHashes()
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                before = row["prefix"].split(_BREAK)[::-1] if row["prefix"] else []
-                tokens = before + row["suffix"].split(_BREAK)
-                for k in range(len(tokens) - LEAST_WORDS + 1):
-                    window = xxhash.xxh3_128_digest(_BREAK.join(tokens[k : k + LEAST_WORDS]))
-                    out.append({"node": row["node"], "start": row["place"] - len(before) + k, "window": window})
-                if len(out) >= 5000:
-                    yield pa.RecordBatch.from_pylist(out, kind)
-                    out = []
-            yield pa.RecordBatch.from_pylist(out, kind)
-
-    return contexts.mapInArrow(run, "node binary, start int, window binary")
+            columns = [batch.column(c).to_pylist() for c in ("place", "suffix", "prefix")]
+            starts, sums, counts = [], ([], []), []
+            for place, suffix, prefix in zip(*columns, strict=True):
+                before = prefix.split(_BREAK)[::-1] if prefix else []
+                values = window_sums(hashes.of(before + suffix.split(_BREAK)))
+                counts.append(len(values[0]))
+                starts.append(np.arange(counts[-1], dtype=np.int32) + (place - len(before)))
+                for kept, value in zip(sums, values, strict=True):
+                    kept.append(value)
+            if counts:
+                rows = pa.array(np.repeat(np.arange(len(counts)), counts))
+                long = [pa.array(np.concatenate(kept).view(np.int64)) for kept in sums]
+                whole = [batch.column("node").take(rows), pa.array(np.concatenate(starts)), *long]
+                out = pa.RecordBatch.from_arrays(whole, ["node", "start", "w1", "w2"])
+                for at in range(0, out.num_rows, 20_000):
+                    yield out.slice(at, 20_000)
+
+    return contexts.select("node", "place", "suffix", "prefix").mapInArrow(run, "node binary, start int, w1 long, w2 long")
+
+
+def _two_documents() -> list[Column]:
+    """a and b differ where a group has rows of more than one document; as numbers, these add up in a hash table."""
+    return [F.min(F.xxhash64("node")).alias("a"), F.max(F.xxhash64("node")).alias("b")]
 
 
 def _settle(contexts: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -254,8 +281,8 @@ def _settle(contexts: DataFrame, outcomes: DataFrame) -> DataFrame:
     best = outcomes.where("size > 2").groupBy("node", "key", "place").agg(F.max("end").alias("end"))
     groups = best.where("end IS NULL").select("key").distinct()
     windows = stored(_window_hashes(contexts.join(groups, "key", "left_semi")), "windows")
-    repeated = windows.groupBy("window").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
-    found = windows.join(repeated.select("window"), "window", "left_semi")
+    repeated = windows.groupBy("w1", "w2").agg(*_two_documents()).where("a <> b")
+    found = windows.join(repeated.select("w1", "w2"), ["w1", "w2"], "left_semi")
     return found.select("node", "start", (F.col("start") + LEAST_WORDS).alias("end"))
 
 
@@ -295,7 +322,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     read = rows.join(classes.withColumnRenamed("node", "c"), (F.col("node") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("reader")))
     placed = read.select("doc_id", "node", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
-    shared = placed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("size")).where("a <> b")
+    shared = placed.groupBy("key").agg(*_two_documents(), F.count("*").alias("size")).where("a <> b")
     wanted = placed.join(shared.select("key", "size"), "key").groupBy("doc_id", "node").agg(F.collect_set(F.struct("key", "place", "size")).alias("wanted"))
     wanted = wanted.select(F.col("doc_id").alias("reader"), "node", "wanted")
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("reader"))).select("node", "text", "wanted")
