@@ -281,8 +281,9 @@ def _settle(contexts: DataFrame, outcomes: DataFrame) -> DataFrame:
     best = outcomes.where("size > 2").groupBy("node", "key", "place").agg(F.max("end").alias("end"))
     groups = best.where("end IS NULL").select("key").distinct()
     windows = stored(_window_hashes(contexts.join(groups, "key", "left_semi")), "windows")
-    repeated = windows.groupBy("w1", "w2").agg(*_two_documents()).where("a <> b")
-    found = windows.join(repeated.select("w1", "w2"), ["w1", "w2"], "left_semi")
+    repeated = windows.groupBy("w1", "w2").agg(*_two_documents()).where("a <> b").select("w1", "w2")
+    # Stored, or the join would share the aggregate's shuffle and could not split a window of very many documents.
+    found = windows.join(stored(repeated, "repeated-windows"), ["w1", "w2"], "left_semi")
     return found.select("node", "start", (F.col("start") + LEAST_WORDS).alias("end"))
 
 
