@@ -8,8 +8,8 @@ right and to the left, as far as the windows reach that chose the position; matc
 successive positions join up to passages of any length.
 
 A neighbour agrees longest to the right. Where three or more share their K words, another could
-agree longer on the left; positions there whose neighbours fall short of ``LEAST_WORDS`` are
-settled exactly, by comparing the windows of their group by hash.
+agree longer on the left. Unless what their neighbours match covers all that the windows of each position
+reach, such a group is settled exactly, by comparing its windows by hash.
 
 Copies of a whole text are one document here; each of them is reported in full.
 """
@@ -96,7 +96,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _MARKED)
 
 
-_CONTEXT = "node binary, key long, size long, place int, suffix binary, prefix binary"
+_CONTEXT = "node binary, key long, size long, place int, low int, high int, suffix binary, prefix binary"
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
@@ -117,7 +117,8 @@ def _contexts(docs: DataFrame) -> DataFrame:
                     first, last = windows_of(place, runs, minima)
                     suffix = _BREAK.join(tokens[place : last + LEAST_WORDS])
                     prefix = _BREAK.join(tokens[first:place][::-1])
-                    out.append({"node": node, "key": one["key"], "size": one["size"], "place": place, "suffix": suffix, "prefix": prefix})
+                    reach = {"low": first, "high": last + LEAST_WORDS}
+                    out.append({"node": node, "key": one["key"], "size": one["size"], "place": place, **reach, "suffix": suffix, "prefix": prefix})
                     if len(out) == 2000:
                         yield pa.RecordBatch.from_pylist(out, _CONTEXT_KIND)
                         out = []
@@ -126,7 +127,7 @@ def _contexts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _CONTEXT)
 
 
-_CONTEXT_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("suffix", pa.binary()), ("prefix", pa.binary())])
+_CONTEXT_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("suffix", pa.binary()), ("prefix", pa.binary())])
 
 
 def _common(one: bytes, other: bytes) -> int:
@@ -163,12 +164,13 @@ class _Neighbour:
             one.end = end if one.end is None else max(one.end, end)
 
     def outcome(self) -> dict:
-        row = self.row
-        return {"node": row["node"], "key": row["key"], "size": row["size"], "place": row["place"], "start": self.start, "end": self.end}
+        return {name: self.row[name] for name in _PLACED} | {"start": self.start, "end": self.end}
 
 
-_OUTCOME = "node binary, key long, size long, place int, start int, end int, part int, side int, suffix binary, prefix binary"
-_OUTCOME_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("part", pa.int32()), ("side", pa.int32()), ("suffix", pa.binary()), ("prefix", pa.binary())])
+#: A position and the words from ``low`` to ``high`` that its windows reach.
+_PLACED = ("node", "key", "size", "place", "low", "high")
+_OUTCOME = "node binary, key long, size long, place int, low int, high int, start int, end int, part int, side int, suffix binary, prefix binary"
+_OUTCOME_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("part", pa.int32()), ("side", pa.int32()), ("suffix", pa.binary()), ("prefix", pa.binary())])
 
 
 def _compare_sorted(rows: Iterator[dict]) -> Iterator[_Neighbour]:
@@ -211,7 +213,7 @@ def _neighbours(sorted_rows: DataFrame) -> DataFrame:
 def _across(ends: DataFrame) -> DataFrame:
     """Outcomes of the suffixes at both sides of each border between partitions."""
     before = Window.orderBy("part", "side")  # two rows per partition of the sort
-    fields = ("node", "key", "size", "place", "suffix", "prefix")
+    fields = (*_PLACED, "suffix", "prefix")
     pairs = ends.select(F.struct(*fields).alias("b"), "side", F.lag(F.struct(*fields)).over(before).alias("a"))
     pairs = pairs.where("side = 0 AND a IS NOT NULL AND a.node <> b.node").select("a", "b")
 
@@ -278,8 +280,8 @@ def _two_documents() -> list[Column]:
 
 def _settle(contexts: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Windows that repeat across documents, in the groups where comparing neighbours may fall short."""
-    best = outcomes.where("size > 2").groupBy("node", "key", "place").agg(F.max("end").alias("end"))
-    groups = best.where("end IS NULL").select("key").distinct()
+    best = outcomes.where("size > 2").groupBy(*_PLACED).agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    groups = best.where("end IS NULL OR start > low OR end < high").select("key").distinct()
     windows = stored(_window_hashes(contexts.join(groups, "key", "left_semi")), "windows")
     repeated = windows.groupBy("w1", "w2").agg(*_two_documents()).where("a <> b").select("w1", "w2")
     # Stored, or the join would share the aggregate's shuffle and could not split a window of very many documents.
@@ -308,9 +310,8 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """(doc_id, start_word, end_word, n_words, n_copies): passages that another document has too.
 
     Words are runs of anything but ASCII white space, A-Z in lower case; places count words from 0,
-    ends exclusive. Every word in a row of ``LEAST_WORDS`` that another document has is in a span,
-    unless a nearer match already settles its position; no span has a word outside of such a
-    row. Documents of equal words are copies: with ``LEAST_WORDS`` words or more each is one span
+    ends exclusive. Every word in a row of ``LEAST_WORDS`` that another document has is in a span;
+    no span has a word outside of such a row. Documents of equal words are copies: with ``LEAST_WORDS`` words or more each is one span
     whole, and n_copies says how many they are; else n_copies is 1.
 
     A null or short text has no spans, and repeats within one document do not count. Rows with a
@@ -332,7 +333,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     order = ("suffix", "prefix", "node", "place")
     outcomes = stored(_neighbours(contexts.repartitionByRange(*order).sortWithinPartitions(*order)), "outcomes")
     inner = outcomes.where("part IS NULL")
-    outcome = ("node", "key", "size", "place", "start", "end")
+    outcome = (*_PLACED, "start", "end")
     every = stored(inner.select(*outcome).union(_across(outcomes.where("part IS NOT NULL")).select(*outcome)), "compared")
     spans = every.where("end IS NOT NULL").select("node", "start", "end").union(_settle(contexts, every))
     passages = stored(_joined(spans.distinct()), "passages")

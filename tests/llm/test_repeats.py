@@ -63,6 +63,17 @@ def test_a_passage_in_very_many_documents(spark):
     assert found(spark, docs) == brute(docs)
 
 
+def test_a_head_that_few_have_before_a_tail_that_all_have(spark):
+    docs = []
+    for case in range(36):  # which words are lost depends on the place of least hash
+        head, tail = sentence(2 * case, 20, 5000), sentence(2 * case + 1, 52 + case % 9, 5000)
+        for k in range(12):
+            seed = 1000 + 30 * case + k
+            before = head if k < 2 else sentence(seed + 10_000, 20, 5000)
+            docs.append((len(docs), f"{sentence(seed, 20, 5000)} {before} {tail} {sentence(seed + 20_000, 70, 5000)}"))
+    assert found(spark, docs) == brute(docs)
+
+
 def test_awkward_rows(spark, awkward, clashing, nothing):
     rows = sorted(map(repr, repeats.repeated_passages(awkward).collect()))
     assert rows and sorted(map(repr, repeats.repeated_passages(clashing).collect())) == rows
