@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.components import components
@@ -102,11 +102,14 @@ def _similar(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
-def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool, width: int) -> DataFrame:
-    """(node, shingles) of these classes, stored; only their texts are read again."""
-    wanted = classes.join(nodes, "node", "left_semi").select("doc_id")
-    sets = _full_sets(docs.join(wanted, "doc_id", "left_semi"), width)
-    if repeated:  # a doc_id has several rows, so a class may come more than once
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool, nameless: bool, width: int) -> DataFrame:
+    """(node, shingles) of these classes, stored; only their texts, and those without id, are read again."""
+    wanted = classes.join(nodes, "node", "left_semi").select("node", "doc_id")
+    sets = _full_sets(docs.join(wanted.select("doc_id"), "doc_id", "left_semi"), width)
+    if nameless:
+        unnamed = _full_sets(docs.where("doc_id IS NULL"), width)
+        sets = sets.union(unnamed.join(wanted.where("doc_id IS NULL").select("node"), "node", "left_semi"))
+    if repeated or nameless:  # several rows have a doc_id or none, so a class may come more than once
         sets = sets.dropDuplicates(["node"])
     return stored(sets, "sets")
 
@@ -223,28 +226,20 @@ def _small_batches(df: DataFrame) -> DataFrame:
         conf.set(name, before)
 
 
-def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 2, percent: int = PERCENT
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
-
-    Words are runs of anything but ASCII white space, A-Z in lower case; a document's set has
-    its distinct runs of ``width`` words, or all words as one where there are fewer. Sets whose
-    intersection is at least ``percent`` % of their union are linked; component_id is the least
-    doc_id that links reach, and kept says that it is the document's own.
+def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, digest, n_shingles, component, component_id), one row per row of ``docs`` (doc_id, text).
 
-    A null, empty or blank text has no shingles and is linked with nothing. A null doc_id is
-    nobody's component: such a row takes its component from the others, null if there are none,
-    and is never kept. Rows that repeat a doc_id are judged by their own texts, each.
+    digest stands for the shingle set and component for all sets that links reach; a text without
+    shingles has no component. component_id is null where no row of a component has a doc_id.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = stored(_sketched(docs, width), "sketched")
     repeated = not rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
+    nameless = not rows.where("doc_id IS NULL").isEmpty()
     classes = stored(
-        rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        rows.where("n_shingles > 0")
         .groupBy(F.col("digest").alias("node"))
-        .agg(F.min(F.struct("doc_id", "n_shingles", "buckets", "sketch")).alias("r"))
-        .select("node", "r.*"),
+        .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("n_shingles", "buckets", "sketch")).alias("r"))
+        .select("node", "doc_id", "r.*"),
         "classes",
     )
     banded = classes.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
@@ -264,7 +259,7 @@ def near_duplicates(
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
-    links = _verified(first, _sets_of(ends(first), classes, docs, repeated, width), percent)
+    links = _verified(first, _sets_of(ends(first), classes, docs, repeated, nameless, width), percent)
     joined = components(links, "a", "b")
 
     placed = stored(
@@ -278,7 +273,7 @@ def near_duplicates(
     small, large = still.where(F.col("n") <= BLOCK_ROWS), still.where(F.col("n") > BLOCK_ROWS)
     rest = stored(_alike(small.join(classes.select("node", "sketch"), "node"), percent).join(first, ["a", "b"], "left_anti"), "pairs")
     crowd = large.select("node").distinct()
-    sets = _sets_of(ends(rest).union(crowd).distinct(), classes, docs, repeated, width)
+    sets = _sets_of(ends(rest).union(crowd).distinct(), classes, docs, repeated, nameless, width)
     held = large.drop("n").join(classes.select("node", "sketch", "buckets"), "node").join(sets, "node")
     more = _verified(rest, sets, percent).union(_small_batches(_linked_in_blocks(held, percent)))
     joined = components(links.union(more), "a", "b")
@@ -286,15 +281,42 @@ def near_duplicates(
     labelled = classes.select("node", "doc_id").join(joined, "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.join(least, "component").select(F.col("node").alias("digest"), "component_id")
+    named = labelled.join(least, "component").select(F.col("node").alias("digest"), "component", "component_id")
+    return rows.select("doc_id", "digest", "n_shingles").join(named, "digest", "left")
+
+
+def digest_of(text: Column, width: int) -> Column:
+    """The digest that ``with_components`` gives a text; null for one without shingles."""
+    hashes = WordHashes()
+
+    @F.arrow_udf("binary")
+    def digest(texts: pa.Array) -> pa.Array:
+        sets = [shingle_set(hashes.of(lower_words(t)), width) for t in to_bytes(texts)]
+        return pa.array([hashlib.md5(one.tobytes()).digest() if len(one) else None for one in sets], pa.binary())
+
+    return digest(text)
+
+
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 2, percent: int = PERCENT
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
+
+    Words are runs of anything but ASCII white space, A-Z in lower case; a document's set has
+    its distinct runs of ``width`` words, or all words as one where there are fewer. Sets whose
+    intersection is at least ``percent`` % of their union are linked; component_id is the least
+    doc_id that links reach, and kept says that it is the document's own.
+
+    A null, empty or blank text has no shingles and is linked with nothing. A null doc_id is
+    nobody's component: such a row takes its component from the others, null if there are none,
+    and is never kept. Rows that repeat a doc_id are judged by their own texts, each.
+    """
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    found = with_components(docs, width, percent)
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return (
-        rows.select("doc_id", "digest", "n_shingles")
-        .join(named, "digest", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            component.alias("component_id"),
-            F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
-        )
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )

@@ -3,9 +3,11 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
+from obslake.llm import near_dedup
 from obslake.llm.queries import QUERIES
 from obslake.llm.twins import TWINS
 from tests.conftest import MEDIUM
+from tests.llm.conftest import DOCUMENTS, sentence
 from tests.llm.test_decontaminate import brute as leaks
 from tests.llm.test_mixing import brute_targets
 from tests.llm.test_near_dedup import brute as near
@@ -61,6 +63,18 @@ def test_whole_run(spark):
     assert rows and {"doc_id", "text", "shard", "slot"} <= set(rows[0].asDict())
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    a, b, c, d, e = (sentence(70 + k, 200, 5000) for k in range(5))
+    given = [(1, a), (5, a), (5, b), (6, c), (6, c), (7, "x " + c), (None, d), (8, d + " x"), (None, e), (None, e + " x"), (None, "alone"), (None, ""), (9, None), (9, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in given], DOCUMENTS)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, MEDIUM).collect()]
+    either = [row for row in kept if row in given[8:10]]
+    assert len(either) == 1
+    assert Counter(kept) == Counter([(1, a), (5, b), (6, c), (8, d + " x"), either[0], (None, "alone"), (None, ""), (9, None), (9, None)])
+    found = near_dedup.near_duplicates(docs, width=5).collect()
+    assert sorted(r.component_id for r in found if r.doc_id is None and r.component_id is not None) == [8]
+
+
 def test_awkward_documents_pass_every_stage(spark, awkward, clashing, nothing):
     for df in (awkward, clashing, nothing):
         for _, stage in corpus_pipeline.STAGES:
