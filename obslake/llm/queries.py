@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import decontaminate, extraction, mixing, near_dedup, quality, repeats, secrets, sharding, tokens, warc
+from obslake.llm import decontaminate, extraction, infill, mixing, near_dedup, quality, repeats, secrets, sharding, tokens, warc
 from obslake.llm.scratch import prepare
 from obslake.session import shared_folder
 
@@ -115,6 +115,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.links(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = infill.infilled(docs).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output")
+    rebuilt = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(rebuilt, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_histogram_sort": op2_histogram_sort,
@@ -126,4 +141,5 @@ QUERIES: dict[str, Query] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

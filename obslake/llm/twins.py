@@ -86,9 +86,34 @@ FROM d JOIN b USING (shingle) JOIN n USING (item_id)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)
 """
 
+OP13 = r"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+           sha256('7:' || doc_id) AS h
+    FROM documents),
+d AS (
+    SELECT doc_id, text, lines, len(lines) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+           ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+    FROM t),
+c AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM d),
+parts AS (
+    SELECT *, array_to_string(lines[1:a], '') AS p, array_to_string(lines[a + 1:b], '') AS m, array_to_string(lines[b + 1:n], '') AS s
+    FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END)
+           AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 TWINS: dict[str, str] = {
     "op3_near_duplicates": OP3,
     "op5_host_quality": OP5,
     "op8_warc_revisits": OP8,
     "op10_decontaminate": OP10,
+    "op13_fill_in_middle": OP13,
 }
