@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import decontaminate, extraction, infill, mixing, near_dedup, quality, repeats, secrets, sharding, tokens, warc
+from obslake.llm import decontaminate, extraction, infill, mixing, near_dedup, quality, repeats, runs, secrets, sharding, tokens, warc
 from obslake.llm.scratch import prepare
 from obslake.session import shared_folder
 
@@ -115,6 +115,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.links(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", runs.with_planted_period(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.with_runs(planted).select("doc_id", "runs", F.get("runs", F.col("best")).alias("top"), "collapsed")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     made = infill.infilled(docs).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output")
@@ -141,5 +159,6 @@ QUERIES: dict[str, Query] = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
