@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import decontaminate, extraction, infill, mixing, near_dedup, quality, repeats, runs, secrets, sharding, tokens, warc
+from obslake.llm import decontaminate, extraction, infill, lines, mixing, near_dedup, quality, repeats, runs, secrets, sharding, tokens, warc
 from obslake.llm.scratch import prepare
 from obslake.session import shared_folder
 
@@ -133,6 +133,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return deduped.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     made = infill.infilled(docs).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output")
@@ -160,5 +165,6 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_line_dedup": op12_line_dedup,
     "op13_fill_in_middle": op13_fill_in_middle,
 }

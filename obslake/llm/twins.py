@@ -86,6 +86,22 @@ FROM d JOIN b USING (shingle) JOIN n USING (item_id)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)
 """
 
+OP12 = r"""
+WITH l AS (
+    SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+k AS (
+    SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM l),
+common AS (
+    SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (SELECT k.*, owner IS NOT NULL AND owner <> doc_id AS dropped FROM k LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
 OP13 = r"""
 WITH t AS (
     SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
@@ -115,5 +131,6 @@ TWINS: dict[str, str] = {
     "op5_host_quality": OP5,
     "op8_warc_revisits": OP8,
     "op10_decontaminate": OP10,
+    "op12_line_dedup": OP12,
     "op13_fill_in_middle": OP13,
 }
