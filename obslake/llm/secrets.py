@@ -42,16 +42,62 @@ def _pattern(expression: str, hint: str, flags: int = re.ASCII):
     return lambda text: [m.span() for m in compiled.finditer(text)] if hint in text else []
 
 
+def _first_at_boundary(text: str, low: int, high: int, wanted: re.Pattern) -> int:
+    """The first place from ``low`` on where ``wanted`` matches before ``high`` and no word goes on; -1 if none."""
+    for m in wanted.finditer(text, low, high):
+        if m.start() == 0 or not _WORD.match(text[m.start() - 1]):
+            return m.start()
+    return -1
+
+
+_WORD = re.compile(r"\w", re.ASCII)
+_LETTER, _TOKEN_START = re.compile("[a-z]"), re.compile("eyJ(?=[A-Za-z0-9_-]{10})")
+_SCHEME_BACK, _RUN_BACK = re.compile(r"[a-z0-9+.-]*+"), re.compile(r"[A-Za-z0-9_-]*+")
+_CREDENTIALS = re.compile(r"[^\s/:@]++:[^\s/:@]++@", re.ASCII)
+_TOKEN_REST = re.compile(r"\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+")
+
+
+def _around(text: str, mark: str, back: re.Pattern, start: re.Pattern, rest: re.Pattern, skipped: int) -> list[tuple[int, int]]:
+    """Leftmost spans that start with ``start`` at a word's edge, go on with characters of ``back`` up to a mark, and end with ``rest``.
+
+    The marks are found first; from each the text is read forward once and back once, and neither
+    reading goes beyond another mark, so the time is in proportion to the text's length.
+    """
+    found, at, before = [], 0, 0  # ends of the last span and of the last mark
+    place = text.find(mark)
+    while place >= 0:
+        follow = rest.match(text, place + skipped)
+        if follow:
+            low = place - len(back.match(text[max(at, before) : place][::-1])[0])
+            first = _first_at_boundary(text, low, place, start)
+            if first >= 0:
+                found.append((first, follow.end()))
+                at = follow.end()
+        before = place + 1
+        place = text.find(mark, max(before, at))
+    return found
+
+
+def _url_passwords(text: str) -> list[tuple[int, int]]:
+    r"""As ``\b[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@`` finds them."""
+    return _around(text, "://", _SCHEME_BACK, _LETTER, _CREDENTIALS, 3)
+
+
+def _web_tokens(text: str) -> list[tuple[int, int]]:
+    r"""As ``\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}`` finds them."""
+    return _around(text, ".eyJ", _RUN_BACK, _TOKEN_START, _TOKEN_REST, 0)
+
+
 #: Finder of spans by kind; kinds after the base ones are the method's own.
 FINDERS = {
     "assign": _assignments,
     "access": _pattern(_ACCESS.pattern, "AKIA"),
     "hex": lambda text: [m.span() for m in _HEX.finditer(text)],
     "private_key": _pattern(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]+-----END [A-Z ]*PRIVATE KEY-----)?", "PRIVATE KEY"),
-    "jwt": _pattern(r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", "eyJ"),
+    "jwt": _web_tokens,
     "forge_token": _pattern(r"\bgh[pousr]_[A-Za-z0-9]{36,}", "gh"),
     "chat_token": _pattern(r"\bxox[abprs]-[A-Za-z0-9-]{10,}", "xox"),
-    "url_password": _pattern(r"\b[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@", "://"),
+    "url_password": _url_passwords,
 }
 KINDS = tuple(FINDERS)
 #: Present version of every rule. A change of a finder raises its number.
@@ -135,9 +181,10 @@ def scan(versions: DataFrame, ledger_path: str, rules: dict[str, int] | None = N
 
     wanted = F.filter("spans", lambda s: s.kind.isin(*rules))
     latest = _pairs(rules)
+    # Scans at the same time, and a repeated append, enter a blob more than once: equal spans are one.
     current = _ledger(spark, ledger_path).where(F.arrays_overlap("scanned", latest)).where(F.size("spans") > 0)
     # An entry counts for the rules it was made by in their present versions.
     by_rule = F.filter(wanted, lambda s: F.exists("scanned", lambda p: (p.rule == s.kind) & F.array_contains(latest, p)))
-    found = current.select("digest", by_rule.alias("spans")).groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    found = current.select("digest", by_rule.alias("spans")).groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
     joined = keys.join(found, "digest", "left")
     return joined.select("path", "digest", _in_order(F.coalesce("spans", F.array().cast(_SPANS))).alias("spans"))
