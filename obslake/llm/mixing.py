@@ -189,10 +189,14 @@ def mix(
 def draw(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` with each row as often as the mix takes it, none to ``MOST_COPIES`` times.
 
-    Where a doc_id is repeated its rows are told apart by their source and number of words.
+    Where a doc_id is repeated its rows are told apart by their source and number of words. All
+    columns are as they were.
     """
-    taken = mix(docs, doc_id, text, source).select("doc_id", "source", "size", "copies").where("copies > 0")
-    taken = stored(taken, "taken").select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "size", "copies")))
+    columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    docs = docs.select(columns, F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"))
+    doc_id, text, source = "doc_id", "text", "source"
+    taken = stored(mix(docs, doc_id, text, source).select("doc_id", "source", "size", "copies"), "taken")
+    taken = taken.select(*(F.col(c).alias(f"__{c}") for c in taken.columns))
     same = F.col(doc_id).cast("long").eqNullSafe(F.col("__doc_id"))
     rows = docs
     ids = docs.groupBy(doc_id).count().where("count > 1")
@@ -202,7 +206,6 @@ def draw(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
         mine = Window.partitionBy(doc_id, source, "__n_words").orderBy(F.xxhash64(text))
         theirs = Window.partitionBy("__doc_id", "__source", "__size").orderBy("__copies")
         rows = rows.withColumn("__row", F.row_number().over(mine))
-        taken = mix(docs, doc_id, text, source).select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "size", "copies")))
-        taken = taken.withColumn("__other", F.row_number().over(theirs)).where("__copies > 0")
+        taken = taken.withColumn("__other", F.row_number().over(theirs))
         same = same & F.col(source).eqNullSafe(F.col("__source")) & (F.col("__n_words") == F.col("__size")) & (F.col("__row") == F.col("__other"))
-    return rows.join(taken, same).withColumn("__copy", F.explode(F.expr("sequence(1, __copies)"))).select(*docs.columns)
+    return rows.join(taken.where("__copies > 0"), same).withColumn("__copy", F.explode(F.expr("sequence(1, __copies)"))).select("row.*")

@@ -122,3 +122,9 @@ def assess(docs: DataFrame, text: str = "text", host: str = "source") -> DataFra
     joined = tested(plain).join(verdicts, F.col(host).eqNullSafe(F.col("__host"))).drop("__host")
     limit = F.when(F.col("host_failed"), 1).otherwise(RULES_ELSEWHERE)
     return joined.withColumn("kept", ~F.col("base_failed") & (F.col("n_failed") < limit))
+
+
+def kept_documents(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that ``assess`` keeps, with all their own columns as they were."""
+    lean = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("text"), F.col(host).alias("source"))
+    return assess(lean).where("kept").select("row.*")

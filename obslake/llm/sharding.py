@@ -134,14 +134,16 @@ def histogram_sort(
     by at most one row, or by ``tolerance`` bytes at either end if that is more. Slots follow
     the order of the hash. Nulls count as empty in the hash. Rows equal in ``identity`` may stand on both sides
     of a splitter; among them the order is that in which a task first wrote them. An empty
-    table gives an empty result; columns of ``df`` named shard or slot are replaced.
+    table gives an empty result; columns of ``df`` named shard or slot are replaced, all others come
+    first and as they were.
     """
-    keyed = df.drop("shard", "slot").withColumns(
-        {
-            "__key": hash_key(*(F.col(c) for c in identity)),
-            "__tie": F.monotonically_increasing_id(),
-            "__size": size.cast("long"),
-        }
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("shard", "slot")]
+    # The input's columns stay inside a struct, so that none can clash with those added here.
+    keyed = df.select(
+        F.struct(*kept).alias("row"),
+        hash_key(*(F.col(f"`{c}`") for c in identity)).alias("__key"),
+        F.monotonically_increasing_id().alias("__tie"),
+        size.cast("long").alias("__size"),
     )
     rows = stored(keyed, "keyed")
     total, count = rows.agg(F.coalesce(F.sum("__size"), F.lit(0)), F.count("*")).first()
@@ -155,9 +157,5 @@ def histogram_sort(
     before = Window.partitionBy("shard").orderBy(*name[1:]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = stored(counts.withColumn("__offset", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count"), "offsets")
     place = F.row_number().over(Window.partitionBy(*name).orderBy("__key", "__tie"))
-    return (
-        placed.withColumn("__place", place)
-        .join(offsets, name)
-        .withColumn("slot", F.col("__offset") + F.col("__place") - 1)
-        .drop("__key", "__tie", "__size", "__place", "__offset", *name[1:])
-    )
+    placed = placed.withColumn("__place", place).join(offsets, name)
+    return placed.select("row.*", "shard", (F.col("__offset") + F.col("__place") - 1).alias("slot"))

@@ -53,5 +53,5 @@ def clashing(awkward):
     """The same rows with columns named like those the operators add."""
     from pyspark.sql import functions as F
 
-    names = "size shard slot kept n_words component_id copies benchmark_matches digest spans n __key __tie"
+    names = "size shard slot kept n_words component_id copies benchmark_matches digest spans n __key __tie __doc_id __source __copies __copy __digest row text_ base_failed"
     return awkward.withColumns({name: F.lit("x") for name in names.split()})

@@ -67,9 +67,13 @@ def test_a_key_with_very_many_rows_is_cut_into_runs(spark, monkeypatch):
 
 def test_awkward_rows(awkward, clashing, nothing):
     rows = sharding.histogram_sort(awkward, ["doc_id", "text"], size()).collect()
-    assert len(rows) == awkward.count() and awkward.columns == [c for c in rows[0].asDict() if c not in ("shard", "slot")]
-    placed = sharding.histogram_sort(clashing.drop("__key", "__tie"), ["doc_id", "text"], size())
-    assert placed.count() == len(rows) and dict(placed.dtypes)["shard"] == "int"
+    assert len(rows) == awkward.count() and list(rows[0].asDict()) == [*awkward.columns, "shard", "slot"]
+    names = ("__size", "__run", "__part", "__block", "__place", "__offset", "row", "count")
+    more = clashing.withColumns({name: F.lit(f"my {name}") for name in names})
+    placed = sharding.histogram_sort(more, ["doc_id", "text"], size())
+    others = [c for c in more.columns if c not in ("shard", "slot")]
+    assert placed.columns == [*others, "shard", "slot"] and dict(placed.dtypes)["shard"] == "int"
+    assert sorted(map(repr, placed.select(*others).collect())) == sorted(map(repr, more.select(*others).collect()))
     assert sharding.histogram_sort(nothing, ["doc_id", "text"], size()).collect() == []
 
 
