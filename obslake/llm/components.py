@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.scratch import stored
+from obslake.llm.scratch import forget, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     current = stored(ordered, "links")
     mark = _mark(current)
     while mark[0]:
-        current = stored(_small_star(_large_star(current)), "links")
+        last, current = current, stored(_small_star(_large_star(current)), "links")
+        forget(last)
         before, mark = mark, _mark(current)
         if mark == before:
             break

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm.text import WordHashes, in_portions, lower_words, mix, shingles, to_bytes
+from obslake.llm.text import in_portions, lower_words, mix, shingles, to_bytes, word_hashes
 
 WIDTH = 5
 PERCENT = 80
@@ -165,7 +165,7 @@ class ItemBlock:
 
 def item_blocks(items: DataFrame, item_id: str, text: str, width: int) -> Iterator[ItemBlock]:
     """The query set in blocks of bounded size; the driver holds one block at a time."""
-    hashes = WordHashes()
+    hashes = word_hashes()
     ids, sets, held = [], [], 0
     for row in items.select(F.col(item_id).cast("long"), text).toLocalIterator():
         one = np.unique(shingles(hashes.of(lower_words((row[1] or "").encode())), width))
@@ -183,10 +183,10 @@ def item_blocks(items: DataFrame, item_id: str, text: str, width: int) -> Iterat
 
 def _search_column(spark: SparkSession, block: ItemBlock, text: Column, percent: int, width: int) -> Column:
     sent = spark.sparkContext.broadcast(block)
-    hashes = WordHashes()
 
     @F.arrow_udf(LINKS)
     def search(texts: pa.Array) -> pa.Array:
+        hashes = word_hashes()
         runs = [shingles(hashes.of(lower_words(t)), width) for t in to_bytes(texts)]
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_shared", pa.int32()), ("n_shingles", pa.int32())]))
         return pa.array(sent.value.search(runs, percent), kind)
@@ -228,6 +228,7 @@ def links(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **names) ->
 
 
 def without_matches(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
-    """The documents that contain no item, with their own columns."""
-    kept = "__benchmark_matches"
-    return with_matches(docs, items, column=kept, **names).where(F.size(kept) == 0).drop(kept)
+    """The documents that contain no item, with all their own columns as they were."""
+    text = F.col(names.pop("text", "text")).alias("text")
+    carried = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text)
+    return with_matches(carried, items, **names).where(F.size("benchmark_matches") == 0).select("row.*")

@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.components import components
-from obslake.llm.scratch import stored
+from obslake.llm.scratch import forget, stored
 from obslake.llm.sketch import bands, sketches
-from obslake.llm.text import WordHashes, long_lists, lower_words, shingle_set, to_bytes
+from obslake.llm.text import long_lists, lower_words, shingle_set, to_bytes, word_hashes
 
 SIZE, ROWS = 128, 4
 PERCENT = 80
@@ -47,7 +47,7 @@ def _sketched(docs: DataFrame, width: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             sets = [shingle_set(hashes.of(lower_words(t)), width) for t in to_bytes(batch.column("text"))]
             table = sketches(sets, SIZE)
@@ -70,7 +70,7 @@ def _full_sets(docs: DataFrame, width: int) -> DataFrame:
     """(node, shingles): the sorted 64-bit hashes of the full set, under its identity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             sets = [shingle_set(hashes.of(lower_words(t)), width).tobytes() for t in to_bytes(batch.column("text"))]
             nodes = [hashlib.md5(one).digest() for one in sets]
@@ -231,6 +231,7 @@ def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) ->
 
     digest stands for the shingle set and component for all sets that links reach; a text without
     shingles has no component. component_id is null where no row of a component has a doc_id.
+    The table is stored; all that led to it is deleted again, as soon as it has served.
     """
     rows = stored(_sketched(docs, width), "sketched")
     repeated = not rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
@@ -242,6 +243,8 @@ def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) ->
         .select("node", "doc_id", "r.*"),
         "classes",
     )
+    lean = stored(rows.select("doc_id", "digest", "n_shingles"), "digests")
+    forget(rows)
     banded = classes.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(banded.join(shared, "bucket"), "members")
@@ -259,7 +262,9 @@ def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) ->
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
-    links = _verified(first, _sets_of(ends(first), classes, docs, repeated, nameless, width), percent)
+    sets = _sets_of(ends(first), classes, docs, repeated, nameless, width)
+    links = _verified(first, sets, percent)
+    forget(sets)
     joined = components(links, "a", "b")
 
     placed = stored(
@@ -268,29 +273,35 @@ def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) ->
         .withColumn("component", F.coalesce("component", "node")),
         "placed",
     )
+    forget(members)
     open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
     still = stored(placed.join(open_buckets.select("bucket"), "bucket", "left_semi"), "still")
+    forget(placed)
     small, large = still.where(F.col("n") <= BLOCK_ROWS), still.where(F.col("n") > BLOCK_ROWS)
     rest = stored(_alike(small.join(classes.select("node", "sketch"), "node"), percent).join(first, ["a", "b"], "left_anti"), "pairs")
     crowd = large.select("node").distinct()
     sets = _sets_of(ends(rest).union(crowd).distinct(), classes, docs, repeated, nameless, width)
     held = large.drop("n").join(classes.select("node", "sketch", "buckets"), "node").join(sets, "node")
     more = _verified(rest, sets, percent).union(_small_batches(_linked_in_blocks(held, percent)))
+    more = stored(more, "links")
+    forget(sets, still, rest, first)
     joined = components(links.union(more), "a", "b")
 
     labelled = classes.select("node", "doc_id").join(joined, "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = labelled.join(least, "component").select(F.col("node").alias("digest"), "component", "component_id")
-    return rows.select("doc_id", "digest", "n_shingles").join(named, "digest", "left")
+    found = stored(lean.join(named, "digest", "left"), "components")
+    forget(lean, classes, links, more)
+    return found
 
 
 def digest_of(text: Column, width: int) -> Column:
     """The digest that ``with_components`` gives a text; null for one without shingles."""
-    hashes = WordHashes()
 
     @F.arrow_udf("binary")
     def digest(texts: pa.Array) -> pa.Array:
+        hashes = word_hashes()
         sets = [shingle_set(hashes.of(lower_words(t)), width) for t in to_bytes(texts)]
         return pa.array([hashlib.md5(one.tobytes()).digest() if len(one) else None for one in sets], pa.binary())
 
@@ -320,3 +331,31 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
+
+
+def single_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of similar documents, that of least doc_id.
+
+    A row without doc_id is kept only where none of its group has one. Rows that share a doc_id
+    are judged by their own texts, each, and of those with equal shingles too one stays. A row in no
+    group stays, as does every row without shingles. All columns are as they were.
+    """
+    carried = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
+    )
+    found = with_components(carried.select("doc_id", "text"), width, percent)
+    shared = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "shared-ids")
+    dropped = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "dropped-ids")
+    single = carried.where("doc_id IS NOT NULL").join(shared, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti")
+
+    # Rows that their doc_id does not tell apart: by the digest too, and one of those equal in both.
+    columns = ("row", "doc_id", "text")
+    others = carried.where("doc_id IS NULL").unionByName(carried.join(shared, "doc_id", "left_semi").select(*columns))
+    others = others.withColumn("digest", digest_of(F.col("text"), width))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("k")
+    keepers = found.where("component IS NOT NULL").groupBy("component").agg(first)
+    keepers = keepers.select(F.col("k.doc_id").alias("kept_id"), F.col("k.digest").alias("kept_digest"))
+    same = (F.col("digest") == F.col("kept_digest")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    told = others.join(keepers, same, "left_semi").dropDuplicates(["doc_id", "digest"])
+    loose = others.where("digest IS NULL")
+    return single.select("row.*").union(told.select("row.*")).union(loose.select("row.*"))

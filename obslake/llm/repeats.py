@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.llm.scratch import stored
-from obslake.llm.text import WordHashes, lower_words, shingles, to_bytes
+from obslake.llm.text import lower_words, shingles, to_bytes, word_hashes
 from obslake.session import shared_folder
 
 LEAST_WORDS = 50
@@ -77,7 +77,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     """Identity of the text's words, their number, and the kept positions of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             nodes, counts, keys, places = [], [], [], []
             for text in to_bytes(batch.column("text")):
@@ -103,7 +103,7 @@ def _contexts(docs: DataFrame) -> DataFrame:
     """Suffix and reversed prefix of the kept positions in ``wanted`` (key, place, size), as far as their windows reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             out = []
             texts, nodes = to_bytes(batch.column("text")), batch.column("node").to_pylist()
@@ -251,7 +251,7 @@ def _window_hashes(contexts: DataFrame) -> DataFrame:
     """(node, start, w1, w2): a hash of every window of the given positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("place", "suffix", "prefix")]
             starts, sums, counts = [], ([], []), []

@@ -47,5 +47,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` gave, once all that reads them is stored itself."""
+    for table in tables:
+        spark, path = table.sparkSession, table.stored_at
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

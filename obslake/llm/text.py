@@ -13,8 +13,8 @@ _MIX_2 = np.uint64(0xC4CEB9FE1A85EC53)
 _CHAIN = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(33)
 
-#: Entries a task's table of word hashes may hold before it starts anew. Speed only.
-WORDS_REMEMBERED = 500_000
+#: Entries a worker's table of word hashes may hold before it starts anew. Speed only; some 15 MB.
+WORDS_REMEMBERED = 100_000
 
 
 def to_bytes(texts: pa.Array) -> list[bytes]:
@@ -52,6 +52,14 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, sequence), np.uint64, len(sequence))
 
 
+_WORD_HASHES = WordHashes()
+
+
+def word_hashes() -> WordHashes:
+    """The one table of a Python worker, whatever functions it runs."""
+    return _WORD_HASHES
+
+
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     """A hash for each run of ``width`` words, in order, repeats included.
 
