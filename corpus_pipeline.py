@@ -16,7 +16,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the rules and the repute of their source reject."""
     prepare(spark)
-    return quality.assess(docs).where("kept").select(*docs.columns)
+    return quality.kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,21 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are judged by their own texts, each; a row in no group stays.
     """
     prepare(spark)
-    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = stored(near_dedup.with_components(lean, width=5), "components")
-    shared = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "shared-ids")
-    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
-    single = docs.where("doc_id IS NOT NULL").join(shared, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti")
-
-    # Rows that their doc_id does not tell apart: by the digest too, and one of those equal in both.
-    others = docs.where("doc_id IS NULL").select(*docs.columns).unionByName(docs.join(shared, "doc_id", "left_semi").select(*docs.columns))
-    others = others.withColumn("__digest", near_dedup.digest_of(F.col("text"), 5))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("k")
-    keepers = found.where("component IS NOT NULL").groupBy("component").agg(first).select(F.col("k.doc_id").alias("__id"), F.col("k.digest").alias("__kept"))
-    same = (F.col("__digest") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    told = others.join(keepers, same, "left_semi").dropDuplicates(["doc_id", "__digest"])
-    loose = others.where("__digest IS NULL")
-    return single.select(*docs.columns).union(told.select(*docs.columns)).union(loose.select(*docs.columns))
+    return near_dedup.single_documents(docs, width=5)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
