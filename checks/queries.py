@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +15,11 @@ from checks import views as v
 from obslake import vocab
 from obslake.functions import times
 from obslake.operators import derived, filters, inventory, profiles, quality, standardize
+from obslake.operators.atlas import Grid
 from obslake.plans import jobs, lake
 from obslake.session import apply_settings, shared_folder
 from obslake.sources import catalog, readers, writers
-from obslake.streaming import ingest, latest, report
+from obslake.streaming import ingest, latest, moments, report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -461,14 +463,7 @@ def profile_unknown_parameters(spark, d):
 @query
 def profile_raw_table(spark, d):
     sound, _ = profiles.split_rejects(profiles.mark_rejects(v.profile_arrays(spark, d)), "input_file")
-    return profiles.raw_table(sound, "BGC").select(*RAW_TABLE_COLUMNS)
-
-
-RAW_TABLE_COLUMNS = [
-    "PLATFORM_NUMBER", "N_PROF", "N_LEVELS", "CYCLE_NUMBER", "DIRECTION", "LATITUDE", "LONGITUDE", "JULD",
-    "PRES", "PRES_QC", "PRES_DATA_MODE", "TEMP", "TEMP_dPRES", "TEMP_DATA_MODE", "PSAL", "PSAL_DATA_MODE",
-    "DOXY", "DOXY_DATA_MODE",
-]
+    return profiles.raw_table(sound, "BGC")
 
 
 # --- derived variables --------------------------------------------------------------
@@ -590,7 +585,7 @@ def job_raw_profiles(spark, d):
     """Profiles with arrays to the raw table on disk, sound files only."""
     root = shared_folder(spark, "raw")
     jobs.raw_profiles(spark, v.profile_arrays(spark, d), "PHY", f"{root}/PHY", f"{root}/rejects", "input_file", layout="scan")
-    return spark.read.parquet(f"{root}/PHY").select("PLATFORM_NUMBER", "CYCLE_NUMBER", "N_PROF", "N_LEVELS", "PRES", "TEMP", "PSAL")
+    return spark.read.parquet(f"{root}/PHY")
 
 
 def _stream(spark, d, view: v.View) -> DataFrame:
@@ -622,3 +617,264 @@ def stream_load_report(spark, d):
     root = shared_folder(spark, "report")
     report.watch(_stream(spark, d, v.ARRIVALS), f"{root}/report", f"{root}/checkpoint").awaitTermination()
     return report.totals(spark, f"{root}/report")
+
+
+# --- streams of several batches -----------------------------------------------------
+
+
+def _issued(df: DataFrame, batch: str, count: int, path: str) -> T.StructType:
+    """Write a table as one file per batch, in order, as files arrive one after another; the files' schema."""
+    for number in range(count):
+        df.where(F.col(batch) == number).drop(batch).coalesce(1).write.mode("append").parquet(path)
+    return df.drop(batch).schema
+
+
+@query
+def stream_hourly_closed(spark, d):
+    """Hours closed by a watermark, those still open, and what came too late for its hour."""
+    root = shared_folder(spark, "closing")
+    schema = _issued(v.ARRIVALS_IN_BATCHES.read(spark, d), "batch", 10, f"{root}/in")
+    report.close_hours(ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=1), f"{root}/report", delay="2 hours")
+    late = report.late_rows(spark, f"{root}/report").groupBy(F.date_trunc("hour", "arrived").alias("hour")).agg(F.count("*").alias("n_late"))
+    hour = F.col("hour").cast("timestamp_ntz")
+    closed = report.closed_hours(spark, f"{root}/report").withColumn("closed", F.lit(True))
+    counted = closed.unionByName(report.open_hours(spark, f"{root}/report").withColumn("closed", F.lit(False)))
+    return counted.withColumn("hour", hour).join(late.withColumn("hour", hour), "hour", "full")
+
+
+@query
+def stream_latest_compacted(spark, d):
+    """Index entries in seven batches, compacted twice on the way; a third compaction dies before its pointer."""
+    root = shared_folder(spark, "compacted")
+    entries = v.REISSUED.read(spark, d).withColumn("batch", F.pmod("version", F.lit(7)).cast("int"))
+    schema = _issued(entries, "batch", 7, f"{root}/in")
+    stream = ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=1)
+    latest.follow(stream, f"{root}/state", f"{root}/checkpoint", compact_every=3).awaitTermination()
+    spark.read.parquet(f"{root}/in").limit(0).write.parquet(f"{root}/state/_snapshots/000000000006-unfinished")
+    latest.prune(spark, f"{root}/state")
+    return latest.current(spark, f"{root}/state")
+
+
+@query
+def stream_group_std(spark, d):
+    """The deviation of a lake's column per platform, from batches that are not read again."""
+    root = shared_folder(spark, "moments")
+    raw = v.OBS_PHY.read(spark, d).withColumn("batch", F.col("N_LEVELS") - 1)
+    schema = _issued(raw, "batch", 7, f"{root}/in")
+    lake_rows = quality.best_value_table(ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=1), "PHY")
+    moments.follow(lake_rows, f"{root}/state", f"{root}/checkpoint", ["PLATFORM_NUMBER"], "PSAL").awaitTermination()
+    spread = moments.deviation(spark, f"{root}/state", ["PLATFORM_NUMBER"])
+    return spread.select("PLATFORM_NUMBER", F.round("std", 6).alias("std"))
+
+
+@query
+def ingest_stream_restarted(spark, d):
+    """Best values of raw files in six batches; the transform fails in the fourth, and the ingest is started again."""
+    root = shared_folder(spark, "restarted")
+    raw = v.OBS_PHY.read(spark, d).withColumn("batch", F.pmod("CYCLE_NUMBER", F.lit(6)))
+    schema = _issued(raw, "batch", 6, f"{root}/in")
+
+    def stream() -> DataFrame:
+        return ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=1)
+
+    def sound(df: DataFrame) -> DataFrame:
+        return quality.best_value_table(df, "PHY")
+
+    def failing(df: DataFrame) -> DataFrame:
+        broken = F.when(F.pmod("CYCLE_NUMBER", F.lit(6)) == 3, F.raise_error(F.lit("injected")).cast("bigint"))
+        return sound(df.withColumn("PLATFORM_NUMBER", broken.otherwise(F.col("PLATFORM_NUMBER"))))
+
+    try:
+        ingest.ingest(stream(), failing, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    except StreamingQueryException:
+        ingest.ingest_with_restarts(stream, sound, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+# --- two issues of the index --------------------------------------------------------
+
+
+def _issue(spark, d, view: v.View) -> DataFrame:
+    return inventory.enrich_index(inventory.parse_index(view.read(spark, d)))
+
+
+@query
+def index_changes(spark, d):
+    return inventory.index_changes(_issue(spark, d, v.PROFILE_INDEX_BEFORE), _issue(spark, d, v.PROFILE_INDEX_AFTER))
+
+
+@query
+def fetch_plan_delta(spark, d):
+    """The plan after an index is issued again, from the earlier state and what has changed."""
+    before, after = _issue(spark, d, v.PROFILE_INDEX_BEFORE), _issue(spark, d, v.PROFILE_INDEX_AFTER)
+    state = inventory.platform_state(before)
+    state = inventory.updated_state(state, inventory.index_changes(before, after), after)
+    return inventory.plan_from_state(state, copies(spark, d), dataset="bgc", url_root="dac/", save_to="gdac")
+
+
+MOMENTS = [datetime(2002, 1, 1), datetime(2003, 6, 15, 6), datetime(2004, 6, 15, 5, 59, 59), datetime(2001, 1, 1)]
+
+
+@query
+def index_staleness_as_of(spark, d):
+    return inventory.staleness_as_of(index(spark, d), copies(spark, d), MOMENTS)
+
+
+@query
+def profile_data_mode_long(spark, d):
+    """The modes of ``profile_data_mode``, given as rows."""
+    arrays = v.profile_arrays(spark, d).select(*_PROFILE_KEYS, *v.PROFILE_LISTS)
+    names = ["PRES", "TEMP", "PSAL", "DOXY"]
+    pairs = F.arrays_zip("PARAMETER", F.slice("PARAMETER_DATA_MODE", F.lit(1), F.size("PARAMETER")).alias("DATA_MODE"))
+    long = arrays.select(*_PROFILE_KEYS, F.posexplode(pairs).alias("POSITION", "pair")).select(*_PROFILE_KEYS, "POSITION", "pair.*")
+    spread = profiles.modes_from_rows(arrays, long, _PROFILE_KEYS, names=names, strict=False)
+    return spread.select(*_PROFILE_KEYS, *[f"{n}_DATA_MODE" for n in names])
+
+
+# --- the salinity atlas -------------------------------------------------------------
+
+ATLAS_GRID = Grid(step=float(v.ATLAS_STEP), longitude=1.0, latitude=-90.0)
+
+
+def atlas(spark, d) -> DataFrame:
+    points = v.ATLAS_POINTS.read(spark, d).where("(east + 3 * north + level) % 7 <> 5")
+    ratios = points.groupBy("east", "north", "level").agg(F.min("ratio").alias("ratio"))
+    return ratios.selectExpr("1e0 + 30e0 * east AS longitude", "-90e0 + 30e0 * north AS latitude", "500e0 * level AS pressure", "ratio")
+
+
+@query
+def derived_abs_salinity_atlas(spark, d):
+    """Absolute salinity with the regional anomaly: over holes, round the date line and at the poles."""
+    best = quality.best_value_table(v.OBS_PHY.read(spark, d), "PHY").select(*_DERIVED_KEYS)
+    return derived.add_derived(best, atlas(spark, d), ATLAS_GRID).select(*_DERIVED_KEYS, "ABS_SAL_COMPUTED")
+
+
+@query
+def job_bottle_phy_atlas(spark, d):
+    return jobs.to_lake(v.SRC_BOTTLE.read(spark, d), "GLODAP", "PHY", True, atlas(spark, d), ATLAS_GRID)
+
+
+# --- files that cannot be read, and the jobs end to end -----------------------------
+
+
+def _cut_short(spark, folder: str) -> None:
+    """Leave half of the one data file in a folder, as a copy that was broken off does."""
+    (path,) = catalog.matching_paths(spark, f"{folder}/*.parquet")
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    half = spark.read.format("binaryFile").load(path).selectExpr("substring(content, 1, cast(length / 2 as int)) AS half").first()["half"]
+    out = files.create(place, True)
+    out.write(bytearray(half))
+    out.close()
+
+
+@query
+def job_corrupt_file(spark, d):
+    """Files of raw profiles of which one is cut short: the others' rows, and how many files were rejected why."""
+    root, arrays = shared_folder(spark, "cut-short"), v.profile_arrays(spark, d)
+    cut = F.col("PLATFORM_NUMBER") % 50 == 3
+    arrays.where(cut).coalesce(1).write.parquet(f"{root}/in")
+    _cut_short(spark, f"{root}/in")
+    arrays.where(~cut).write.mode("append").parquet(f"{root}/in")
+    jobs.raw_files(spark, f"{root}/in", "PHY", f"{root}/PHY", f"{root}/rejects", deep=True)
+    files = spark.read.parquet(f"{root}/rejects_files").agg(F.count("*").alias("n_files"), F.max("reason").alias("file_reason"))
+    return spark.read.parquet(f"{root}/PHY").crossJoin(F.broadcast(files))
+
+
+@query
+def csv_rejects(spark, d):
+    """Text records of one and of three lines: the sound ones, and for the others the sample, the reason and the line breaks."""
+    path = shared_folder(spark, "records")
+    v.PLANKTON_LINES.read(spark, d).write.csv(path, header=True, escape='"')
+    good, bad = readers.read_records_with_rejects(spark, path, "CPR")
+    kept = good.select("SampleId", "Latitude", "Longitude", "MidPoint_Date_UTC", "Chlorophyll_Index")
+    sample = F.regexp_extract("row", '^"?([0-9]+DA)', 1).alias("SampleId")
+    breaks = (F.length("row") - F.length(F.replace("row", F.lit("\n")))).cast("int").alias("n_breaks")
+    return kept.unionByName(bad.select(sample, "reason", breaks), allowMissingColumns=True)
+
+
+@query
+def job_argo_bgc(spark, d):
+    """Raw profiles on disk to best values with derived variables on disk."""
+    root = shared_folder(spark, "argo-bgc")
+    v.OBS_BGC.read(spark, d).write.parquet(f"{root}/raw")
+    jobs.argo_best_values(spark, f"{root}/raw", "BGC", f"{root}/out")
+    return spark.read.parquet(f"{root}/out")
+
+
+@query
+def job_glider(spark, d):
+    root = shared_folder(spark, "glider")
+    v.SRC_GLIDER.read(spark, d).write.parquet(f"{root}/raw")
+    jobs.gliders(spark, f"{root}/raw", f"{root}/out")
+    return spark.read.parquet(f"{root}/out")
+
+
+@query
+def job_plankton(spark, d):
+    """Plankton text to both profile types."""
+    root = shared_folder(spark, "plankton")
+    v.SRC_PLANKTON.read(spark, d).write.csv(f"{root}/text", header=True)
+    jobs.plankton(spark, f"{root}/text", f"{root}/PHY", f"{root}/BGC")
+    both = [spark.read.parquet(f"{root}/{p}").withColumn("profile", F.lit(p)) for p in ("PHY", "BGC")]
+    return both[0].unionByName(both[1], allowMissingColumns=True)
+
+
+@query
+def convert_many_files(spark, d):
+    """Bottle text in many files with one header to the lake."""
+    root = shared_folder(spark, "many")
+    rows = v.SRC_BOTTLE.read(spark, d)
+    for part in range(4):
+        rows.where(F.col("G2month") % 4 == part).coalesce(1).write.csv(f"{root}/text/{part}", header=True)
+    paths = catalog.matching_paths(spark, f"{root}/text/*/*.csv")
+    jobs.convert(spark, paths, "GLODAP", "BGC", f"{root}/out")
+    return spark.read.parquet(f"{root}/out")
+
+
+def _index_file(spark, d, folder: str) -> str:
+    """The index as text: a comment, a header, then the entries."""
+    entries = v.PROFILE_INDEX.read(spark, d)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in entries.columns])
+    top = spark.createDataFrame([("# Title : index of profile files",), (",".join(entries.columns),)], "value string").coalesce(1)
+    top.union(entries.select(line.alias("value"))).coalesce(1).write.text(folder)
+    return folder
+
+
+def _platforms_of_index(arrays: DataFrame) -> DataFrame:
+    return arrays.withColumn("PLATFORM_NUMBER", F.col("PLATFORM_NUMBER") + 900000)
+
+
+def _index_to_raw(spark, d) -> tuple[str, DataFrame]:
+    root = shared_folder(spark, "index-to-raw")
+    _platforms_of_index(v.profile_arrays(spark, d)).write.parquet(f"{root}/arrays")
+    index_path = _index_file(spark, d, f"{root}/index")
+    plan = jobs.plan_and_ingest(
+        spark, index_path, f"{root}/arrays", "phy", f"{root}/lake", copies(spark, d), "dac/", "gdac", latitudes=[-30, 45.5], longitudes=[-60, 20]
+    )
+    return root, plan
+
+
+@query
+def job_index_to_raw(spark, d):
+    """Index text and profiles with arrays to the raw table of the wanted platforms."""
+    return spark.read.parquet(f"{_index_to_raw(spark, d)[0]}/lake/PHY")
+
+
+@query
+def job_index_plan(spark, d):
+    """The files that are still to fetch after the same job."""
+    return _index_to_raw(spark, d)[1]
+
+
+@query
+def index_metadata(spark, d):
+    """The wanted part of the index, as it lies beside the data after the same job."""
+    return spark.read.parquet(f"{_index_to_raw(spark, d)[0]}/lake/metadata/phy")
+
+
+@query
+def index_text(spark, d):
+    """The index read from text with a comment line."""
+    return inventory.enrich_index(readers.read_index(spark, _index_file(spark, d, shared_folder(spark, "index-text"))))

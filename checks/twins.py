@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 
 from checks import views as v
-from obslake.vocab import lake_columns
+from obslake.vocab import lake_columns, parameters, raw_columns
 from checks.seawater_sql import abs_salinity_sql, ct_sql, pressure_sql, sigma1_sql
+from checks.seawater_tables import SSO
 
 GOOD = "(1, 2, 5, 8)"
 PARAMS = {"PHY": ["PRES", "TEMP", "PSAL"], "BGC": ["PRES", "TEMP", "PSAL", "DOXY", "CHLA_FLUORESCENCE"]}
@@ -178,6 +179,20 @@ CTES["idx"] = (
     f"cast({part(4)} AS integer) AS wmoid, {part(2)} AS filepath_main, {part(1)} AS filepath, "
     f"{part(3)} AS filename, cast({part(5)} AS integer) AS cycle FROM profile_index"
 )
+def enriched(source: str) -> str:
+    return CTES["idx"].replace("FROM profile_index", f"FROM {source}")
+
+
+CTES["idx_before"] = enriched("profile_index_before")
+CTES["idx_after"] = enriched("profile_index_after")
+_PER_FILE = "SELECT file, any_value(filename) AS filename, any_value(wmoid) AS wmoid, any_value(filepath_main) AS filepath_main, max(date_update) AS latest, bool_or(date_update IS NULL) AS undated FROM idx_{} GROUP BY file"
+CTES["file_before"], CTES["file_after"] = _PER_FILE.format("before"), _PER_FILE.format("after")
+CTES["file_change"] = (
+    "SELECT coalesce(o.file, n.file) AS file, coalesce(n.filename, o.filename) AS filename, coalesce(n.wmoid, o.wmoid) AS wmoid, "
+    "coalesce(n.filepath_main, o.filepath_main) AS filepath_main, CASE WHEN o.file IS NULL THEN 'new' WHEN n.file IS NULL THEN 'withdrawn' "
+    "WHEN o.latest IS DISTINCT FROM n.latest OR o.undated <> n.undated THEN 'reissued' END AS change, o.latest AS old_update, n.latest AS new_update "
+    "FROM file_before o FULL JOIN file_after n ON o.file = n.file"
+)
 CTES["platform"] = "SELECT filepath_main, min_by(wmoid, file) AS wmoid FROM idx GROUP BY filepath_main"
 CTES["stale"] = (
     "SELECT i.wmoid, i.latest_update, c.mtime, "
@@ -246,6 +261,46 @@ def with_derived(source: str) -> str:
 
 
 CTES["derived_argo"] = with_derived("argo_phy")
+
+CTES["atlas_ratio"] = v.ATLAS_SQL
+CTES["atlas_corner"] = (
+    f"SELECT (cast((longitude - 1e0) / 30e0 AS integer) - e + {v.ATLAS_AROUND}) % {v.ATLAS_AROUND} AS i, "
+    "cast((latitude + 90e0) / 30e0 AS integer) - u AS j, pressure, k, ratio "
+    "FROM atlas_ratio, (VALUES (0, 0, 0), (1, 1, 0), (2, 0, 1), (3, 1, 1)) c(k, e, u)"
+)
+CTES["atlas_level"] = (
+    "SELECT i, j, pressure, "
+    + ", ".join(f"coalesce(max(ratio) FILTER (k = {k}), avg(ratio)) AS r{k}" for k in range(4))
+    + " FROM atlas_corner GROUP BY i, j, pressure"
+)
+CTES["atlas_cell"] = (
+    "SELECT i, j, list({'p': pressure, 'r0': r0, 'r1': r1, 'r2': r2, 'r3': r3} ORDER BY pressure) AS levels "
+    "FROM atlas_level GROUP BY i, j"
+)
+
+
+def with_atlas(source: str) -> str:
+    """A source's rows with absolute salinity that takes the regional ratio into account."""
+    def on(level: str) -> str:
+        south, north = (f"({level}.r{a} * (1e0 - u) + {level}.r{b} * u)" for a, b in ((0, 1), (2, 3)))
+        return f"({south} * (1e0 - v) + {north} * v)"
+
+    turned = "(LONGITUDE - 1e0) % 360e0"
+    placed = f"SELECT *, (CASE WHEN {turned} < 0 THEN ({turned} + 360e0) % 360e0 ELSE {turned} END) / 30e0 AS east, (LATITUDE + 90e0) / 30e0 AS north FROM {source}"
+    celled = "SELECT *, east - floor(east) AS u, north - floor(north) AS v FROM placed LEFT JOIN atlas_cell ON i = floor(east) AND j = floor(north)"
+    held = "SELECT *, least(greatest(cast(PRES AS double), levels[1].p), levels[-1].p) AS held_p FROM celled"
+    both = "SELECT *, list_filter(levels, lambda x: x.p <= held_p)[-1] AS lo, list_filter(levels, lambda x: x.p >= held_p)[1] AS hi FROM held"
+    share = "SELECT *, CASE WHEN hi.p > lo.p THEN (held_p - lo.p) / (hi.p - lo.p) ELSE 0e0 END AS part FROM bracketed"
+    ratio = f"coalesce({on('lo')} * (1e0 - part) + {on('hi')} * part, 0e0)"
+    salinity = f"cast(cast(PSAL AS double) * ({SSO / 35!r}::double) * (1e0 + {ratio}) AS float) AS ABS_SAL_COMPUTED"
+    return (
+        f"WITH placed AS ({placed}), celled AS ({celled}), held AS ({held}), bracketed AS ({both}), shared AS ({share}) "
+        f"SELECT * EXCLUDE (east, north, u, v, i, j, levels, held_p, lo, hi, part), {salinity} FROM shared"
+    )
+
+
+CTES["salt_argo"] = with_atlas("argo_phy")
+CTES["salt_bottle"] = with_atlas("bottle_phy")
 CTES["derived_bottle"] = with_derived("bottle_phy")
 
 # What each source has of the BGC columns; the rest is null.
@@ -277,7 +332,73 @@ def bgc_union(columns: list[str]) -> str:
 
 _NANOS_MICROS = "((nanos - ((nanos % 1000) + 1000) % 1000) // 1000)"
 
+def as_after(body: str) -> str:
+    """Platform, staleness and plan over the index as issued next."""
+    names = {"idx": "idx_after", "platform": "platform_after", "stale": "stale_after"}
+    return re.sub(r"(FROM|JOIN) (idx|platform|stale)\b", lambda m: f"{m[1]} {names[m[2]]}", body)
+
+
+CTES["platform_after"] = as_after(CTES["platform"])
+CTES["stale_after"] = as_after(CTES["stale"])
+_LATE = "date_trunc('hour', arrived) + INTERVAL 1 hour <= mark"
+CTES["batch_mark"] = (
+    "SELECT batch, max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 hours AS mark "
+    "FROM (SELECT batch, max(arrived) AS latest FROM arrivals_in_batches GROUP BY batch)"
+)
+CTES["arrival"] = f"SELECT *, coalesce({_LATE}, false) AS late FROM arrivals_in_batches JOIN batch_mark USING (batch)"
+
+def as_wanted(body: str) -> str:
+    """Platform, staleness and plan over the part of the index that is wanted."""
+    names = {"idx": "wanted_idx", "platform": "platform_wanted", "stale": "stale_wanted"}
+    return re.sub(r"(FROM|JOIN) (idx|platform|stale)\b", lambda m: f"{m[1]} {names[m[2]]}", body)
+
+
+CTES["wanted_idx"] = "SELECT * FROM idx WHERE latitude BETWEEN -30 AND 45.5 AND longitude BETWEEN -60 AND 20"
+CTES["platform_wanted"] = as_wanted(CTES["platform"])
+CTES["stale_wanted"] = as_wanted(CTES["stale"])
+CTES["derived_argo_bgc"] = with_derived("argo_bgc")
+CTES["derived_glider"] = with_derived("glider")
+
+_UNCALIBRATED = "SELECT DISTINCT input_file FROM profile WHERE l_orderkey%499=0"
+CTES["uncalibrated_file"] = _UNCALIBRATED
+CTES["uncalibrated_rest"] = f"{_UNCALIBRATED} AND PLATFORM_NUMBER % 50 <> 3"
+CTES["uncalibrated_wanted"] = f"{_UNCALIBRATED} AND PLATFORM_NUMBER + 900000 IN (SELECT wmoid FROM wanted_idx)"
+
+
+def raw_table_sql(profile: str, where: str, more: str = "", number: str = "PLATFORM_NUMBER") -> str:
+    """All columns of the raw table; those that the profiles do not have are nulls of the type their name says."""
+    made = {
+        "PLATFORM_NUMBER": f"{number} AS PLATFORM_NUMBER", "N_LEVELS": "cast(i AS integer) AS N_LEVELS",
+        **{c: c for c in ("N_PROF", "CYCLE_NUMBER", "LATITUDE", "LONGITUDE", "JULD")},
+        **{p: f"cast({p} AS float) AS {p}" for p in PARAMS["PHY"]},
+    }
+    if profile == "BGC":
+        made |= {f"{n}_DATA_MODE": f"{_MODE_OF.get(n, chr(39) * 2)} AS {n}_DATA_MODE" for n in parameters("BGC", raw=True)}
+    listed = [made.get(c, f"{typed_absence(c)} AS {c}") for c in raw_columns(profile)] + ([more] if more else [])
+    return f"SELECT {', '.join(listed)} FROM levels WHERE {where}"
+
+
 BODIES: dict[str, str] = {
+    "stream_hourly_closed": "SELECT hour, CASE WHEN n > 0 THEN n_ok END AS n_ok, CASE WHEN n > 0 THEN n - n_ok END AS n_failed, n_late, "
+    "CASE WHEN n > 0 THEN hour + INTERVAL 1 hour <= (SELECT max(arrived) - INTERVAL 2 hours FROM arrival) END AS closed FROM "
+    "(SELECT date_trunc('hour', arrived) AS hour, count(*) FILTER (WHERE NOT late) AS n, "
+    "count(*) FILTER (WHERE NOT late AND NOT failed) AS n_ok, nullif(count(*) FILTER (WHERE late), 0) AS n_late FROM arrival GROUP BY 1)",
+    "stream_latest_compacted": "SELECT file, max(date_update) AS date_update, "
+    "max_by(version, (date_update, version)) AS version FROM reissued GROUP BY file",
+    "stream_group_std": "SELECT PLATFORM_NUMBER, round(stddev_samp(cast(PSAL AS double)), 6) AS std FROM argo_phy GROUP BY PLATFORM_NUMBER",
+    "ingest_stream_restarted": "SELECT * FROM argo_phy",
+    "index_changes": "SELECT * REPLACE (CASE WHEN change IN ('new', 'withdrawn') AND filename IN (SELECT filename FROM file_change WHERE change = 'new') "
+    "AND filename IN (SELECT filename FROM file_change WHERE change = 'withdrawn') THEN 'moved' ELSE change END AS change) "
+    "FROM file_change WHERE change IS NOT NULL",
+    "fetch_plan_delta": as_after(plan("_Sprof.nc", "dac/", "gdac/")),
+    "index_staleness_as_of": "SELECT c.wmoid, t.moment, max(i.date_update) FILTER (i.date_update <= t.moment) AS latest_update, "
+    "max_by(i.file, (i.date_update, i.file)) FILTER (i.date_update <= t.moment) AS latest_file, c.mtime, "
+    "NOT coalesce(max(i.date_update) FILTER (i.date_update <= t.moment) < c.mtime AND NOT bool_or(i.date_update IS NULL), false) AS stale "
+    "FROM local_inventory c CROSS JOIN (VALUES (timestamp '2002-01-01'), (timestamp '2003-06-15 06:00:00'), (timestamp '2004-06-15 05:59:59'), "
+    "(timestamp '2001-01-01')) t(moment) LEFT JOIN idx i ON i.wmoid = c.wmoid GROUP BY c.wmoid, t.moment, c.mtime",
+    "profile_data_mode_long": f"SELECT {_KEYS}, " + ", ".join(f"{e} AS {n}_DATA_MODE" for n, e in _MODE_OF.items()) + " FROM profile",
+    "derived_abs_salinity_atlas": f"SELECT {_DERIVED_KEYS}, ABS_SAL_COMPUTED FROM salt_argo",
+    "job_bottle_phy_atlas": sigma1_sql(f"({ct_sql('salt_bottle', 'ABS_SAL_COMPUTED', 'TEMP', 'PRES')})", "ABS_SAL_COMPUTED", "CONSERVATIVE_TEMP_COMPUTED"),
     "qc_row_gate_phy": "SELECT * FROM gated_phy",
     "qc_row_gate_bgc": "SELECT * FROM gated_bgc",
     "qc_best_value_phy": best_values("PHY", "obs_phy"),
@@ -377,11 +498,7 @@ BODIES: dict[str, str] = {
     "profile_rejects_null_file": f"SELECT {_KEYS}, CASE WHEN input_file IS NULL THEN reject_reason "
     "ELSE min(reject_reason) OVER (PARTITION BY input_file) END AS reject_reason FROM named_profile",
     "profile_unknown_parameters": "SELECT 'MTIME' AS parameter, count(*) AS n_profiles FROM lineitem WHERE l_orderkey%7<>0 HAVING count(*) > 0",
-    "profile_raw_table": "SELECT PLATFORM_NUMBER, N_PROF, cast(i AS integer) AS N_LEVELS, CYCLE_NUMBER, "
-    f"{NULL_S} AS DIRECTION, LATITUDE, LONGITUDE, JULD, cast(PRES AS float) AS PRES, {NULL_Q} AS PRES_QC, "
-    f"cast(TEMP AS float) AS TEMP, {NULL_F} AS TEMP_dPRES, cast(PSAL AS float) AS PSAL, {NULL_F} AS DOXY, "
-    + ", ".join(f"{e} AS {n}_DATA_MODE" for n, e in _MODE_OF.items())
-    + " FROM levels WHERE input_file NOT IN (SELECT input_file FROM bad_file)",
+    "profile_raw_table": raw_table_sql("BGC", "input_file NOT IN (SELECT input_file FROM bad_file)"),
     "derived_abs_salinity": f"SELECT {_DERIVED_KEYS}, ABS_SAL_COMPUTED FROM derived_argo",
     "derived_ct": f"SELECT {_DERIVED_KEYS}, CONSERVATIVE_TEMP_COMPUTED FROM derived_argo",
     "derived_sigma1": f"SELECT {_DERIVED_KEYS}, SIGMA1_COMPUTED FROM derived_argo",
@@ -399,9 +516,25 @@ BODIES: dict[str, str] = {
     "nullif(count(*) FILTER (WHERE l_orderkey%499=0), 0) AS n_rejects FROM profile GROUP BY PLATFORM_NUMBER",
     "lake_from_disk": union(OR_WHERES),
     "csv_roundtrip": "SELECT * FROM bottle_phy",
-    "job_raw_profiles": "SELECT PLATFORM_NUMBER, CYCLE_NUMBER, N_PROF, cast(i AS integer) AS N_LEVELS, cast(PRES AS float) AS PRES, "
-    "cast(TEMP AS float) AS TEMP, cast(PSAL AS float) AS PSAL FROM levels WHERE input_file NOT IN "
-    "(SELECT input_file FROM (SELECT concat('file_', cast(l_orderkey%997 as string)) AS input_file FROM lineitem WHERE l_orderkey%499=0))",
+    "job_raw_profiles": raw_table_sql("PHY", "input_file NOT IN (SELECT input_file FROM uncalibrated_file)"),
+    "job_corrupt_file": raw_table_sql(
+        "PHY", "PLATFORM_NUMBER % 50 <> 3 AND input_file NOT IN (SELECT input_file FROM uncalibrated_rest)", "1::bigint AS n_files, 'not a whole Parquet file' AS file_reason"
+    ),
+    "csv_rejects": "SELECT CASE WHEN Latitude = 'north' THEN regexp_extract(SampleId, '^[0-9]+DA') ELSE SampleId END AS SampleId, "
+    "try_cast(Latitude AS double) AS Latitude, CASE WHEN Latitude <> 'north' THEN Longitude END AS Longitude, "
+    "CASE WHEN Latitude <> 'north' THEN MidPoint_Date_UTC END AS MidPoint_Date_UTC, CASE WHEN Latitude <> 'north' THEN cast(Chlorophyll_Index AS varchar) END AS Chlorophyll_Index, "
+    "CASE WHEN Latitude = 'north' THEN 'malformed' END AS reason, "
+    "CASE WHEN Latitude = 'north' THEN cast(length(SampleId) - length(replace(SampleId, chr(10), '')) AS integer) END AS n_breaks FROM plankton_lines",
+    "job_argo_bgc": "SELECT * FROM derived_argo_bgc",
+    "job_glider": "SELECT * FROM derived_glider",
+    "job_plankton": "SELECT *, 'PHY' AS profile FROM plankton UNION ALL SELECT *, 'BGC' AS profile FROM plankton",
+    "convert_many_files": "SELECT * FROM bottle_bgc",
+    "job_index_to_raw": raw_table_sql(
+        "PHY", "input_file NOT IN (SELECT input_file FROM uncalibrated_wanted) AND PLATFORM_NUMBER + 900000 IN (SELECT wmoid FROM wanted_idx)", number="PLATFORM_NUMBER + 900000"
+    ),
+    "job_index_plan": "SELECT * EXCLUDE (stale) FROM (" + as_wanted(plan("_prof.nc", "dac/", "gdac/")) + ") WHERE stale",
+    "index_metadata": "SELECT * FROM wanted_idx",
+    "index_text": "SELECT * FROM idx",
     "ingest_stream": "SELECT * FROM argo_phy",
     "stream_latest_index": "SELECT file, max(date_update) AS date_update, "
     "max_by(version, (date_update, version)) AS version FROM reissued GROUP BY file",

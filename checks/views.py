@@ -128,6 +128,17 @@ SRC_PLANKTON = View(
     },
 )
 
+# Plankton samples whose names go over three lines, and some whose latitude is no number.
+PLANKTON_LINES = View(
+    "part",
+    {
+        **SRC_PLANKTON.columns,
+        "SampleId": "case when p_partkey%10=0 then concat(cast(p_partkey as string),'DA',chr(10),'second, line',chr(10),cast(p_size as string)) "
+        "else concat(cast(p_partkey as string),'DA-',cast(p_size as string)) end",
+        "Latitude": "case when p_partkey%17=0 then 'north' else cast((p_partkey*41)%181-90 as string) end",
+    },
+)
+
 SRC_GLIDER = View(
     "events",
     {
@@ -239,6 +250,45 @@ REISSUED = View(
     },
 )
 
+# Outcomes by the batch they arrive in: some come two batches late.
+ARRIVALS_IN_BATCHES = View(
+    "events",
+    {
+        "arrived": "ts",
+        "failed": "event_id%9=0",
+        "batch": "least(9, cast(floor((dayofmonth(ts)-1)/3e0) as int)+case when event_id%23=0 then 2 else 0 end)",
+    },
+)
+
+# The index as it is issued next: entries gone, moved to another data centre and issued again.
+_NEXT_FILE = PROFILE_INDEX.columns["file"].replace("case o_custkey%3 when", "case (o_custkey+case when o_custkey%30=0 then 1 else 0 end)%3 when")
+PROFILE_INDEX_BEFORE = View("orders", PROFILE_INDEX.columns, "o_orderkey%7<>0")
+PROFILE_INDEX_AFTER = View(
+    "orders",
+    {
+        **PROFILE_INDEX.columns,
+        "file": _NEXT_FILE,
+        "date_update": f"case when o_custkey%50=0 then '20070615060000' else {PROFILE_INDEX.columns['date_update']} end",
+    },
+    "o_custkey%41<>0",
+)
+
+# A coarse atlas of salinity ratios that goes round the globe and to both poles, with holes.
+ATLAS_STEP, ATLAS_AROUND = 30, 12
+ATLAS_POINTS = View(
+    "part",
+    {
+        "east": "cast(p_partkey%12 as int)",
+        "north": "cast(floor(p_partkey/12e0) as int)%7",
+        "level": "cast(floor(p_partkey/84e0) as int)%4",
+        "ratio": "cast((p_partkey*29)%64 as double)/65536e0",
+    },
+)
+ATLAS_SQL = (
+    "SELECT 1e0+30e0*east AS longitude, -90e0+30e0*north AS latitude, 500e0*level AS pressure, min(ratio) AS ratio "
+    "FROM atlas_points WHERE (east+3*north+level)%7<>5 GROUP BY east, north, level"
+)
+
 ARRIVALS = View("events", {"arrived": "ts", "failed": "event_id%9=0"})
 
 MANIFEST = View("supplier", {"input_file": "concat('p', cast(s_suppkey as string))"})
@@ -250,12 +300,17 @@ VIEWS = {
     "obs_bgc": OBS_BGC,
     "src_bottle": SRC_BOTTLE,
     "src_plankton": SRC_PLANKTON,
+    "plankton_lines": PLANKTON_LINES,
     "src_glider": SRC_GLIDER,
     "profile_index": PROFILE_INDEX,
     "local_inventory": LOCAL_INVENTORY,
     "messy": MESSY,
     "reissued": REISSUED,
     "arrivals": ARRIVALS,
+    "arrivals_in_batches": ARRIVALS_IN_BATCHES,
+    "profile_index_before": PROFILE_INDEX_BEFORE,
+    "profile_index_after": PROFILE_INDEX_AFTER,
+    "atlas_points": ATLAS_POINTS,
     "manifest": MANIFEST,
     "loaded": LOADED,
 }

@@ -128,34 +128,112 @@ def staleness(index: DataFrame, inventory: DataFrame) -> DataFrame:
     return joined.select("wmoid", "latest_update", "mtime", _out_of_date().alias("stale"))
 
 
-def platform_plan(
-    index: DataFrame,
+def staleness_as_of(index: DataFrame, inventory: DataFrame, moments: Sequence[datetime]) -> DataFrame:
+    """For each local copy and moment: the newest index entry not later than it, and whether the copy is out of date then.
+
+    All moments are answered by one aggregate over the index, which combines before its shuffle. An entry
+    without time may be of any moment, so its platform is always out of date, as in ``staleness``. A platform
+    without an entry by then has nulls, and its copy is out of date as one without update is.
+    """
+    times_asked = [F.lit(m).cast("timestamp_ntz") for m in moments]
+    dated = F.struct(F.col("date_update").alias("latest_update"), F.col("file").alias("latest_file"))
+    newest = [F.max(F.when(F.col("date_update") <= m, dated)).alias(f"__m{k}") for k, m in enumerate(times_asked)]
+    by_platform = index.where(F.col("wmoid").isNotNull()).groupBy("wmoid").agg(F.max(F.col("date_update").isNull()).alias("undated"), *newest)
+    joined = _copies(inventory, "wmoid").join(by_platform, "wmoid", "left")
+    asked = F.array(*[F.struct(m.alias("moment"), F.col(f"__m{k}").alias("newest")) for k, m in enumerate(times_asked)])
+    spread = joined.select("wmoid", "mtime", "undated", F.explode(asked).alias("a")).select(
+        "wmoid", "mtime", "undated", "a.moment", "a.newest.latest_update", "a.newest.latest_file"
+    )
+    return spread.select("wmoid", "moment", "latest_update", "latest_file", "mtime", _out_of_date().alias("stale"))
+
+
+# --- between two issues of the index ------------------------------------------------
+
+CHANGES = ("new", "moved", "reissued", "withdrawn")
+
+
+def _by_file(index: DataFrame) -> DataFrame:
+    return index.groupBy("file").agg(
+        F.first("filename").alias("filename"),
+        F.first("wmoid").alias("wmoid"),
+        F.first("filepath_main").alias("filepath_main"),
+        F.max("date_update").alias("latest_update"),
+        F.max(F.col("date_update").isNull()).alias("undated"),
+    )
+
+
+def index_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What differs between two issues of the index: a row for each ``file`` with its ``change``.
+
+    new: only the later issue has it; withdrawn: only the earlier one; reissued: its newest update time differs, or
+    whether one is missing. A file name that one data centre's folder loses and another's gains is moved, in both rows.
+    """
+    old, new = _by_file(before), _by_file(after)
+    sides = {c: (F.col(f"o.{c}"), F.col(f"n.{c}")) for c in ("filename", "wmoid", "filepath_main")}
+    joined = old.alias("o").join(new.alias("n"), F.col("o.file") == F.col("n.file"), "full")
+    same = F.col("o.latest_update").eqNullSafe(F.col("n.latest_update")) & F.col("o.undated").eqNullSafe(F.col("n.undated"))
+    change = F.when(F.col("o.file").isNull(), "new").when(F.col("n.file").isNull(), "withdrawn").when(~same, "reissued")
+    found = joined.select(
+        F.coalesce("o.file", "n.file").alias("file"),
+        *[F.coalesce(b, a).alias(c) for c, (a, b) in sides.items()],
+        change.alias("change"),
+        F.col("o.latest_update").alias("old_update"),
+        F.col("n.latest_update").alias("new_update"),
+    )
+    changed = written(found.where("change IS NOT NULL"), "index-changes")
+    both = changed.where("filename IS NOT NULL").groupBy("filename").agg(
+        (F.max(F.col("change") == "new") & F.max(F.col("change") == "withdrawn")).alias("__moved")
+    )
+    joined = changed.join(both, "filename", "left")
+    moved = F.coalesce("__moved", F.lit(False)) & F.col("change").isin("new", "withdrawn")
+    return joined.withColumn("change", F.when(moved, "moved").otherwise(F.col("change"))).select(*changed.columns)
+
+
+def platform_state(index: DataFrame) -> DataFrame:
+    """(filepath_main, wmoid, latest_update, undated): what a plan needs of the index, one row per platform path."""
+    pairs = written(_by_path_and_platform(index), "platforms")
+    return _one_per_path(pairs).join(_newest(pairs), "wmoid", "left").select("filepath_main", "wmoid", "latest_update", "undated")
+
+
+def updated_state(state: DataFrame, changes: DataFrame, after: DataFrame) -> DataFrame:
+    """The platform state of a new issue of the index, from that of the one before and the ``changes`` between them.
+
+    Only platforms that a change touches, and those that share a path with one, are worked out again. The
+    rest of the state is taken over, so the new index is read but not aggregated as a whole.
+    """
+    touched_paths = changes.select("filepath_main").where("filepath_main IS NOT NULL").distinct()
+    touched = changes.select("wmoid").where("wmoid IS NOT NULL").distinct()
+    lean = after.select("file", "filepath_main", "wmoid", "date_update")
+    of_platforms = lean.join(touched, "wmoid", "left_semi").select("filepath_main").where("filepath_main IS NOT NULL")
+    shown = state.join(touched, "wmoid", "left_semi").select("filepath_main")
+    paths = written(touched_paths.union(of_platforms).union(shown).distinct(), "touched-paths")
+    platforms = written(lean.join(paths, "filepath_main", "left_semi").select("wmoid").where("wmoid IS NOT NULL").distinct(), "touched-platforms")
+    by_path = lean.join(paths, "filepath_main", "left_semi").select(*lean.columns)
+    by_platform = lean.join(platforms, "wmoid", "left_semi").select(*lean.columns)
+    others = by_platform.join(paths, "filepath_main", "left_anti").select(*lean.columns)
+    again = platform_state(by_path.union(others)).join(paths, "filepath_main", "left_semi")
+    return state.join(paths, "filepath_main", "left_anti").unionByName(again)
+
+
+def plan_from_state(
+    state: DataFrame,
     inventory: DataFrame | None = None,
     dataset: str = "bgc",
     url_root: str = "",
     save_to: str = "",
     check_time: bool = True,
 ) -> DataFrame:
-    """One row per platform path: file to fetch, where from, where to, and whether it is due.
-
-    ``inventory`` lists local copies with their ``mtime``, by ``local_path`` if it has
-    that column, else by ``wmoid``. Without ``check_time`` every file is due.
-
-    The index is read once: what is left of it, a row per path and platform, is stored and
-    then used twice.
-    """
-    pairs = written(_by_path_and_platform(index), "platforms")
+    """As ``platform_plan``, from a platform state."""
     root = f"{save_to.rstrip('/')}/" if save_to else ""
-    platforms = _one_per_path(pairs).withColumn(
+    platforms = state.withColumn(
         "file_name", F.concat(F.col("wmoid").cast("string"), F.lit(PLATFORM_FILE_ENDING[dataset_name(dataset)]))
     )
-    located = platforms.withColumns(
+    dated = platforms.withColumns(
         {
             "url": F.concat(F.lit(url_root), F.col("filepath_main")),
             "local_path": F.concat(F.lit(root), F.col("filepath_main"), F.col("file_name")),
         }
     )
-    dated = located.join(_newest(pairs), "wmoid", "left")
     if inventory is None:
         dated = dated.withColumn("mtime", F.lit(None).cast("timestamp_ntz"))
     else:
@@ -167,6 +245,25 @@ def platform_plan(
     )
 
 
+def platform_plan(
+    index: DataFrame,
+    inventory: DataFrame | None = None,
+    dataset: str = "bgc",
+    url_root: str = "",
+    save_to: str = "",
+    check_time: bool = True,
+) -> DataFrame:
+    """One row per platform path: file to fetch, where from, where to, and whether it is due.
+
+    ``inventory`` lists local copies with their ``mtime``, by ``local_path`` if it has
+    that column, else by ``wmoid``. Without ``check_time`` every file is due.
+
+    The index is read once: what is left of it, a row per path and platform, is stored and
+    then used twice.
+    """
+    return plan_from_state(platform_state(index), inventory, dataset, url_root, save_to, check_time)
+
+
 def fetch_plan(index: DataFrame, inventory: DataFrame | None = None, **options: object) -> DataFrame:
     """The platform files that are missing or out of date; a dry run is this table."""
     return platform_plan(index, inventory, **options).where("stale").drop("stale")

@@ -69,6 +69,37 @@ def spread_data_modes(
     return lists.selectExpr(*[f"`{c}`" for c in own], *spread)
 
 
+def modes_from_rows(
+    df: DataFrame,
+    rows: DataFrame,
+    key: Sequence[str],
+    parameter: str = "PARAMETER",
+    mode: str = "DATA_MODE",
+    position: str = "POSITION",
+    names: Sequence[str] | None = None,
+    unset: str = "",
+    strict: bool = True,
+) -> DataFrame:
+    """As ``spread_data_modes``, for modes given as ``rows`` of (key, position, parameter, mode) instead of arrays.
+
+    The rows are pivoted over the known names, in one aggregate that combines before its shuffle; of several rows
+    for a parameter the one of the highest position counts. Profiles without rows have all modes unset, and
+    rows without profile do nothing.
+    """
+    names = vocab.parameters("BGC", raw=True) if names is None else list(names)
+    name = F.trim(F.col(parameter))
+    code = short_code(F.col(mode), strict)
+    listed = rows.where(name.isin(*names))
+    last = [F.max(F.when(name == n, F.struct(F.col(position).alias("p"), code.alias("m")))).alias(f"{n}_DATA_MODE") for n in names]
+    wide = listed.groupBy(*key).agg(*last)
+    pairs = [(k, f"__{k}") for k in key]
+    wide = wide.withColumnsRenamed(dict(pairs))
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs]
+    own = [c for c in df.columns if c not in {f"{n}_DATA_MODE" for n in names}]
+    joined = df.select(*own).join(wide, same, "left")
+    return joined.select(*own, *[F.coalesce(F.col(f"{n}_DATA_MODE")["m"], F.lit(unset)).alias(f"{n}_DATA_MODE") for n in names])
+
+
 def unknown_parameters(df: DataFrame, parameters: str = "PARAMETER") -> DataFrame:
     """Parameter names outside the raw vocabulary, with the number of profiles that list them."""
     names = df.select(F.explode(F.array_distinct(F.transform(parameters, lambda name: F.trim(name)))).alias("parameter"))

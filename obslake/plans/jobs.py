@@ -141,6 +141,18 @@ def raw_profiles(
     writers.write_table(unsound.select(*scalars), rejects, layout="scan", sidecar=False, overwrite=overwrite)
 
 
+def raw_files(
+    spark: SparkSession, path: str, profile: str, out: str, rejects: str, overwrite: bool = True, deep: bool = False, **write_options: object
+) -> None:
+    """Files of profiles with arrays to the raw table; a file that cannot be read does not stop the others.
+
+    Unsound profiles go to ``rejects``, files that cannot be read to ``rejects``_files, each with the reason.
+    """
+    arrays, unreadable = readers.read_parquet_with_rejects(spark, path, deep=deep)
+    raw_profiles(spark, arrays, profile, out, rejects, "input_file", overwrite, **write_options)
+    writers.write_table(unreadable, f"{rejects.rstrip('/')}_files", layout="scan", sidecar=False, overwrite=overwrite)
+
+
 def plan_and_ingest(
     spark: SparkSession,
     index_path: str,
@@ -157,17 +169,18 @@ def plan_and_ingest(
     """Index to plan to raw table: returns the plan of files still to fetch.
 
     The wanted part of the index is kept beside the data. Profiles that are there already
-    are ingested if their file belongs to a wanted platform. Without ``overwrite`` all three
-    tables, raw, rejects and metadata, are added to.
+    are ingested if their file belongs to a wanted platform; files that cannot be read are listed among the
+    rejects. Without ``overwrite`` all tables, raw, rejects and metadata, are added to.
     """
     index = inventory.subset_index(inventory.enrich_index(readers.read_index(spark, index_path)), dataset, **subset)
     kept = written(index, "index")
     writers.write_index_metadata(kept, root, dataset, overwrite)
     wanted = kept.select(F.col("wmoid").cast("bigint").alias("PLATFORM_NUMBER")).distinct()
-    arrays = spark.read.parquet(arrays_path).join(wanted, "PLATFORM_NUMBER", "left_semi")
-    file = "input_file" if "input_file" in arrays.columns else None
+    arrays, unreadable = readers.read_parquet_with_rejects(spark, arrays_path)
+    arrays = arrays.join(wanted, "PLATFORM_NUMBER", "left_semi")
     profile = vocab.profile_type(dataset)
-    raw_profiles(spark, arrays, profile, f"{root}/{profile}", f"{root}/rejects/{profile}", file, overwrite)
+    raw_profiles(spark, arrays, profile, f"{root}/{profile}", f"{root}/rejects/{profile}", "input_file", overwrite)
+    writers.write_table(unreadable, f"{root}/rejects/{profile}_files", layout="scan", sidecar=False, overwrite=overwrite)
     return inventory.fetch_plan(
         kept, local_copies, dataset=dataset, url_root=url_root, save_to=save_to, check_time=check_time
     )

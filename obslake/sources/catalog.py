@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 import warnings
 from collections.abc import Iterable
 
@@ -24,6 +25,33 @@ def _paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(f.getPath().toString()) for f in found or [])
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in order, on whatever file system the pattern names."""
+    return _paths(spark, pattern)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: it is written beside its place and renamed."""
+    folder, _, name = path.rpartition("/")
+    files, beside = _file_system(spark, f"{folder}/_{name}-{uuid.uuid4().hex}")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not files.rename(beside, place) and not files.exists(place):
+        raise OSError(f"could not write {path}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(_paths(spark, path))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -44,6 +45,24 @@ def ingest(stream: DataFrame, transform: Transform, out: str, checkpoint: str) -
     )
 
 
+def ingest_with_restarts(
+    stream: Callable[[], DataFrame], transform: Transform, out: str, checkpoint: str, attempts: int = 3
+) -> int:
+    """As ``ingest``, started again after a failure, ``attempts`` times in all; the number of failures.
+
+    ``stream`` is called for each start. Batches that are committed are not run again, and the sink's log leaves
+    out files of one that failed, so each row appears once. The last failure is raised.
+    """
+    for failures in range(attempts):
+        try:
+            ingest(stream(), transform, out, checkpoint).awaitTermination()
+            return failures
+        except StreamingQueryException:
+            if failures + 1 == attempts:
+                raise
+    raise ValueError("at least one attempt")
+
+
 def replace_batch(df: DataFrame, root: str, batch_id: int) -> None:
     """Write a batch's rows under its number; a batch that runs again replaces its own rows."""
     df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
