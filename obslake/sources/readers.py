@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,22 +161,26 @@ def probe_parquet(spark: SparkSession, path: str, deep: bool = False, recursive:
     whose footer is sound and whose pages are not fails the job that reads it.
     """
     look = str(recursive).lower()
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", look).option("pathGlobFilter", "*.parquet").load(path)
-    listed = listed.select(F.col("_metadata.file_path").alias("input_file"), F.col("length").alias("n_bytes"))
+    contents = spark.read.format("binaryFile").option("recursiveFileLookup", look).option("pathGlobFilter", "*.parquet").load(path)
+    listed = contents.select(F.col("_metadata.file_path").alias("input_file"), F.col("length").alias("n_bytes"))
     rows = _what_can_be_read(spark, path, recursive)
     file = F.col("_metadata.file_path").alias("input_file")
     promised = spark.createDataFrame([], "input_file string, n_rows long")
     if rows is not None:
         promised = rows.select(file).groupBy("input_file").agg(F.count("*").alias("n_rows"))
+    # Files of no bytes are in the index that Spark holds but are not scanned.
+    named = [(re.sub(r"^(\w+):///", r"\1:/", name),) for name in contents.inputFiles()]
+    names = spark.createDataFrame(named, "input_file string")
+    listed = names.join(listed, "input_file", "left").select("input_file", F.coalesce("n_bytes", F.lit(0).cast("long")).alias("n_bytes"))
     found = written(listed.join(promised, "input_file", "left"), "probed-files")
 
     silent = found.where("n_rows IS NULL").select("input_file")
-    contents = spark.read.format("binaryFile").option("recursiveFileLookup", look).option("pathGlobFilter", "*.parquet").load(path)
     mark = F.lit(b"PAR1")
     whole = (F.col("length") >= 12) & (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)
     looked_at = contents.select(F.col("_metadata.file_path").alias("input_file"), "length", "content").join(silent, "input_file", "left_semi")
     judged = written(looked_at.select("input_file", F.coalesce(whole, F.lit(False)).alias("whole")), "silent-files")
-    broken = judged.where(~F.col("whole")).select("input_file", F.lit(NO_PARQUET).alias("reason"))
+    cut = judged.where(~F.col("whole")).select("input_file").union(found.where("n_bytes = 0").select("input_file"))
+    broken = cut.select("input_file", F.lit(NO_PARQUET).alias("reason"))
     doubtful = [r.input_file for r in judged.where("whole").select("input_file").orderBy("input_file").toLocalIterator()]
     bad = [(f, BAD_FOOTER) for f in _without_footer(spark, doubtful)]
     broken = broken.union(spark.createDataFrame(bad, "input_file string, reason string"))

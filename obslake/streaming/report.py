@@ -58,8 +58,9 @@ _PART = "hour timestamp, n_ok long, n_failed long, latest timestamp"
 
 
 def _hour(time: str) -> Column:
-    """Start of the hour; the same hours as those of the windows that close."""
-    return F.window(F.col(time).cast("timestamp"), "1 hour")["start"]
+    """Start of the hour, the same as that of the window that closes; but ``window`` itself drops rows without time."""
+    seconds = F.unix_timestamp(F.col(time).cast("timestamp"))
+    return F.timestamp_seconds(F.floor(seconds / 3600) * 3600)
 
 
 def _sorted_out(stream: DataFrame, root: str, delay: str, time: str, failed: str) -> StreamingQuery:
