@@ -186,7 +186,9 @@ def probe_parquet(spark: SparkSession, path: str, deep: bool = False, recursive:
     broken = broken.union(spark.createDataFrame(bad, "input_file string, reason string"))
     if deep and rows is not None:
         every = rows.select(file, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("h"))
-        read = every.groupBy("input_file").agg(F.count("h").alias("n_read"))
+        # The hashes are asked for, or no column would be read to count rows.
+        read = every.groupBy("input_file").agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"))
+        read = read.select("input_file", F.when(F.col("x").isNotNull(), F.col("n")).alias("n_read"))
         short = found.where("n_rows > 0").join(read, "input_file", "left").where(F.coalesce("n_read", F.lit(0)) < F.col("n_rows"))
         broken = broken.union(short.select("input_file", F.lit(BAD_PAGES).alias("reason")))
     outcome = found.join(broken, "input_file", "left")
