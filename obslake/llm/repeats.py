@@ -8,8 +8,10 @@ right and to the left, as far as the windows reach that chose the position; matc
 successive positions join up to passages of any length.
 
 A neighbour agrees longest to the right. Where three or more share their K words, another could
-agree longer on the left. Unless what their neighbours match covers all that the windows of each position
-reach, such a group is settled exactly, by comparing its windows by hash.
+agree longer on the left. So windows that the neighbours' matches leave uncovered are settled exactly, by
+hash. Equal windows have their kept position at the same offset, so of a group's other windows only those at
+the offset of an uncovered one take part. And they share half of their words beside the position's K, all to its
+left or all to its right, so only positions that share such a half with another document have windows hashed.
 
 Copies of a whole text are one document here; each of them is reported in full.
 """
@@ -32,6 +34,8 @@ from obslake.session import shared_folder
 LEAST_WORDS = 50
 K = 8
 WINDOW = LEAST_WORDS - K + 1
+#: A window has K words and this many twice: on one side of the K there are as many or more.
+HALF = (LEAST_WORDS - K) // 2
 #: Stands between words in a context; no word holds it.
 _BREAK = b"\n"
 
@@ -96,11 +100,14 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _MARKED)
 
 
-_CONTEXT = "node binary, key long, size long, place int, low int, high int, suffix binary, prefix binary"
+_CONTEXT = "node binary, key long, size long, place int, low int, high int, left long, right long, suffix binary, prefix binary"
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """Suffix and reversed prefix of the kept positions in ``wanted`` (key, place, size), as far as their windows reach."""
+    """Suffix and reversed prefix of the kept positions in ``wanted`` (key, place, size), as far as their windows reach.
+
+    left and right are hashes of the ``HALF`` words before the position and after its K words, if the windows reach them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
@@ -111,13 +118,17 @@ def _contexts(docs: DataFrame) -> DataFrame:
                 tokens = lower_words(text)
                 if hashlib.md5(_BREAK.join(tokens)).digest() != node:
                     continue  # another text under the same doc_id
-                runs, minima = window_minima(hashes.of(tokens))
+                values = hashes.of(tokens)
+                runs, minima = window_minima(values)
+                halves = shingles(values, HALF).view(np.int64)
                 for one in wanted:
                     place = one["place"]
                     first, last = windows_of(place, runs, minima)
+                    left = int(halves[place - HALF]) if place - HALF >= first else None
+                    right = int(halves[place + K]) if place + K + HALF <= last + LEAST_WORDS else None
                     suffix = _BREAK.join(tokens[place : last + LEAST_WORDS])
                     prefix = _BREAK.join(tokens[first:place][::-1])
-                    reach = {"low": first, "high": last + LEAST_WORDS}
+                    reach = {"low": first, "high": last + LEAST_WORDS, "left": left, "right": right}
                     out.append({"node": node, "key": one["key"], "size": one["size"], "place": place, **reach, "suffix": suffix, "prefix": prefix})
                     if len(out) == 2000:
                         yield pa.RecordBatch.from_pylist(out, _CONTEXT_KIND)
@@ -127,7 +138,7 @@ def _contexts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _CONTEXT)
 
 
-_CONTEXT_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("suffix", pa.binary()), ("prefix", pa.binary())])
+_CONTEXT_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("left", pa.int64()), ("right", pa.int64()), ("suffix", pa.binary()), ("prefix", pa.binary())])
 
 
 def _common(one: bytes, other: bytes) -> int:
@@ -248,21 +259,30 @@ def window_sums(hashes: np.ndarray) -> list[np.ndarray]:
 
 
 def _window_hashes(contexts: DataFrame) -> DataFrame:
-    """(node, start, w1, w2): a hash of every window of the given positions."""
+    """(node, start, w1, w2): a hash of those windows of the given positions whose offset is in ``offsets``.
+
+    Bit k of ``offsets`` stands for the window that starts k words before the position.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("place", "suffix", "prefix")]
+            columns = [batch.column(c).to_pylist() for c in ("place", "offsets", "suffix", "prefix")]
             starts, sums, counts = [], ([], []), []
-            for place, suffix, prefix in zip(*columns, strict=True):
+            for place, offsets, suffix, prefix in zip(*columns, strict=True):
                 before = prefix.split(_BREAK)[::-1] if prefix else []
-                values = window_sums(hashes.of(before + suffix.split(_BREAK)))
-                counts.append(len(values[0]))
-                starts.append(np.arange(counts[-1], dtype=np.int32) + (place - len(before)))
+                tokens = before + suffix.split(_BREAK)
+                wanted = np.array([k for k in range(len(tokens) - LEAST_WORDS + 1) if offsets >> (len(before) - k) & 1], np.int64)
+                counts.append(len(wanted))
+                if not len(wanted):
+                    continue
+                # Only the words that the wanted windows reach.
+                first, last = int(wanted[0]), int(wanted[-1]) + LEAST_WORDS
+                values = window_sums(hashes.of(tokens[first:last]))
+                starts.append(wanted.astype(np.int32) + (place - len(before)))
                 for kept, value in zip(sums, values, strict=True):
-                    kept.append(value)
-            if counts:
+                    kept.append(value[wanted - first])
+            if any(counts):
                 rows = pa.array(np.repeat(np.arange(len(counts)), counts))
                 long = [pa.array(np.concatenate(kept).view(np.int64)) for kept in sums]
                 whole = [batch.column("node").take(rows), pa.array(np.concatenate(starts)), *long]
@@ -270,7 +290,7 @@ def _window_hashes(contexts: DataFrame) -> DataFrame:
                 for at in range(0, out.num_rows, 20_000):
                     yield out.slice(at, 20_000)
 
-    return contexts.select("node", "place", "suffix", "prefix").mapInArrow(run, "node binary, start int, w1 long, w2 long")
+    return contexts.select("node", "place", "offsets", "suffix", "prefix").mapInArrow(run, "node binary, start int, w1 long, w2 long")
 
 
 def _two_documents() -> list[Column]:
@@ -278,11 +298,42 @@ def _two_documents() -> list[Column]:
     return [F.min(F.xxhash64("node")).alias("a"), F.max(F.xxhash64("node")).alias("b")]
 
 
-def _settle(contexts: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Windows that repeat across documents, in the groups where comparing neighbours may fall short."""
+def _offsets(first: Column, last: Column) -> Column:
+    """Bits of the windows that start from word ``first`` to ``last``; none where there are none."""
+    high, low = (F.col("place") - first + 1).cast("int"), (F.col("place") - last).cast("int")
+    bits = F.call_function("shiftleft", F.lit(1).cast("long"), high) - F.call_function("shiftleft", F.lit(1).cast("long"), low)
+    return F.when(first <= last, bits).otherwise(F.lit(0).cast("long"))
+
+
+def _uncovered(outcomes: DataFrame) -> DataFrame:
+    """(key, offsets): where windows reach beyond what the neighbours match, over all positions of a group of three or more.
+
+    All matches of a position hold its K words, so together they cover the words from the first start to the last end.
+    """
     best = outcomes.where("size > 2").groupBy(*_PLACED).agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    groups = best.where("end IS NULL OR start > low OR end < high").select("key").distinct()
-    windows = stored(_window_hashes(contexts.join(groups, "key", "left_semi")), "windows")
+    first, last = F.col("low"), F.col("high") - LEAST_WORDS
+    left = _offsets(first, F.least(last, F.col("start") - 1))
+    right = _offsets(F.greatest(first, F.col("end") - LEAST_WORDS + 1), last)
+    offsets = F.when(F.col("end").isNull(), _offsets(first, last)).otherwise(left.bitwiseOR(right))
+    return best.select("key", offsets.alias("offsets")).where("offsets <> 0").groupBy("key").agg(F.bit_or("offsets").alias("offsets"))
+
+
+def _settle(contexts: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Windows that repeat across documents, at the offsets where comparing neighbours may fall short."""
+    # Stored, or the join would share the aggregate's shuffle and could not split a group of very many positions.
+    open_groups = stored(_uncovered(outcomes), "uncovered")
+    lean = contexts.select("node", "key", "place", "left", "right").join(open_groups, "key")
+    # Windows with HALF words or more before the position share its left half, the others its right one.
+    before, after = (F.lit(sum(1 << k for k in some)) for some in (range(HALF, WINDOW), range(HALF + 1)))
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("left").alias("half"), F.col("offsets").bitwiseAND(before).alias("bits")),
+        F.struct(F.lit(1).alias("side"), F.col("right").alias("half"), F.col("offsets").bitwiseAND(after).alias("bits")),
+    )
+    halves = lean.select("node", "key", "place", F.inline(sides)).where("half IS NOT NULL AND bits <> 0")
+    common = halves.groupBy("key", "side", "half").agg(*_two_documents()).where("a <> b").select("key", "side", "half")
+    matched = halves.join(stored(common, "shared-halves"), ["key", "side", "half"])
+    chosen = matched.groupBy("node", "key", "place").agg(F.bit_or("bits").alias("offsets"))
+    windows = stored(_window_hashes(contexts.join(stored(chosen, "open-places"), ["node", "key", "place"])), "windows")
     repeated = windows.groupBy("w1", "w2").agg(*_two_documents()).where("a <> b").select("w1", "w2")
     # Stored, or the join would share the aggregate's shuffle and could not split a window of very many documents.
     found = windows.join(stored(repeated, "repeated-windows"), ["w1", "w2"], "left_semi")
@@ -325,7 +376,9 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     read = rows.join(classes.withColumnRenamed("node", "c"), (F.col("node") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("reader")))
     placed = read.select("doc_id", "node", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
     shared = placed.groupBy("key").agg(*_two_documents(), F.count("*").alias("size")).where("a <> b")
-    wanted = placed.join(shared.select("key", "size"), "key").groupBy("doc_id", "node").agg(F.collect_set(F.struct("key", "place", "size")).alias("wanted"))
+    # Stored for the same reason as in ``_settle``.
+    shared = stored(shared.select("key", "size"), "shared-runs")
+    wanted = placed.join(shared, "key").groupBy("doc_id", "node").agg(F.collect_set(F.struct("key", "place", "size")).alias("wanted"))
     wanted = wanted.select(F.col("doc_id").alias("reader"), "node", "wanted")
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("reader"))).select("node", "text", "wanted")
     contexts = _stored_small(_contexts(texts), "contexts")
