@@ -10,8 +10,7 @@ successive positions join up to passages of any length.
 A neighbour agrees longest to the right. Where three or more share their K words, another could
 agree longer on the left. So windows that the neighbours' matches leave uncovered are settled exactly, by
 hash. Equal windows have their kept position at the same offset, so of a group's other windows only those at
-the offset of an uncovered one take part. And they share half of their words beside the position's K, all to its
-left or all to its right, so only positions that share such a half with another document have windows hashed.
+the offset of an uncovered one take part.
 
 Copies of a whole text are one document here; each of them is reported in full.
 """
@@ -34,8 +33,6 @@ from obslake.session import shared_folder
 LEAST_WORDS = 50
 K = 8
 WINDOW = LEAST_WORDS - K + 1
-#: A window has K words and this many twice: on one side of the K there are as many or more.
-HALF = (LEAST_WORDS - K) // 2
 #: Stands between words in a context; no word holds it.
 _BREAK = b"\n"
 
@@ -100,14 +97,11 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _MARKED)
 
 
-_CONTEXT = "node binary, key long, size long, place int, low int, high int, left long, right long, suffix binary, prefix binary"
+_CONTEXT = "node binary, key long, size long, place int, low int, high int, suffix binary, prefix binary"
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """Suffix and reversed prefix of the kept positions in ``wanted`` (key, place, size), as far as their windows reach.
-
-    left and right are hashes of the ``HALF`` words before the position and after its K words, if the windows reach them.
-    """
+    """Suffix and reversed prefix of the kept positions in ``wanted`` (key, place, size), as far as their windows reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
@@ -118,17 +112,13 @@ def _contexts(docs: DataFrame) -> DataFrame:
                 tokens = lower_words(text)
                 if hashlib.md5(_BREAK.join(tokens)).digest() != node:
                     continue  # another text under the same doc_id
-                values = hashes.of(tokens)
-                runs, minima = window_minima(values)
-                halves = shingles(values, HALF).view(np.int64)
+                runs, minima = window_minima(hashes.of(tokens))
                 for one in wanted:
                     place = one["place"]
                     first, last = windows_of(place, runs, minima)
-                    left = int(halves[place - HALF]) if place - HALF >= first else None
-                    right = int(halves[place + K]) if place + K + HALF <= last + LEAST_WORDS else None
                     suffix = _BREAK.join(tokens[place : last + LEAST_WORDS])
                     prefix = _BREAK.join(tokens[first:place][::-1])
-                    reach = {"low": first, "high": last + LEAST_WORDS, "left": left, "right": right}
+                    reach = {"low": first, "high": last + LEAST_WORDS}
                     out.append({"node": node, "key": one["key"], "size": one["size"], "place": place, **reach, "suffix": suffix, "prefix": prefix})
                     if len(out) == 2000:
                         yield pa.RecordBatch.from_pylist(out, _CONTEXT_KIND)
@@ -138,7 +128,7 @@ def _contexts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _CONTEXT)
 
 
-_CONTEXT_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("left", pa.int64()), ("right", pa.int64()), ("suffix", pa.binary()), ("prefix", pa.binary())])
+_CONTEXT_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("suffix", pa.binary()), ("prefix", pa.binary())])
 
 
 def _common(one: bytes, other: bytes) -> int:
@@ -321,19 +311,7 @@ def _uncovered(outcomes: DataFrame) -> DataFrame:
 def _settle(contexts: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Windows that repeat across documents, at the offsets where comparing neighbours may fall short."""
     # Stored, or the join would share the aggregate's shuffle and could not split a group of very many positions.
-    open_groups = stored(_uncovered(outcomes), "uncovered")
-    lean = contexts.select("node", "key", "place", "left", "right").join(open_groups, "key")
-    # Windows with HALF words or more before the position share its left half, the others its right one.
-    before, after = (F.lit(sum(1 << k for k in some)) for some in (range(HALF, WINDOW), range(HALF + 1)))
-    sides = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("left").alias("half"), F.col("offsets").bitwiseAND(before).alias("bits")),
-        F.struct(F.lit(1).alias("side"), F.col("right").alias("half"), F.col("offsets").bitwiseAND(after).alias("bits")),
-    )
-    halves = lean.select("node", "key", "place", F.inline(sides)).where("half IS NOT NULL AND bits <> 0")
-    common = halves.groupBy("key", "side", "half").agg(*_two_documents()).where("a <> b").select("key", "side", "half")
-    matched = halves.join(stored(common, "shared-halves"), ["key", "side", "half"])
-    chosen = matched.groupBy("node", "key", "place").agg(F.bit_or("bits").alias("offsets"))
-    windows = stored(_window_hashes(contexts.join(stored(chosen, "open-places"), ["node", "key", "place"])), "windows")
+    windows = stored(_window_hashes(contexts.join(stored(_uncovered(outcomes), "uncovered"), "key")), "windows")
     repeated = windows.groupBy("w1", "w2").agg(*_two_documents()).where("a <> b").select("w1", "w2")
     # Stored, or the join would share the aggregate's shuffle and could not split a window of very many documents.
     found = windows.join(stored(repeated, "repeated-windows"), ["w1", "w2"], "left_semi")
