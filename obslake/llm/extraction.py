@@ -50,6 +50,8 @@ def features(nodes: list[Node], k: int) -> list[str]:
     node = nodes[k]
     if node.text is None:
         seen = [f"tag={node.tag}" if len(node.tag) < 12 else "tag=?"]
+        if node.hidden:
+            seen.append("hidden")
         other = node.names & OTHER_NAMES
         if other:
             seen.append("names=other")

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import time
+
+import pytest
+
 import itertools
 import math
 import re
@@ -95,3 +99,28 @@ def test_awkward_pages(spark):
     assert got == sorted([(1, ""), (2, ""), (3, "One & two."), (3, "One & two."), (7, ""), (None, "One & two.")], key=repr)
     assert len(next(r.text for r in rows if r.page_id == 8)) == 11 * 50_000 - 1
     assert extraction.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(("part", "end"), [("<a ", ""), ("<!--", ""), ("<!--", ">"), ("<![CDATA[", ">"), ("<p><object>", ""), ("<script><", ""), ("</a ", ">"), ("&#", "")])
+def test_a_hostile_page_takes_time_in_proportion(part, end):
+    page = part * (300_000 // len(part)) + end
+    began = time.time()
+    parse(page)
+    assert time.time() - began < 10
+
+
+def test_deep_pages_take_time_in_proportion():
+    began = time.time()
+    parse("<div>" * 30_000 + "text" + "</section>" * 30_000 + "<p><object>" + "<div>" * 30_000)
+    assert time.time() - began < 10
+
+
+@pytest.mark.parametrize("part", ["<p hidden>{}</p>", '<p aria-hidden="true">{}</p>', "<noscript><p>{}</p></noscript>"])
+def test_hidden_parts_of_an_article_are_nodes_like_others(part):
+    nodes = parse("<article><p>before</p>" + part.format("inside the article") + "</article>")
+    (node,) = [n for n in nodes if n.text == "inside the article"]
+    assert not node.never
+
+
+def test_what_never_ends_is_text():
+    assert [n.text for n in parse("<p>one &amp; two<p>three <!-- four &lt; <b") if n.text] == ["one & two", "three <!-- four < <b"]
