@@ -5,36 +5,43 @@ whole documents can find it. Items are therefore partitioned by the size of thei
 set, and for the items of one partition, of at most q shingles, every document is cut into
 windows of 4q shingles that overlap by q: an item's copy lies in one window, and their
 similarity is bounded below. Each window and item is sketched by one-permutation MinHash with as
-many bins as that partition needs for a miss below ``MISS`` at the containment asked for.
-Windows and items that share a coordinate are candidates, and each candidate is verified by
-the exact share of the item's shingles in the whole document's set.
-
-Documents are never shuffled: the items are the query set, sent to the tasks in blocks of a
-bounded size (``BLOCK_SHINGLES``), and all documents are read once for each block.
+many bins as that partition needs for a miss below ``MISS`` at the containment asked for; in the
+partition of at most eight shingles, and for items shorter than a shingle, that is every shingle.
+
+Items, their coordinates and the documents' coordinates are tables. Every document is read
+once, in a task that knows two bit filters of the items, of a fixed greatest size: one of their
+coordinates and one of their shingles. A document without a coordinate that passes gives no row;
+of the others only the coordinates and shingles that pass go on. Equal coordinates make
+candidates by a join, and each candidate is verified by the exact share of the item's shingles in
+the whole document's set. Equal items count as one, and so do equal documents, until the end.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
+from obslake.llm.scratch import forget, stored
 from obslake.llm.text import in_portions, lower_words, mix, shingles, to_bytes, word_hashes
 
 WIDTH = 5
 PERCENT = 80
 MISS = 1e-9
-#: An item block holds at most so many shingles (or one item): 16 bytes each, so about 6 MB.
-BLOCK_SHINGLES = 400_000
 #: Upper sizes of the partitions: 8, 32, 128, ... shingles.
 FIRST_SIZE, SIZE_FACTOR = 8, 4
-_FILTER_BITS = 20
+#: A filter has 16 bits for each key, within these bounds: 8 KB to 8 MB. Beyond, it passes more.
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 16, 26
 
 LINKS = "array<struct<item_id:bigint,n_shared:int,n_shingles:int>>"
+_ITEMS = "item_id long, item binary, width int, upper int, shingles array<long>, coordinates array<long>"
 
 
 def partition_of(size: int) -> int:
@@ -63,33 +70,42 @@ def bins_for(upper: int, percent: int = PERCENT) -> int | None:
     return None
 
 
-class ItemPartition:
-    """Sketches of the items of one size class, looked up by coordinate."""
+class KeyFilter:
+    """Bits by the low bits of a key; all keys it was made of pass, and few others."""
+
+    def __init__(self, packed: np.ndarray):
+        self.packed, self.mask = packed, np.uint64(8 * len(packed) - 1)
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        low = keys & self.mask
+        return (self.packed[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
+
 
-    def __init__(self, upper: int, members: list[int], sets: list[np.ndarray]):
-        self.upper, self.bins = upper, bins_for(upper)
-        keys, owners = [], []
-        for k in members:
-            kept = self._coordinates(self._hashed(sets[k]), np.zeros(len(sets[k]), np.int64), 1)[0]
-            keys.append(kept)
-            owners.append(np.full(len(kept), k))
-        keys, owners = np.concatenate(keys), np.concatenate(owners)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.owners = keys[order], owners[order]
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[self._low(keys)] = True
+def key_filter(keys: DataFrame) -> KeyFilter:
+    """The filter of a table of one long column, its bits set by an aggregate."""
+    bits = (16 * keys.count()).bit_length()
+    bits = min(max(bits, LEAST_FILTER_BITS), MOST_FILTER_BITS)
+    low = F.col(keys.columns[0]).bitwiseAND(F.lit((1 << bits) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(F.lit(63)).cast("int"))
+    found = keys.groupBy(F.shiftright(low, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    packed = np.zeros(1 << (bits - 6), np.int64)
+    packed[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return KeyFilter(packed.view(np.uint8))
 
-    @staticmethod
-    def _low(keys: np.ndarray) -> np.ndarray:
-        return (keys & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)
+
+@dataclass(frozen=True)
+class SizePartition:
+    """Items of shingles of ``width`` words, at most ``upper`` of them."""
+
+    width: int
+    upper: int
+    bins: int | None
 
     def _hashed(self, elements: np.ndarray) -> np.ndarray:
         return mix(elements ^ np.uint64(self.upper))
 
-    def _coordinates(self, hashed: np.ndarray, windows: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    def _least(self, hashed: np.ndarray, windows: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
         """The least hash of each filled bin of each window, and its window."""
-        if self.bins is None:
-            return hashed, windows
         bits = self.bins.bit_length() - 1
         empty = np.uint64(0xFFFFFFFFFFFFFFFF)
         table = np.full(count * self.bins, empty, np.uint64)
@@ -97,101 +113,152 @@ class ItemPartition:
         filled = np.flatnonzero(table != empty)
         return table[filled], filled // self.bins
 
-    def candidates(self, runs: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-        """(document, item) for every window and item with an equal coordinate.
+    def of_item(self, elements: np.ndarray) -> np.ndarray:
+        """The coordinates of one item."""
+        hashed = self._hashed(elements)
+        return hashed if self.bins is None else self._least(hashed, np.zeros(len(hashed), np.int64), 1)[0]
 
-        ``runs`` has the shingles of each document in order. Only shingles that pass an
-        items' coordinate filter could collide, but all take part in a window's minima.
+    def of_documents(self, runs: list[np.ndarray], wanted: KeyFilter) -> tuple[np.ndarray, np.ndarray]:
+        """Coordinates of all windows that pass ``wanted``, and the document of each.
+
+        ``runs`` has the shingles of each document in order. Only shingles that pass could be an
+        item's coordinate, but all of such a document take part in its windows' minima.
         """
-        window, step = SIZE_FACTOR * self.upper, (SIZE_FACTOR - 1) * self.upper
         lengths = np.fromiter(map(len, runs), np.int64, len(runs))
         hashed = self._hashed(np.concatenate(runs))
-        # Documents without a shingle that hashes like a coordinate cannot collide.
         owners = np.repeat(np.arange(len(runs)), lengths)
+        passed = wanted.passes(hashed)
+        if self.bins is None:
+            return hashed[passed], owners[passed]
         near = np.zeros(len(runs), bool)
-        near[owners[self.filter[self._low(hashed)]]] = True
+        near[owners[passed]] = True
         kept = near[owners]
         hashed, owners = hashed[kept], owners[kept]
-        if not len(hashed):
-            return
+        window, step = SIZE_FACTOR * self.upper, (SIZE_FACTOR - 1) * self.upper
         starts = np.concatenate([[0], np.cumsum(np.where(near, lengths, 0))[:-1]])
         places = np.arange(len(hashed)) - starts[owners]
-        per_run = lengths // step + 1
+        per_run = np.where(near, lengths // step + 1, 0)
         first = np.concatenate([[0], np.cumsum(per_run)[:-1]])
         own = first[owners] + places // step
         # The window before also reaches over the first ``upper`` places of this step.
         also = (places >= step) & (places % step < window - step)
         windows = np.concatenate([own, own[also] - 1])
-        keys, windows = self._coordinates(np.concatenate([hashed, hashed[also]]), windows, int(per_run.sum()))
-        hit = self.filter[self._low(keys)]
-        keys, windows = keys[hit], windows[hit]
-        left, right = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
-        found = np.flatnonzero(right > left)
-        documents = np.searchsorted(first, windows[found], "right") - 1
-        for k, document in zip(found, documents, strict=True):
-            for item in self.owners[left[k] : right[k]]:
-                yield int(document), int(item)
-
-
-class ItemBlock:
-    """A bounded block of test items, ready for the search."""
-
-    def __init__(self, ids: list, sets: list[np.ndarray]):
-        self.ids, self.sets = ids, sets
-        classes: dict[int, list[int]] = {}
-        for k, one in enumerate(sets):
-            if len(one):
-                classes.setdefault(partition_of(len(one)), []).append(k)
-        self.partitions = [ItemPartition(upper, members, sets) for upper, members in sorted(classes.items())]
-
-    def search(self, runs: list[np.ndarray], percent: int) -> list[list[dict]]:
-        """The verified items of each document."""
-        out: list[list[dict]] = [[] for _ in runs]
-        for a, b in in_portions(runs):
-            pairs = sorted({pair for p in self.partitions for pair in p.candidates(runs[a:b])})
-            current, whole = -1, np.empty(0, np.uint64)
-            for document, item in pairs:
-                if document != current:
-                    current, whole = document, np.unique(runs[a + document])
-                wanted = self.sets[item]
-                at = np.minimum(np.searchsorted(whole, wanted), len(whole) - 1)
-                shared = int((whole[at] == wanted).sum())
-                if 100 * shared >= percent * len(wanted):
-                    out[a + document].append(
-                        {"item_id": self.ids[item], "n_shared": shared, "n_shingles": len(wanted)}
-                    )
-        return out
-
-
-def item_blocks(items: DataFrame, item_id: str, text: str, width: int) -> Iterator[ItemBlock]:
-    """The query set in blocks of bounded size; the driver holds one block at a time."""
-    hashes = word_hashes()
-    ids, sets, held = [], [], 0
-    for row in items.select(F.col(item_id).cast("long"), text).toLocalIterator():
-        one = np.unique(shingles(hashes.of(lower_words((row[1] or "").encode())), width))
-        if not len(one):
-            continue
-        if ids and held + len(one) > BLOCK_SHINGLES:
-            yield ItemBlock(ids, sets)
-            ids, sets, held = [], [], 0
-        ids.append(row[0])
-        sets.append(one)
-        held += len(one)
-    if ids:
-        yield ItemBlock(ids, sets)
-
-
-def _search_column(spark: SparkSession, block: ItemBlock, text: Column, percent: int, width: int) -> Column:
-    sent = spark.sparkContext.broadcast(block)
-
-    @F.arrow_udf(LINKS)
-    def search(texts: pa.Array) -> pa.Array:
+        keys, windows = self._least(np.concatenate([hashed, hashed[also]]), windows, int(per_run.sum()))
+        hit = wanted.passes(keys)
+        return keys[hit], np.repeat(np.arange(len(runs)), per_run)[windows[hit]]
+
+
+def size_partition(width: int, upper: int, percent: int) -> SizePartition:
+    return SizePartition(width, upper, bins_for(upper, percent) if upper >= FIRST_SIZE else None)
+
+
+def _lists(owners: np.ndarray, values: np.ndarray, count: int) -> pa.Array:
+    """Sorted distinct numbers of each owner as lists of signed longs."""
+    order = np.lexsort((values, owners))
+    owners, values = owners[order], values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = (owners[1:] != owners[:-1]) | (values[1:] != values[:-1])
+    owners, values = owners[new], values[new]
+    offsets = np.searchsorted(owners, np.arange(count + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, values.view(np.int64))
+
+
+def item_sets(items: DataFrame, item_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """Identity, size partition, shingles and coordinates of each item that has a word.
+
+    An item of fewer than ``width`` words is one shingle of all its words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
-        runs = [shingles(hashes.of(lower_words(t)), width) for t in to_bytes(texts)]
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_shared", pa.int32()), ("n_shingles", pa.int32())]))
-        return pa.array(sent.value.search(runs, percent), kind)
+        for batch in batches:
+            rows = []
+            for name, text in zip(batch.column("item_id").to_pylist(), to_bytes(batch.column("text")), strict=True):
+                tokens = lower_words(text)
+                if not tokens:
+                    continue
+                one = np.unique(shingles(hashes.of(tokens), width))
+                part = size_partition(min(width, len(tokens)), partition_of(len(one)) if len(tokens) >= width else 1, percent)
+                row = (name, hashlib.md5(one.tobytes()).digest(), part.width, part.upper)
+                rows.append((*row, one.view(np.int64), np.unique(part.of_item(one)).view(np.int64)))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            names = ["item_id", "item", "width", "upper", "shingles", "coordinates"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    named = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
+    return named.mapInArrow(run, _ITEMS)
+
+
+def _near_items(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, digest, coordinates, held) of the documents with a coordinate that passes the filter.
+
+    digest is the MD5 of the text, and held has its shingles that may be an item's.
+    """
+    kinds = items.select("width", "upper").distinct().collect()  # a few: sizes grow by a factor
+    partitions = [size_partition(k.width, k.upper, percent) for k in sorted(kinds)]
+    filters = [key_filter(items.select(F.explode(c))) for c in ("coordinates", "shingles")]
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, (coordinates, elements) = word_hashes(), sent.value
+        for batch in batches:
+            texts = to_bytes(batch.column("text"))
+            words = [hashes.of(lower_words(t)) for t in texts]
+            for a, b in in_portions(words):
+                runs = {width: [shingles(one, width) for one in words[a:b]] for width in {p.width for p in partitions}}
+                found = [p.of_documents(runs[p.width], coordinates) for p in partitions]
+                keys, owners = (np.concatenate([one[k] for one in found]) for k in (0, 1))
+                hit, owners = np.unique(owners, return_inverse=True)
+                if not len(hit):
+                    continue
+                held = [np.concatenate([one[k] for one in runs.values()]) for k in hit]
+                held = [one[elements.passes(one)] for one in held]
+                sizes = np.repeat(np.arange(len(hit)), list(map(len, held)))
+                columns = [
+                    batch.column("doc_id").take(pa.array(a + hit)),
+                    pa.array([hashlib.md5(texts[a + k]).digest() for k in hit], pa.binary()),
+                    _lists(owners, keys, len(hit)),
+                    _lists(sizes, np.concatenate(held), len(hit)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "coordinates", "held"])
+
+    numbers = ArrayType(LongType())
+    schema = StructType([docs.schema["doc_id"]]).add("digest", BinaryType()).add("coordinates", numbers).add("held", numbers)
+    return docs.mapInArrow(run, schema) if partitions else docs.sparkSession.createDataFrame([], schema)
+
+
+def _verified(texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(digest, item, n_shared, n_shingles) of the items that a text holds; one row per text and item."""
+    keys = texts.select("digest", F.explode("coordinates").alias("key"))
+    pairs = keys.join(classes.select("item", F.explode("coordinates").alias("key")), "key").select("digest", "item").distinct()
+    wanted = pairs.join(classes.select("item", F.size("shingles").alias("n_shingles"), F.explode("shingles").alias("shingle")), "item")
+    held = texts.select("digest", F.explode("held").alias("shingle"))
+    shared = wanted.join(held, ["digest", "shingle"]).groupBy("digest", "item")
+    counts = shared.agg(F.count("*").cast("int").alias("n_shared"), F.first("n_shingles").alias("n_shingles"))
+    return counts.where(100 * F.col("n_shared") >= percent * F.col("n_shingles"))
+
+
+def _search(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """Stored (doc_id, digest) of documents that may hold an item, and (digest, item_id, n_shared, n_shingles).
+
+    ``docs`` has doc_id and text.
+    """
+    sets = stored(item_sets(items, item_id, item_text, width, percent), "items")
+    near = stored(_near_items(docs, sets, percent), "near-items")
+    found = _verified(near.dropDuplicates(["digest"]), sets.dropDuplicates(["item"]), percent)
+    named = stored(found.join(sets.select("item", "item_id"), "item").drop("item"), "found-items")
+    rows = stored(near.select("doc_id", "digest"), "near-documents")
+    forget(sets, near)
+    return rows, named
+
+
+def _unnamed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.lit(None).cast("long").alias("doc_id"), "text")
+
 
-    return search(text)
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def with_matches(
@@ -204,31 +271,58 @@ def with_matches(
     percent: int = PERCENT,
     width: int = WIDTH,
 ) -> DataFrame:
-    """``docs`` with the list of items contained in each document, one entry per item row.
+    """``docs`` with the list of items contained in each document, one entry per item row, sorted.
 
     Words are runs of anything but ASCII white space, A-Z in lower case; a shingle is ``width``
-    words, or all words of a shorter text. A null or empty text has no shingles: such an item
-    is in no document, and such a document holds no item. Repeated items are found once
-    each, a null item_id is handed through, and repeated documents are searched each. Without
-    items every list is empty. All columns of ``docs`` stay, except one already named ``column``.
+    words. An item of fewer words is one shingle of all its words, contained in each document
+    that has these words in a row. A null or empty text has no shingles: such an item is in no
+    document, and such a document holds no item. Repeated items are found once each, a null
+    item_id is handed through, and repeated documents have the same list each. Without items every
+    list is empty. All columns of ``docs`` stay, except one already named ``column``.
+    """
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != column]
+    carried = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
+    named = _search(_unnamed(carried), items, item_id, item_text, percent, width)[1]
+    entry = F.struct("item_id", "n_shared", "n_shingles")
+    lists = named.groupBy("digest").agg(F.sort_array(F.collect_list(entry)).cast(LINKS).alias("found"))
+    joined = carried.withColumn("digest", _digest(F.col("text"))).join(lists, "digest", "left")
+    return joined.select("row.*", F.coalesce("found", F.array().cast(LINKS)).alias(column))
+
+
+def links(
+    docs: DataFrame,
+    items: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    percent: int = PERCENT,
+    width: int = WIDTH,
+) -> DataFrame:
+    """(doc_id, item_id, n_shared, n_shingles) for each item contained in a document, as ``with_matches``.
+
+    One row per row of both; every document is read once.
+    """
+    lean = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows, named = _search(lean, items, item_id, item_text, percent, width)
+    return rows.join(named, "digest").select("doc_id", "item_id", "n_shared", "n_shingles")
+
+
+def without_matches(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    percent: int = PERCENT,
+    width: int = WIDTH,
+) -> DataFrame:
+    """The documents that contain no item, with all their own columns as they were.
+
+    Texts that hold an item are a table of their digests, 16 bytes each. Spark sends it to the
+    tasks while it is below ``spark.sql.autoBroadcastJoinThreshold``, and joins it by key beyond.
     """
-    found = [
-        _search_column(docs.sparkSession, block, F.col(text), percent, width)
-        for block in item_blocks(items, item_id, item_text, width)
-    ]
-    matches = F.concat(*found) if found else F.array().cast(LINKS)
-    return docs.withColumn(column, matches)
-
-
-def links(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **names) -> DataFrame:
-    """(doc_id, item_id, n_shared, n_shingles) for each item contained in a document."""
-    lean = docs.select(F.col(doc_id).alias("doc_id"), F.col(names.get("text", "text")).alias("text"))
-    matched = with_matches(lean, items, **{**names, "text": "text"})
-    return matched.select("doc_id", F.inline("benchmark_matches"))
-
-
-def without_matches(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
-    """The documents that contain no item, with all their own columns as they were."""
-    text = F.col(names.pop("text", "text")).alias("text")
-    carried = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text)
-    return with_matches(carried, items, **names).where(F.size("benchmark_matches") == 0).select("row.*")
+    carried = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("text"))
+    named = _search(_unnamed(carried), items, item_id, item_text, percent, width)[1]
+    hit = stored(named.select("digest").distinct(), "texts-hit")
+    return carried.withColumn("digest", _digest(F.col("text"))).join(hit, "digest", "left_anti").select("row.*")

@@ -5,14 +5,15 @@ from __future__ import annotations
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_LOWER_WORDS = _WORDS.format(text=_LOWER.format(text="coalesce(text, '')"))
+
 
 def _shingles(table: str, key: str, width: int) -> str:
-    words = _WORDS.format(text=_LOWER.format(text="coalesce(text, '')"))
     return f"""
         SELECT DISTINCT {key}, unnest(CASE
             WHEN len(w) >= {width} THEN list_transform(range(1, len(w) - {width} + 2), lambda i: array_to_string(w[i:i + {width - 1}], ' '))
             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
-        FROM (SELECT {key}, {words} AS w FROM {table})"""
+        FROM (SELECT {key}, {_LOWER_WORDS} AS w FROM {table})"""
 
 
 OP3 = f"""
@@ -79,7 +80,14 @@ FROM r
 """
 
 OP10 = f"""
-WITH d AS ({_shingles("documents", "doc_id", 5)}), b AS ({_shingles("benchmark", "item_id", 5)}),
+WITH w AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+short AS (SELECT DISTINCT len(w) AS k FROM (SELECT {_LOWER_WORDS} AS w FROM benchmark) WHERE len(w) BETWEEN 1 AND 4),
+d AS (
+    {_shingles("documents", "doc_id", 5)}
+    UNION
+    SELECT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS shingle
+    FROM w, short),
+b AS ({_shingles("benchmark", "item_id", 5)}),
 n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
 SELECT doc_id, item_id, count(*)::int AS n_shared, any_value(n)::int AS n_shingles
 FROM d JOIN b USING (shingle) JOIN n USING (item_id)
