@@ -9,7 +9,7 @@ many bins as that partition needs for a miss below ``MISS`` at the containment a
 partition of at most eight shingles, and for items shorter than a shingle, that is every shingle.
 
 Items, their coordinates and the documents' coordinates are tables. Every document is read
-once, in a task that knows two bit filters of the items, of a fixed greatest size: one of their
+once, in a task that knows two Bloom filters of the items, of a fixed greatest size: one of their
 coordinates and one of their shingles. A document without a coordinate that passes gives no row;
 of the others only the coordinates and shingles that pass go on. Equal coordinates make
 candidates by a join, and each candidate is verified by the exact share of the item's shingles in
@@ -37,8 +37,10 @@ PERCENT = 80
 MISS = 1e-9
 #: Upper sizes of the partitions: 8, 32, 128, ... shingles.
 FIRST_SIZE, SIZE_FACTOR = 8, 4
-#: A filter has 16 bits for each key, within these bounds: 8 KB to 8 MB. Beyond, it passes more.
-LEAST_FILTER_BITS, MOST_FILTER_BITS = 16, 26
+#: A filter has so many bits for each key, in all from 2**20 to 2**26 (8 MB). With more keys it passes more.
+FILTER_BITS_A_KEY, LEAST_FILTER_BITS, MOST_FILTER_BITS = 32, 20, 26
+#: A key's places in the filter are its bits from here on.
+FILTER_SHIFTS = (0, 9, 18, 27)
 
 LINKS = "array<struct<item_id:bigint,n_shared:int,n_shingles:int>>"
 _ITEMS = "item_id long, item binary, width int, upper int, shingles array<long>, coordinates array<long>"
@@ -71,23 +73,32 @@ def bins_for(upper: int, percent: int = PERCENT) -> int | None:
 
 
 class KeyFilter:
-    """Bits by the low bits of a key; all keys it was made of pass, and few others."""
+    """A Bloom filter whose places are bits of the key itself; all keys it was made of pass, and few others."""
 
     def __init__(self, packed: np.ndarray):
         self.packed, self.mask = packed, np.uint64(8 * len(packed) - 1)
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
-        low = keys & self.mask
-        return (self.packed[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
+        left = np.arange(len(keys))
+        for shift in FILTER_SHIFTS:
+            place = (keys[left] >> np.uint64(shift)) & self.mask
+            bits = self.packed[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)
+            left = left[bits & np.uint8(1) != 0]
+        out = np.zeros(len(keys), bool)
+        out[left] = True
+        return out
 
 
 def key_filter(keys: DataFrame) -> KeyFilter:
     """The filter of a table of one long column, its bits set by an aggregate."""
-    bits = (16 * keys.count()).bit_length()
+    bits = (FILTER_BITS_A_KEY * keys.count()).bit_length()
     bits = min(max(bits, LEAST_FILTER_BITS), MOST_FILTER_BITS)
-    low = F.col(keys.columns[0]).bitwiseAND(F.lit((1 << bits) - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(F.lit(63)).cast("int"))
-    found = keys.groupBy(F.shiftright(low, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    key, mask = F.col(keys.columns[0]), F.lit((1 << bits) - 1)
+    places = F.array(*(F.shiftrightunsigned(key, shift).bitwiseAND(mask) for shift in FILTER_SHIFTS))
+    place = F.col("place")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    words = keys.select(F.explode(places).alias("place")).groupBy(F.shiftright(place, 6).alias("word"))
+    found = words.agg(F.bit_or(bit).alias("bits")).toArrow()
     packed = np.zeros(1 << (bits - 6), np.int64)
     packed[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return KeyFilter(packed.view(np.uint8))
