@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from obslake.llm.scratch import stored
 from obslake.llm.text import to_bytes, words
+from obslake.operators.ranking import with_position
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_COPIES = 3
@@ -44,15 +45,15 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
 
     Sources in the order of their names' code points, null last, take ``weights`` in turn and
     share the sum of all sizes. No target is above ``most`` times its source's size; the level
-    that the others' targets reach per unit of weight rises until the sum is met.
+    that the others' targets reach per unit of weight rises until the sum is met. Sources are
+    numbered by ranges of their names, so any number of them will do.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    place = (F.row_number().over(by_name) - 1) % len(weights)
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # One row per source: small enough to be numbered in one task.
-    sources = stored(
-        sizes.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), place + 1)), "sources"
-    )
+    sizes = stored(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
+    named = sizes.where("source IS NOT NULL")
+    last = sizes.where("source IS NULL").withColumn("place", F.lit(named.count() + 1))
+    placed = with_position(named, "source", "place").unionByName(last)
+    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
+    sources = stored(placed.select("source", "source_size", weight.alias("weight")), "sources")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     level, known = 0.0, -1
     while total:

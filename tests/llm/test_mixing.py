@@ -57,6 +57,16 @@ def test_capped_sources_hand_on_their_excess(spark):
     assert any(r.target == 3 * r.source_size for r in rows)
 
 
+def test_thousands_of_sources_take_the_weights_in_the_order_of_their_names(spark):
+    names = [f"{'aé😀Z_'[k % 5]}{k * 7919 % 2500}" for k in range(2500)] + [None, ""]
+    docs = [(k, "w " * (1 + k % 23), None, name, 1) for k, name in enumerate(names)]
+    sized = spark.createDataFrame(docs, DOCUMENTS).selectExpr("source", "length(text) div 2 AS size")
+    rows = mixing.source_targets(sized).collect()
+    expected = brute_targets({name: 1 + k % 23 for k, name in enumerate(names)})
+    assert len(rows) == len(names)
+    assert all(abs(r.target - expected[r.source]) <= 1e-6 * max(1, r.target) for r in rows)
+
+
 def test_a_tree_of_leaves(spark, monkeypatch):
     monkeypatch.setattr(mixing, "LEAF_ROWS", 4)
     monkeypatch.setattr(mixing, "FAN_IN", 3)
