@@ -82,14 +82,17 @@ def host_verdicts(tested: DataFrame) -> DataFrame:
     """(host, host_failed) from rows of host and n_failed.
 
     One row per host leaves the first aggregate, after a partial sum in every task. With f of n
-    documents failing, mean m and variance v of the hosts' rates, the prior's weight is
-    c = m (1 - m) / v - 1, at least one document, and the rate (f + c m) / (n + c); hosts
-    without variance all get m.
+    documents failing, m the mean of the hosts' rates, v their variance and a the mean of 1 / n, chance
+    alone gives the rates a variance of m (1 - m) a; what the hosts themselves differ by is
+    u = (v - m (1 - m) a) / (1 - a). The prior's weight is c = m (1 - m) / u - 1, at least one
+    document, and the rate (f + c m) / (n + c); hosts that differ by no more than chance all get m.
     """
     hosts = tested.groupBy("host").agg(F.count("*").alias("n"), F.sum((F.col("n_failed") > 0).cast("long")).alias("f"))
     hosts = stored(hosts, "hosts")
-    prior = hosts.agg(F.avg(F.col("f") / F.col("n")).alias("m"), F.var_pop(F.col("f") / F.col("n")).alias("v")).first()
-    mean, variance = prior.m or 0.0, prior.v or 0.0
+    rates = F.col("f") / F.col("n")
+    prior = hosts.agg(F.avg(rates).alias("m"), F.var_pop(rates).alias("v"), F.avg(1 / F.col("n")).alias("a")).first()
+    mean, chance = prior.m or 0.0, prior.a or 0.0
+    variance = (prior.v - mean * (1 - mean) * chance) / (1 - chance) if 0 < chance < 1 else 0.0
     if variance > 0:
         weight = max(1.0, mean * (1 - mean) / variance - 1)
         rate = (F.col("f") + weight * mean) / (F.col("n") + weight)

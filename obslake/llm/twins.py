@@ -59,7 +59,8 @@ failed AS (
            + (5 * n_repeat_words > n_words)::int AS n_failed
     FROM m),
 hosts AS (SELECT source, count(*) AS n, count(*) FILTER (n_failed > 0) AS f FROM failed GROUP BY source),
-prior AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM hosts),
+moments AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v, avg(1 / n) AS a FROM hosts),
+prior AS (SELECT m, CASE WHEN a < 1 THEN (v - m * (1 - m) * a) / (1 - a) ELSE 0 END AS v FROM moments),
 judged AS (
     SELECT source, CASE WHEN v > 0
         THEN (f + greatest(1, m * (1 - m) / v - 1) * m) / (n + greatest(1, m * (1 - m) / v - 1)) ELSE m END > 0.5 AS host_failed

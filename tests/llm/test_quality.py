@@ -43,7 +43,9 @@ def verdicts(docs):
     rates = [f / n for n, f in hosts.values()]
     mean = sum(rates) / len(rates)
     variance = sum((r - mean) ** 2 for r in rates) / len(rates)
-    weight = max(1.0, mean * (1 - mean) / variance - 1) if variance else None
+    chance = sum(1 / n for n, _ in hosts.values()) / len(rates)
+    own = (variance - mean * (1 - mean) * chance) / (1 - chance) if chance < 1 else 0
+    weight = max(1.0, mean * (1 - mean) / own - 1) if own > 0 else None
     shrunk = {h: (f + weight * mean) / (n + weight) if weight else mean for h, (n, f) in hosts.items()}
     return [not base and failed < (1 if shrunk[host] > 0.5 else 2) for host, base, failed in rows]
 
@@ -74,3 +76,11 @@ def test_awkward_rows(awkward, clashing, nothing):
 def test_one_host_takes_the_mean(spark, text):
     df = spark.createDataFrame([(1, text, None, "s", 1)], DOCUMENTS)
     assert [r.kept for r in quality.assess(df).collect()] == verdicts([(1, text, "s")])
+
+
+def test_hosts_that_differ_by_chance_only_are_not_judged(spark):
+    failing = [0] * 34 + [1] * 52 + [2] * 14
+    docs = [(f"h{h}", sentence(2 * h + k, 80) + " #" * 10 * (k < n)) for h, n in enumerate(failing) for k in range(2)]
+    df = spark.createDataFrame([(k, text, None, host, 1) for k, (host, text) in enumerate(docs)], DOCUMENTS)
+    rows = quality.assess(df).collect()
+    assert sum(r.n_failed for r in rows) == 80 and all(r.kept for r in rows)
