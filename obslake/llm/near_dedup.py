@@ -7,8 +7,11 @@ classes are compared with one of them first, the one that shares its other bucke
 classes: among edited copies that is the text they were made from. What these links do not
 join to one component is then compared by the sketches, and pairs that agree as often as
 similar sets do (all but ``MISS`` of them) are verified: as rows in buckets of up to ``BLOCK_ROWS``
-classes, and inside tasks, block against block with the sets at hand, in larger ones. So a large
-group of near copies never becomes a row for every pair. Every link is confirmed on the full sets.
+classes. The classes of larger buckets are bucketed anew by their rarest shingles (``prefixes.py``), of
+which similar sets share one, so pages made from one template that are not similar do not
+meet at all. Classes in a large bucket of this kind too are verified inside tasks, block against block
+with the sets at hand. So a large group of near copies never becomes a row for every pair.
+Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.components import components
+from obslake.llm.prefixes import prefix_buckets
 from obslake.llm.scratch import forget, stored
 from obslake.llm.sketch import bands, sketches
 from obslake.llm.text import long_lists, lower_words, shingle_set, to_bytes, word_hashes
@@ -279,12 +283,20 @@ def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) ->
     forget(placed)
     small, large = still.where(F.col("n") <= BLOCK_ROWS), still.where(F.col("n") > BLOCK_ROWS)
     rest = stored(_alike(small.join(classes.select("node", "sketch"), "node"), percent).join(first, ["a", "b"], "left_anti"), "pairs")
-    crowd = large.select("node").distinct()
-    sets = _sets_of(ends(rest).union(crowd).distinct(), classes, docs, repeated, nameless, width)
-    held = large.drop("n").join(classes.select("node", "sketch", "buckets"), "node").join(sets, "node")
-    more = _verified(rest, sets, percent).union(_small_batches(_linked_in_blocks(held, percent)))
+    crowd = stored(large.select("node", "component", "n_shingles").distinct(), "crowd")
+    sets = _sets_of(ends(rest).union(crowd.select("node")).distinct(), classes, docs, repeated, nameless, width)
+
+    by_rarest = stored(prefix_buckets(crowd.join(sets, "node"), percent), "rarest")
+    groups = by_rarest.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"))
+    met = stored(by_rarest.join(groups.where("c < d").select("bucket", "n"), "bucket"), "met")
+    forget(by_rarest)
+    few = met.where(F.col("n") <= BLOCK_ROWS).join(classes.select("node", "sketch"), "node")
+    further = stored(_alike(few, percent).join(first, ["a", "b"], "left_anti").join(rest, ["a", "b"], "left_anti"), "pairs")
+    many = stored(met.where(F.col("n") > BLOCK_ROWS).select("node").distinct(), "many")
+    held = large.drop("n").join(many, "node").join(classes.select("node", "sketch", "buckets"), "node").join(sets, "node")
+    more = _verified(rest.union(further), sets, percent).union(_small_batches(_linked_in_blocks(held, percent)))
     more = stored(more, "links")
-    forget(sets, still, rest, first)
+    forget(sets, still, rest, further, first, crowd, met, many)
     joined = components(links.union(more), "a", "b")
 
     labelled = classes.select("node", "doc_id").join(joined, "node", "left")

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from obslake.llm import near_dedup
+from obslake.llm import near_dedup, prefixes
 from obslake.llm.components import components
 from obslake.llm.sketch import sketches
 from obslake.llm.text import WordHashes, lower_words, mix, shingle_set
@@ -59,6 +59,48 @@ def test_edited_copies_chains_and_large_groups(spark):
         assert found(df, width) == sorted(brute(docs, width), key=repr)
 
 
+def test_templates_that_are_not_similar_do_not_meet(spark):
+    base = sentence(7, 300, 4000)
+    docs = [(k, edited(base, k, 0.09)) for k in range(260)]
+    docs += [(1000 + k, edited(docs[9 * k][1], 5000 + k, 0.02)) for k in range(20)]
+    df = spark.createDataFrame([(d, t, None, "s", 1) for d, t in docs], DOCUMENTS)
+    assert found(df, 2) == sorted(brute(docs, 2), key=repr)
+
+
+def test_crowds_whose_rarest_words_are_shared(spark):
+    """Families of variants of one text, with the parts they share in common with many others."""
+    rng = random.Random(4)
+    parts = [sentence(100 + k, 12, 5000) for k in range(24)]
+    docs = []
+    for k in range(300):
+        left = sorted(rng.sample(range(24), rng.randrange(15, 22)))
+        docs.append((k, " ".join(parts[j] for j in left)))
+    df = spark.createDataFrame([(d, t, None, "s", 1) for d, t in docs], DOCUMENTS)
+    assert found(df, 2) == sorted(brute(docs, 2), key=repr)
+
+
+def test_similar_sets_share_a_prefix_key():
+    rng = np.random.default_rng(11)
+    pool = mix(np.arange(1, 900, dtype=np.uint64))
+    for percent in (50, 80, 95, 100):
+        for _ in range(300):
+            base = rng.choice(pool, rng.integers(1, 300), replace=False)
+            more = np.setdiff1d(pool, base)[: int(len(base) * rng.random() * 0.3)]
+            sets = [np.unique(base), np.unique(np.concatenate([base[: max(1, int(len(base) * (0.8 + 0.2 * rng.random())))], more]))]
+            counts = rng.integers(2, 5, 1 << prefixes.PLACE_BITS) if percent != 95 else np.full(1 << prefixes.PLACE_BITS, 2)
+            keys, owners = prefixes.prefix_keys(sets, counts, percent)
+            shared = len(np.intersect1d(*sets))
+            if 100 * shared >= percent * len(np.union1d(*sets)):
+                assert len(np.intersect1d(keys[owners == 0], keys[owners == 1]))
+
+
+def test_prefixes_of_no_sets_and_of_elements_of_one_set():
+    counts = np.ones(1 << prefixes.PLACE_BITS, np.int32)
+    one = np.unique(mix(np.arange(1, 90, dtype=np.uint64)))
+    for sets in ([], [np.empty(0, np.uint64)], [one]):
+        assert len(prefixes.prefix_keys(sets, counts, 80)[0]) == 0
+
+
 def test_awkward_rows(awkward, clashing, nothing):
     expected = sorted(brute([(r.doc_id, r.text) for r in awkward.collect()], 2), key=repr)
     assert found(awkward, 2) == expected
