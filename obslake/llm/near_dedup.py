@@ -287,8 +287,9 @@ def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) ->
     sets = _sets_of(ends(rest).union(crowd.select("node")).distinct(), classes, docs, repeated, nameless, width)
 
     by_rarest = stored(prefix_buckets(crowd.join(sets, "node"), percent), "rarest")
-    groups = by_rarest.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"))
-    met = stored(by_rarest.join(groups.where("c < d").select("bucket", "n"), "bucket"), "met")
+    met_by = (F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"), F.bool_or("home").alias("lived_in"))
+    groups = by_rarest.groupBy("bucket").agg(*met_by).where("c < d AND lived_in")
+    met = stored(by_rarest.drop("home").join(groups.select("bucket", "n"), "bucket"), "met")
     forget(by_rarest)
     few = met.where(F.col("n") <= BLOCK_ROWS).join(classes.select("node", "sketch"), "node")
     further = stored(_alike(few, percent).join(first, ["a", "b"], "left_anti").join(rest, ["a", "b"], "left_anti"), "pairs")

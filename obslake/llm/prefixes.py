@@ -6,7 +6,8 @@ first ``size - need + 1`` of each, namely their least common one (Chaudhuri and
 is their own, and meet nobody. An element that no other set has is left out at once.
 
 How many elements a pair shares depends on both sizes, so a set gives a prefix for each class of
-sizes that a smaller partner may have, in steps of a twentieth: the nearer the sizes, the shorter.
+sizes that a smaller partner may have, in steps of a fiftieth: the nearer the sizes, the shorter.
+It is at home in the class of its own size and a visitor in the others; of two that are to meet one is at home.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from obslake.llm.text import in_portions, mix
 #: Elements that share a place pass for more frequent than they are, which only makes prefixes meet more.
 PLACE_BITS = 21
 #: A class's sizes differ by less than one in so many.
-STEP = 20
+STEP = 50
 
 
 def _places(elements: np.ndarray) -> np.ndarray:
@@ -72,27 +73,32 @@ def prefix_lengths(size: int, percent: int, starts: np.ndarray) -> list[tuple[in
     return out
 
 
-def prefix_keys(sets: list[np.ndarray], counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, and the number of the set each is of. Similar sets have a key in common."""
+def prefix_keys(sets: list[np.ndarray], counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the number of the set each is of, and whether it is at home there.
+
+    Similar sets have a key in common where one is at home.
+    """
     starts = class_starts(max(map(len, sets), default=0))
-    keys, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    keys, owners, home = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
     for k, one in enumerate(sets):
         if not len(one):
             continue
         often = counts[_places(one)]
         order = one[np.lexsort((one, often))]
         alone = int((often <= 1).sum())
-        for c, length in prefix_lengths(len(one), percent, starts):
+        lengths = prefix_lengths(len(one), percent, starts)
+        for c, length in lengths:
             if length > alone:
                 keys.append(mix(order[alone:length] ^ mix(np.full(1, c + 1, np.uint64))))
                 owners.append(np.full(length - alone, k, np.int64))
-    return np.concatenate(keys), np.concatenate(owners)
+                home.append(np.full(length - alone, c == lengths[-1][0]))
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(home)
 
 
 def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node, component, n_shingles) of sets (node, component, n_shingles, shingles binary).
+    """(bucket, home, node, component, n_shingles) of sets (node, component, n_shingles, shingles binary).
 
-    Two sets whose intersection is at least ``percent`` % of their union have a bucket in common.
+    Two sets whose intersection is at least ``percent`` % of their union have a bucket in common, one of them at home.
     """
     sent = sets.sparkSession.sparkContext.broadcast(frequencies(sets))
     names = ["node", "component", "n_shingles"]
@@ -101,9 +107,9 @@ def prefix_buckets(sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             held = [np.frombuffer(one, np.uint64) for one in batch.column("shingles").cast(pa.binary()).to_pylist()]
             for start, end in in_portions(held):
-                keys, owners = prefix_keys(held[start:end], sent.value, percent)
+                keys, owners, home = prefix_keys(held[start:end], sent.value, percent)
                 of = pa.array(owners + start)
-                columns = [pa.array(keys.view(np.int64)), *(batch.column(name).take(of) for name in names)]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", *names])
+                columns = [pa.array(keys.view(np.int64)), pa.array(home), *(batch.column(name).take(of) for name in names)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "home", *names])
 
-    return sets.select(*names, "shingles").mapInArrow(run, "bucket long, node binary, component binary, n_shingles long")
+    return sets.select(*names, "shingles").mapInArrow(run, "bucket long, home boolean, node binary, component binary, n_shingles long")
