@@ -230,11 +230,12 @@ def _small_batches(df: DataFrame) -> DataFrame:
         conf.set(name, before)
 
 
-def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) -> DataFrame:
+def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT, by_rarest: bool = True) -> DataFrame:
     """(doc_id, digest, n_shingles, component, component_id), one row per row of ``docs`` (doc_id, text).
 
     digest stands for the shingle set and component for all sets that links reach; a text without
-    shingles has no component. component_id is null where no row of a component has a doc_id.
+    shingles has no component. Without ``by_rarest`` all classes of large buckets are compared in blocks,
+    which gives the same links. component_id is null where no row of a component has a doc_id.
     The table is stored; all that led to it is deleted again, as soon as it has served.
     """
     rows = stored(_sketched(docs, width), "sketched")
@@ -286,18 +287,22 @@ def with_components(docs: DataFrame, width: int = 2, percent: int = PERCENT) ->
     crowd = stored(large.select("node", "component", "n_shingles").distinct(), "crowd")
     sets = _sets_of(ends(rest).union(crowd.select("node")).distinct(), classes, docs, repeated, nameless, width)
 
-    by_rarest = stored(prefix_buckets(crowd.join(sets, "node"), percent), "rarest")
-    met_by = (F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"), F.bool_or("home").alias("lived_in"))
-    groups = by_rarest.groupBy("bucket").agg(*met_by).where("c < d AND lived_in")
-    met = stored(by_rarest.drop("home").join(groups.select("bucket", "n"), "bucket"), "met")
-    forget(by_rarest)
-    few = met.where(F.col("n") <= BLOCK_ROWS).join(classes.select("node", "sketch"), "node")
-    further = stored(_alike(few, percent).join(first, ["a", "b"], "left_anti").join(rest, ["a", "b"], "left_anti"), "pairs")
-    many = stored(met.where(F.col("n") > BLOCK_ROWS).select("node").distinct(), "many")
-    held = large.drop("n").join(many, "node").join(classes.select("node", "sketch", "buckets"), "node").join(sets, "node")
-    more = _verified(rest.union(further), sets, percent).union(_small_batches(_linked_in_blocks(held, percent)))
+    spent, crowded = [sets, still, rest, first, crowd], large.drop("n")
+    if by_rarest:
+        rarest = stored(prefix_buckets(crowd.join(sets, "node"), percent), "rarest")
+        met_by = (F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d"), F.bool_or("home").alias("lived_in"))
+        groups = rarest.groupBy("bucket").agg(*met_by).where("c < d AND lived_in")
+        met = stored(rarest.drop("home").join(groups.select("bucket", "n"), "bucket"), "met")
+        forget(rarest)
+        few = met.where(F.col("n") <= BLOCK_ROWS).join(classes.select("node", "sketch"), "node")
+        further = stored(_alike(few, percent).join(first, ["a", "b"], "left_anti").join(rest, ["a", "b"], "left_anti"), "pairs")
+        many = stored(met.where(F.col("n") > BLOCK_ROWS).select("node").distinct(), "many")
+        rest, crowded = rest.union(further), crowded.join(many, "node")
+        spent += [further, met, many]
+    held = crowded.join(classes.select("node", "sketch", "buckets"), "node").join(sets, "node")
+    more = _verified(rest, sets, percent).union(_small_batches(_linked_in_blocks(held, percent)))
     more = stored(more, "links")
-    forget(sets, still, rest, further, first, crowd, met, many)
+    forget(*spent)
     joined = components(links.union(more), "a", "b")
 
     labelled = classes.select("node", "doc_id").join(joined, "node", "left")
@@ -356,7 +361,7 @@ def single_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     carried = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
     )
-    found = with_components(carried.select("doc_id", "text"), width, percent)
+    found = with_components(carried.select("doc_id", "text"), width, percent, by_rarest=False)
     shared = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "shared-ids")
     dropped = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "dropped-ids")
     single = carried.where("doc_id IS NOT NULL").join(shared, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti")
