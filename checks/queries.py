@@ -622,19 +622,32 @@ def stream_load_report(spark, d):
 # --- streams of several batches -----------------------------------------------------
 
 
-def _issued(df: DataFrame, batch: str, count: int, path: str) -> T.StructType:
-    """Write a table as one file per batch, in order, as files arrive one after another; the files' schema."""
+#: Bytes of input that one file of a batch is made from, about.
+ISSUED_BYTES = 128 * 1024 * 1024
+
+
+def _issued(df: DataFrame, batch: str, count: int, path: str, file_bytes: int = ISSUED_BYTES) -> tuple[T.StructType, int]:
+    """Write a table as batches of files, in order, as they arrive one after another; the files' schema and how many each batch has.
+
+    A file is written by a task of its own, from a bounded part of the input. Every batch has as many files, so a stream that takes that
+    many at a time takes batch by batch: files without rows stand in for tasks that have none.
+    """
+    spark, rows = df.sparkSession, df.drop(batch)
+    size = sum(catalog.file_bytes(spark, file) for file in df.inputFiles())
+    files = max(1, min(-(-size // file_bytes), df.rdd.getNumPartitions()))
     for number in range(count):
-        df.where(F.col(batch) == number).drop(batch).coalesce(1).write.mode("append").parquet(path)
-    return df.drop(batch).schema
+        df.where(F.col(batch) == number).drop(batch).coalesce(files).write.mode("append").parquet(path)
+        for _ in range((number + 1) * files - len(catalog.matching_paths(spark, f"{path}/*.parquet"))):
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)
+    return rows.schema, files
 
 
 @query
 def stream_hourly_closed(spark, d):
     """Hours closed by a watermark, those still open, and what came too late for its hour."""
     root = shared_folder(spark, "closing")
-    schema = _issued(v.ARRIVALS_IN_BATCHES.read(spark, d), "batch", 10, f"{root}/in")
-    report.close_hours(ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=1), f"{root}/report", delay="2 hours")
+    schema, files = _issued(v.ARRIVALS_IN_BATCHES.read(spark, d), "batch", 10, f"{root}/in")
+    report.close_hours(ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=files), f"{root}/report", delay="2 hours")
     late = report.late_rows(spark, f"{root}/report").groupBy(F.date_trunc("hour", "arrived").alias("hour")).agg(F.count("*").alias("n_late"))
     hour = F.col("hour").cast("timestamp_ntz")
     closed = report.closed_hours(spark, f"{root}/report").withColumn("closed", F.lit(True))
@@ -647,8 +660,8 @@ def stream_latest_compacted(spark, d):
     """Index entries in seven batches, compacted twice on the way; a third compaction dies before its pointer."""
     root = shared_folder(spark, "compacted")
     entries = v.REISSUED.read(spark, d).withColumn("batch", F.pmod("version", F.lit(7)).cast("int"))
-    schema = _issued(entries, "batch", 7, f"{root}/in")
-    stream = ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=1)
+    schema, files = _issued(entries, "batch", 7, f"{root}/in")
+    stream = ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=files)
     latest.follow(stream, f"{root}/state", f"{root}/checkpoint", compact_every=3).awaitTermination()
     spark.read.parquet(f"{root}/in").limit(0).write.parquet(f"{root}/state/_snapshots/000000000006-unfinished")
     latest.prune(spark, f"{root}/state")
@@ -660,8 +673,8 @@ def stream_group_std(spark, d):
     """The deviation of a lake's column per platform, from batches that are not read again."""
     root = shared_folder(spark, "moments")
     raw = v.OBS_PHY.read(spark, d).withColumn("batch", F.col("N_LEVELS") - 1)
-    schema = _issued(raw, "batch", 7, f"{root}/in")
-    lake_rows = quality.best_value_table(ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=1), "PHY")
+    schema, files = _issued(raw, "batch", 7, f"{root}/in")
+    lake_rows = quality.best_value_table(ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=files), "PHY")
     moments.follow(lake_rows, f"{root}/state", f"{root}/checkpoint", ["PLATFORM_NUMBER"], "PSAL").awaitTermination()
     spread = moments.deviation(spark, f"{root}/state", ["PLATFORM_NUMBER"])
     return spread.select("PLATFORM_NUMBER", F.round("std", 6).alias("std"))
@@ -672,10 +685,10 @@ def ingest_stream_restarted(spark, d):
     """Best values of raw files in six batches; the transform fails in the fourth, and the ingest is started again."""
     root = shared_folder(spark, "restarted")
     raw = v.OBS_PHY.read(spark, d).withColumn("batch", F.pmod("CYCLE_NUMBER", F.lit(6)))
-    schema = _issued(raw, "batch", 6, f"{root}/in")
+    schema, files = _issued(raw, "batch", 6, f"{root}/in")
 
     def stream() -> DataFrame:
-        return ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=1)
+        return ingest.file_stream(spark, f"{root}/in", schema, files_per_batch=files)
 
     def sound(df: DataFrame) -> DataFrame:
         return quality.best_value_table(df, "PHY")
@@ -757,16 +770,15 @@ def job_bottle_phy_atlas(spark, d):
 # --- files that cannot be read, and the jobs end to end -----------------------------
 
 
+def _in_one_file(df: DataFrame, folder: str) -> None:
+    """Write rows as one file; the task that writes it gets only these rows, not the input they are picked from."""
+    df.repartition(1).write.parquet(folder)
+
+
 def _cut_short(spark, folder: str) -> None:
     """Leave half of the one data file in a folder, as a copy that was broken off does."""
     (path,) = catalog.matching_paths(spark, f"{folder}/*.parquet")
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    half = spark.read.format("binaryFile").load(path).selectExpr("substring(content, 1, cast(length / 2 as int)) AS half").first()["half"]
-    out = files.create(place, True)
-    out.write(bytearray(half))
-    out.close()
+    catalog.cut_file(spark, path, catalog.file_bytes(spark, path) // 2)
 
 
 @query

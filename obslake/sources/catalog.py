@@ -56,6 +56,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(_paths(spark, path))
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Length of a file."""
+    files, place = _file_system(spark, path)
+    return files.getFileStatus(place).getLen()
+
+
+def cut_file(spark: SparkSession, path: str, length: int) -> None:
+    """Leave the first ``length`` bytes of a file. They are copied in pieces and never held as a whole."""
+    files, place = _file_system(spark, path)
+    folder, _, name = path.rpartition("/")
+    _, beside = _file_system(spark, f"{folder}/_{name}-{uuid.uuid4().hex}")
+    start, out = files.open(place), files.create(beside, True)
+    try:
+        spark._jvm.org.apache.commons.io.IOUtils.copyLarge(start, out, 0, length)
+    finally:
+        start.close()
+        out.close()
+    files.delete(place, False)
+    if not files.rename(beside, place):
+        raise OSError(f"could not write {path}")
+
+
 def is_empty_folder(spark: SparkSession, path: str) -> bool:
     """Whether there is nothing at the path, or a folder without files."""
     return not _paths(spark, f"{path.rstrip('/')}/*")

@@ -12,6 +12,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from checks import queries
 from obslake.sources.catalog import matching_paths
 from obslake.streaming import ingest, latest, moments, report
 
@@ -194,3 +195,22 @@ def test_the_last_failure_is_raised(spark, scratch):
 
     with pytest.raises(StreamingQueryException):
         ingest.ingest_with_restarts(lambda: stream(spark, f"{scratch}/in", "x long"), broken, f"{scratch}/out", f"{scratch}/c", attempts=2)
+
+
+# --- batches as they are issued -----------------------------------------------------
+
+
+def test_batches_are_written_by_several_tasks_and_taken_one_by_one(spark, scratch):
+    spark.range(0, 4000, 1, 8).withColumn("batch", F.when(F.col("id") % 3 == 1, 3).otherwise(F.col("id") % 3)).write.parquet(f"{scratch}/table")
+    table = spark.read.parquet(f"{scratch}/table")
+    schema, files = queries._issued(table, "batch", 4, f"{scratch}/in", file_bytes=4000)
+    assert files > 1 and schema.names == ["id"]
+    assert len(matching_paths(spark, f"{scratch}/in/*.parquet")) == 4 * files
+    seen = {}
+
+    def add(batch, batch_id):
+        seen[batch_id] = sorted(r.id for r in batch.collect())
+
+    arriving = ingest.file_stream(spark, f"{scratch}/in", schema, files_per_batch=files)
+    ingest.run_batches(arriving, add, f"{scratch}/checkpoint").awaitTermination()
+    assert seen == {0: list(range(0, 4000, 3)), 1: [], 2: list(range(2, 4000, 3)), 3: list(range(1, 4000, 3))}
