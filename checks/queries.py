@@ -786,7 +786,7 @@ def job_corrupt_file(spark, d):
     """Files of raw profiles of which one is cut short: the others' rows, and how many files were rejected why."""
     root, arrays = shared_folder(spark, "cut-short"), v.profile_arrays(spark, d)
     cut = F.col("PLATFORM_NUMBER") % 50 == 3
-    arrays.where(cut).coalesce(1).write.parquet(f"{root}/in")
+    _in_one_file(arrays.where(cut), f"{root}/in")
     _cut_short(spark, f"{root}/in")
     arrays.where(~cut).write.mode("append").parquet(f"{root}/in")
     jobs.raw_files(spark, f"{root}/in", "PHY", f"{root}/PHY", f"{root}/rejects", deep=True)

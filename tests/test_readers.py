@@ -11,9 +11,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from obslake.operators import inventory, profiles
 from obslake.plans import jobs
-from obslake.sources import readers
+from obslake.sources import catalog, readers
 
 # --- unreadable files ---------------------------------------------------------------
 
@@ -156,3 +157,28 @@ def test_modes_as_rows(spark):
     got = profiles.modes_from_rows(df, rows, ["id"], names=["PRES", "TEMP"], strict=False)
     assert got.columns == ["id", "PRES_DATA_MODE", "TEMP_DATA_MODE"]
     assert {r.id: tuple(r)[1:] for r in got.collect()} == {1: ("A", "D"), 2: ("", ""), None: ("D", "")}
+
+
+def test_contents_of_files_with_rows_are_not_looked_at(spark, scratch):
+    spark.range(0, 50_000, 1, 1).write.parquet(f"{scratch}/in")
+    spark.range(10).coalesce(1).write.parquet(f"{scratch}/small")
+    (small,) = catalog.matching_paths(spark, f"{scratch}/small/*.parquet")
+    catalog.cut_file(spark, small, 100)
+    (Path(scratch) / "in" / "cut.parquet").write_bytes(Path(small.removeprefix("file:")).read_bytes())
+    # A longer content than this, once asked for, is an error.
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        probed = {r.n_bytes: r.reason for r in readers.probe_parquet(spark, f"{scratch}/in").collect()}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert len(probed) == 2 and probed[100] == readers.NO_PARQUET and probed[max(probed)] is None
+
+
+def test_one_file_is_written_from_many_tasks(spark, scratch):
+    queries._in_one_file(spark.range(0, 1000, 1, 8).withColumn("task", F.spark_partition_id()), f"{scratch}/one")
+    (path,) = catalog.matching_paths(spark, f"{scratch}/one/*.parquet")
+    assert spark.read.parquet(path).select("task").distinct().count() == 8
+    length = catalog.file_bytes(spark, path)
+    whole = bytes(spark.read.format("binaryFile").load(path).first()["content"])
+    catalog.cut_file(spark, path, length // 2)
+    assert bytes(spark.read.format("binaryFile").load(path).first()["content"]) == whole[: length // 2]
