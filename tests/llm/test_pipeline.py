@@ -92,3 +92,22 @@ def test_awkward_documents_pass_every_stage(spark, awkward, clashing, nothing):
 def test_queries_have_the_names_of_their_operators():
     assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert set(TWINS) <= set(QUERIES)
+
+
+def test_first_stages_take_documents_in_small_batches(spark):
+    docs = spark.createDataFrame([(1, sentence(1, 100), "en", "a", 1)], DOCUMENTS)
+
+    def rows_at_once():
+        def run(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+        return max(r.n for r in spark.range(0, 5000, 1, 1).mapInArrow(run, "n long").collect())
+
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.near_duplicates):
+        docs = stage(spark, docs, MEDIUM)
+        assert rows_at_once() == int(corpus_pipeline.DOCUMENTS_AT_ONCE)
+    corpus_pipeline.benchmark_decontamination(spark, docs, MEDIUM)
+    assert rows_at_once() == 5000
