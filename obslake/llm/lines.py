@@ -398,5 +398,6 @@ def dedup_lines(
         F.xxhash64(F.col(text)).alias("mark"),
     )
     same = F.col("doc").eqNullSafe(lost["doc_id"]) & (F.col("mark") == lost["digest"])
-    joined = held.join(lost, same, "left").select("row", _dropped(F.col("content"), F.col("lines")).alias("made"))
+    # Dealt by key at every size: where the lists happen to be few enough to broadcast, cost would not say what it is for more.
+    joined = held.hint("merge").join(lost, same, "left").select("row", _dropped(F.col("content"), F.col("lines")).alias("made"))
     return joined.select("row.*", *(F.col(f"made.{name}").alias(name) for name in names))

@@ -133,3 +133,11 @@ def test_copies_without_number_stay_one_list(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = lines.dedup_lines(df).where("doc_id = 5").groupBy("n_dropped", "kept_text").count().collect()
     assert [tuple(r) for r in out] == [(1, "some other line", 3000)]
+
+
+def test_documents_are_dealt_by_key_at_every_size(spark):
+    docs = spark.createDataFrame([(1, "a line that two have\nx"), (2, "y\na line that two have")], "doc_id long, text string")
+    deduped = lines.dedup_lines(docs)
+    plan = deduped._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert sorted(r.kept_text for r in deduped.collect()) == ["a line that two have\nx", "y"]
