@@ -8,9 +8,13 @@ right and to the left, as far as the windows reach that chose the position; matc
 successive positions join up to passages of any length.
 
 A neighbour agrees longest to the right. Where three or more share their K words, another could
-agree longer on the left. So windows that the neighbours' matches leave uncovered are settled exactly, by
-hash. Equal windows have their kept position at the same offset, so of a group's other windows only those at
-the offset of an uncovered one take part.
+agree longer on the left. So a group of positions with the same K words is sorted whole in one task, where
+the lengths in which neighbours agree part it into the sets of positions that share any number of words to the right;
+those of a set that share the words on the left too, of a window in all, have that window in common.
+
+A group of more than ``LARGE`` positions is spread over many tasks. There neighbours are matched, and windows that their
+matches leave uncovered are settled exactly, by hash. Equal windows have their kept position at the same offset, so
+of a group's other windows only those at the offset of an uncovered one take part.
 
 Copies of a whole text are one document here; each of them is reported in full.
 """
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +32,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.llm.scratch import stored
-from obslake.llm.text import lower_words, shingles, to_bytes, word_hashes
+from obslake.llm.text import lower_words, mix, shingles, to_bytes, word_hashes
 from obslake.session import shared_folder
 
 LEAST_WORDS = 50
 K = 8
 WINDOW = LEAST_WORDS - K + 1
-#: Stands between words in a context; no word holds it.
+#: Positions with the same K words that one task compares; more are spread over tasks.
+LARGE = 50_000
+#: Stands after each word in a context; no word holds it.
 _BREAK = b"\n"
+#: Words, and positions, that a task looks at together. Speed and memory only.
+_WORDS_AT_ONCE = 100_000
+_PLACES_AT_ONCE = 20_000
+#: Odd multipliers of the two window hashes, and their inverses modulo 2**64.
+_BASES = [(b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -64,83 +76,204 @@ def anchors(runs: np.ndarray, minima: np.ndarray) -> np.ndarray:
     return np.flatnonzero(runs == reach)
 
 
-def windows_of(place: int, runs: np.ndarray, minima: np.ndarray) -> tuple[int, int]:
-    """First and last window whose least run is at ``place``."""
-    first = max(0, place - WINDOW + 1)
-    own = np.flatnonzero(minima[first : place + 1] == runs[place])
-    return first + int(own[0]), first + int(own[-1])
+def windows_of(place: np.ndarray | int, runs: np.ndarray, minima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window whose least run is at ``place``; of one place or of many."""
+    place = np.asarray(place)
+    windows = place[..., None] + np.arange(1 - WINDOW, 1)
+    inside = (windows >= 0) & (windows < len(minima))
+    own = inside & (minima[np.clip(windows, 0, len(minima) - 1)] == runs[place][..., None])
+    return place - WINDOW + 1 + own.argmax(axis=-1), place - own[..., ::-1].argmax(axis=-1)
 
 
-_MARKED = "doc_id long, node binary, n_words long, keys array<long>, places array<int>"
+def _kept(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of texts of ``counts`` words, one after another: where each text's positions begin, their keys, places, and the words their windows reach."""
+    text = np.repeat(np.arange(len(counts)), counts)
+    begin = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+    runs, minima = window_minima(hashes)
+    if not len(runs):
+        none = np.empty(0, np.int64)
+        return np.zeros(len(counts) + 1, np.int64), none, none, none, none
+    minima[text[: len(minima)] != text[LEAST_WORDS - 1 :]] = 0  # windows over two texts
+    at = anchors(runs, minima)
+    first, last = windows_of(at, runs, minima)
+    base = begin[text[at]]
+    return np.searchsorted(at, begin), runs[at].view(np.int64), at - base, first - base, last + LEAST_WORDS - base
+
+
+_MARKED = "doc_id long, node binary, n_words long, keys array<long>, places array<int>, lows array<int>, highs array<int>"
+
+
+def _texts_at_once(texts: list[bytes]) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Words of successive texts, some ``_WORDS_AT_ONCE`` together, and the place of the first text."""
+    start, held, count = 0, [], 0
+    for text in texts:
+        held.append(lower_words(text))
+        count += len(held[-1])
+        if count >= _WORDS_AT_ONCE:
+            yield start, held
+            start, held, count = start + len(held), [], 0
+    if held:
+        yield start, held
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """Identity of the text's words, their number, and the kept positions of each document."""
+    """Identity of the text's words, their number, and the kept positions of each document, with the words their windows reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         for batch in batches:
-            nodes, counts, keys, places = [], [], [], []
-            for text in to_bytes(batch.column("text")):
-                tokens = lower_words(text)
-                runs, minima = window_minima(hashes.of(tokens))
-                at = anchors(runs, minima)
-                nodes.append(hashlib.md5(_BREAK.join(tokens)).digest())
-                counts.append(len(tokens))
-                keys.append(runs[at].view(np.int64))
-                places.append(at.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(counts, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
-                ["doc_id", "node", "n_words", "keys", "places"],
-            )
+            for start, texts in _texts_at_once(to_bytes(batch.column("text"))):
+                counts = np.array([len(tokens) for tokens in texts], np.int64)
+                offsets, keys, *spots = _kept(hashes.of(list(chain.from_iterable(texts))), counts)
+                offsets = pa.array(offsets.astype(np.int32))
+                nodes = [hashlib.md5(_BREAK.join(tokens)).digest() for tokens in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(start, len(texts)),
+                        pa.array(nodes, pa.binary()),
+                        pa.array(counts),
+                        pa.ListArray.from_arrays(offsets, pa.array(keys)),
+                        *(pa.ListArray.from_arrays(offsets, pa.array(spot.astype(np.int32))) for spot in spots),
+                    ],
+                    ["doc_id", "node", "n_words", "keys", "places", "lows", "highs"],
+                )
 
     return docs.mapInArrow(run, _MARKED)
 
 
+#: A position and the words from ``low`` to ``high`` that its windows reach.
+_PLACED = ("node", "key", "size", "place", "low", "high")
 _CONTEXT = "node binary, key long, size long, place int, low int, high int, suffix binary, prefix binary"
 
 
+def _contexts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    wanted, counts = batch.column("wanted").flatten(), batch.column("wanted").value_lengths().to_numpy()
+    owner = np.repeat(np.arange(len(counts)), counts)
+    spots = [wanted.field(name).to_numpy() for name in ("place", "low", "high")]
+    rows, suffixes, prefixes = [], [], []
+
+    def out() -> pa.RecordBatch:
+        columns = [batch.column("node").take(pa.array(owner[rows])), *(wanted.field(name).take(pa.array(rows)) for name in _PLACED[1:])]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(suffixes, pa.binary()), pa.array(prefixes, pa.binary())], [*_PLACED, "suffix", "prefix"])
+
+    end = 0
+    for text, node, count in zip(to_bytes(batch.column("text")), batch.column("node").to_pylist(), counts.tolist(), strict=True):
+        begin, end = end, end + count
+        tokens = lower_words(text)
+        if hashlib.md5(_BREAK.join(tokens)).digest() != node:
+            continue  # another text under the same doc_id
+        for row, place, low, high in zip(range(begin, end), *(spot[begin:end].tolist() for spot in spots), strict=True):
+            rows.append(row)
+            suffixes.append(_BREAK.join(tokens[place:high]) + _BREAK)
+            prefixes.append(_BREAK.join(tokens[low:place][::-1]) + _BREAK if low < place else b"")
+            if len(rows) == 5000:
+                yield out()
+                rows, suffixes, prefixes = [], [], []
+    if rows:
+        yield out()
+
+
 def _contexts(docs: DataFrame) -> DataFrame:
-    """Suffix and reversed prefix of the kept positions in ``wanted`` (key, place, size), as far as their windows reach."""
+    """Suffix and reversed prefix of the kept positions in ``wanted`` (key, place, size, low, high), as far as their windows reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
         for batch in batches:
-            out = []
-            texts, nodes = to_bytes(batch.column("text")), batch.column("node").to_pylist()
-            for text, node, wanted in zip(texts, nodes, batch.column("wanted").to_pylist(), strict=True):
-                tokens = lower_words(text)
-                if hashlib.md5(_BREAK.join(tokens)).digest() != node:
-                    continue  # another text under the same doc_id
-                runs, minima = window_minima(hashes.of(tokens))
-                for one in wanted:
-                    place = one["place"]
-                    first, last = windows_of(place, runs, minima)
-                    suffix = _BREAK.join(tokens[place : last + LEAST_WORDS])
-                    prefix = _BREAK.join(tokens[first:place][::-1])
-                    reach = {"low": first, "high": last + LEAST_WORDS}
-                    out.append({"node": node, "key": one["key"], "size": one["size"], "place": place, **reach, "suffix": suffix, "prefix": prefix})
-                    if len(out) == 2000:
-                        yield pa.RecordBatch.from_pylist(out, _CONTEXT_KIND)
-                        out = []
-            yield pa.RecordBatch.from_pylist(out, _CONTEXT_KIND)
+            yield from _contexts_of(batch)
 
     return docs.mapInArrow(run, _CONTEXT)
 
 
-_CONTEXT_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("suffix", pa.binary()), ("prefix", pa.binary())])
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by key, in portions that end where a key does."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count < _PLACES_AT_ONCE:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = table.column("key").to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield table.slice(0, cut)
+            table = table.slice(cut)
+        held, count = table.to_batches(), table.num_rows
+    if count:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _word_columns(contexts: pa.ChunkedArray, counts: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the contexts' words, a row for each place in a context; 0 past its ``counts``."""
+    flat = word_hashes().of(b"".join(contexts.to_pylist()).split(_BREAK)[:-1])
+    columns = np.zeros((width, len(counts)), np.uint64)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+    columns[place, np.repeat(np.arange(len(counts)), counts)] = flat
+    return columns
+
+
+def _shared_by_two(codes: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Places of the rows whose code a row of another node has too."""
+    order = np.argsort(codes)
+    codes, nodes = codes[order], nodes[order]
+    begin = np.flatnonzero(np.concatenate([np.ones(1, bool), codes[1:] != codes[:-1]]))
+    several = np.minimum.reduceat(nodes, begin) != np.maximum.reduceat(nodes, begin)
+    return order[np.repeat(several, np.diff(begin, append=len(codes)))]
+
+
+def _matches(table: pa.Table) -> pa.RecordBatch:
+    """(node, start, end): from the first to the last word of a position's windows that another document has, for whole groups in order of their suffixes."""
+    key, place, low, high = (table.column(name).to_numpy() for name in ("key", "place", "low", "high"))
+    left, right = (place - low).astype(np.int64), (high - place).astype(np.int64)
+    nodes = np.frombuffer(b"".join(table.column("node").to_pylist()), np.uint64)[::2]  # half of an MD5
+    after = _word_columns(table.column("suffix"), right, LEAST_WORDS)
+    before = _word_columns(table.column("prefix"), left, WINDOW - 1)
+
+    # How many words a suffix shares with the one above it, and with the nearer of both.
+    above = np.logical_and.accumulate(after[:, 1:] == after[:, :-1], axis=0).sum(axis=0)
+    above = np.where(key[1:] == key[:-1], np.minimum(above, np.minimum(right[1:], right[:-1])), 0)
+    above = np.concatenate([np.zeros(1, np.int64), above])
+    near = np.maximum(above, np.concatenate([above[1:], np.zeros(1, np.int64)]))
+
+    most, least = np.full(len(key), -1), np.full(len(key), WINDOW)
+    shared_left = np.zeros(len(key), np.uint64)  # stands for the words on the left so far
+    for offset in range(WINDOW):  # windows that start this many words before the position
+        if offset:
+            shared_left = mix(shared_left * _BASES[0][0] + before[offset - 1])
+        rows = np.flatnonzero((left >= offset) & (near >= LEAST_WORDS - offset))
+        if not len(rows):
+            continue
+        shared_right = np.cumsum(above < LEAST_WORDS - offset).astype(np.uint64)
+        hit = rows[_shared_by_two((shared_left + shared_right * _BASES[1][0])[rows], nodes[rows])]
+        most[hit] = offset
+        least[hit] = np.minimum(least[hit], offset)
+
+    # All windows hold the position's K words, so what they cover has no gap.
+    hit = np.flatnonzero(most >= 0)
+    start, end = (place[hit] - most[hit]).astype(np.int32), (place[hit] - least[hit] + LEAST_WORDS).astype(np.int32)
+    node = table.column("node").take(pa.array(hit)).combine_chunks()
+    return pa.RecordBatch.from_arrays([node, pa.array(start), pa.array(end)], ["node", "start", "end"])
+
+
+def _within_groups(contexts: DataFrame) -> DataFrame:
+    """(node, start, end): what other documents have of the words around each position, group by group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(_matches, _whole_groups(batches))
+
+    ordered = contexts.repartition("key").sortWithinPartitions("key", "suffix")
+    return ordered.mapInArrow(run, "node binary, start int, end int")
 
 
 def _common(one: bytes, other: bytes) -> int:
     """Number of equal words at the start."""
     if one == other:
-        return one.count(_BREAK) + 1 if one else 0
+        return one.count(_BREAK)
     count = 0
     for a, b in zip(one.split(_BREAK), other.split(_BREAK), strict=False):
         if a != b:
             break
         count += 1
-    return count if one and other else 0
+    return count
 
 
 class _Neighbour:
@@ -168,8 +301,6 @@ class _Neighbour:
         return {name: self.row[name] for name in _PLACED} | {"start": self.start, "end": self.end}
 
 
-#: A position and the words from ``low`` to ``high`` that its windows reach.
-_PLACED = ("node", "key", "size", "place", "low", "high")
 _OUTCOME = "node binary, key long, size long, place int, low int, high int, start int, end int, part int, side int, suffix binary, prefix binary"
 _OUTCOME_KIND = pa.schema([("node", pa.binary()), ("key", pa.int64()), ("size", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("part", pa.int32()), ("side", pa.int32()), ("suffix", pa.binary()), ("prefix", pa.binary())])
 
@@ -230,10 +361,6 @@ def _across(ends: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, _OUTCOME)
 
 
-#: Odd multipliers of the two window hashes, and their inverses modulo 2**64.
-_BASES = [(b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-
-
 def _powers(base: int, count: int) -> np.ndarray:
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(count - 1, base, np.uint64)]))
 
@@ -260,8 +387,8 @@ def _window_hashes(contexts: DataFrame) -> DataFrame:
             columns = [batch.column(c).to_pylist() for c in ("place", "offsets", "suffix", "prefix")]
             starts, sums, counts = [], ([], []), []
             for place, offsets, suffix, prefix in zip(*columns, strict=True):
-                before = prefix.split(_BREAK)[::-1] if prefix else []
-                tokens = before + suffix.split(_BREAK)
+                before = prefix.split(_BREAK)[:-1][::-1]
+                tokens = before + suffix.split(_BREAK)[:-1]
                 wanted = np.array([k for k in range(len(tokens) - LEAST_WORDS + 1) if offsets >> (len(before) - k) & 1], np.int64)
                 counts.append(len(wanted))
                 if not len(wanted):
@@ -318,6 +445,16 @@ def _settle(contexts: DataFrame, outcomes: DataFrame) -> DataFrame:
     return found.select("node", "start", (F.col("start") + LEAST_WORDS).alias("end"))
 
 
+def _across_tasks(contexts: DataFrame) -> DataFrame:
+    """The same as ``_within_groups`` for groups of any size: matches of neighbours, and what they leave open by windows."""
+    order = ("suffix", "prefix", "node", "place")
+    outcomes = stored(_neighbours(contexts.repartitionByRange(*order).sortWithinPartitions(*order)), "outcomes")
+    inner = outcomes.where("part IS NULL")
+    outcome = (*_PLACED, "start", "end")
+    every = stored(inner.select(*outcome).union(_across(outcomes.where("part IS NOT NULL")).select(*outcome)), "compared")
+    return every.where("end IS NOT NULL").select("node", "start", "end").union(_settle(contexts, every))
+
+
 def _joined(spans: DataFrame) -> DataFrame:
     """Spans of a document that overlap or touch, as one."""
     order = Window.partitionBy("node").orderBy("start", "end")
@@ -352,21 +489,16 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     classes = stored(classes.agg(F.min("doc_id").alias("reader"), F.count("*").alias("n_copies")), "copies")
 
     read = rows.join(classes.withColumnRenamed("node", "c"), (F.col("node") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("reader")))
-    placed = read.select("doc_id", "node", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
+    placed = read.select("doc_id", "node", F.inline(F.arrays_zip("keys", "places", "lows", "highs")).alias("key", "place", "low", "high"))
     shared = placed.groupBy("key").agg(*_two_documents(), F.count("*").alias("size")).where("a <> b")
     # Stored for the same reason as in ``_settle``.
     shared = stored(shared.select("key", "size"), "shared-runs")
-    wanted = placed.join(shared, "key").groupBy("doc_id", "node").agg(F.collect_set(F.struct("key", "place", "size")).alias("wanted"))
+    wanted = placed.join(shared, "key").groupBy("doc_id", "node").agg(F.collect_set(F.struct("key", "place", "size", "low", "high")).alias("wanted"))
     wanted = wanted.select(F.col("doc_id").alias("reader"), "node", "wanted")
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("reader"))).select("node", "text", "wanted")
     contexts = _stored_small(_contexts(texts), "contexts")
 
-    order = ("suffix", "prefix", "node", "place")
-    outcomes = stored(_neighbours(contexts.repartitionByRange(*order).sortWithinPartitions(*order)), "outcomes")
-    inner = outcomes.where("part IS NULL")
-    outcome = (*_PLACED, "start", "end")
-    every = stored(inner.select(*outcome).union(_across(outcomes.where("part IS NOT NULL")).select(*outcome)), "compared")
-    spans = every.where("end IS NOT NULL").select("node", "start", "end").union(_settle(contexts, every))
+    spans = _within_groups(contexts.where(F.col("size") <= LARGE)).union(_across_tasks(contexts.where(F.col("size") > LARGE)))
     passages = stored(_joined(spans.distinct()), "passages")
 
     alone = rows.where(F.col("n_words") >= LEAST_WORDS).select("doc_id", "node", "n_words").join(classes.select("node", "n_copies"), "node")
