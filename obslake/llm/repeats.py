@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.llm.scratch import stored
-from obslake.llm.text import lower_words, mix, shingles, to_bytes, word_hashes
+from obslake.llm.text import hash_words, lower_words, mix, shingles, to_bytes
 from obslake.session import shared_folder
 
 LEAST_WORDS = 50
@@ -120,11 +120,10 @@ def _marked(docs: DataFrame) -> DataFrame:
     """Identity of the text's words, their number, and the kept positions of each document, with the words their windows reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
         for batch in batches:
             for start, texts in _texts_at_once(to_bytes(batch.column("text"))):
                 counts = np.array([len(tokens) for tokens in texts], np.int64)
-                offsets, keys, *spots = _kept(hashes.of(list(chain.from_iterable(texts))), counts)
+                offsets, keys, *spots = _kept(hash_words(list(chain.from_iterable(texts))), counts)
                 offsets = pa.array(offsets.astype(np.int32))
                 nodes = [hashlib.md5(_BREAK.join(tokens)).digest() for tokens in texts]
                 yield pa.RecordBatch.from_arrays(
@@ -202,12 +201,14 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _word_columns(contexts: pa.ChunkedArray, counts: np.ndarray, width: int) -> np.ndarray:
+def _word_columns(contexts: pa.Array | pa.ChunkedArray, counts: np.ndarray, width: int) -> np.ndarray:
     """Hashes of the contexts' words, a row for each place in a context; 0 past its ``counts``."""
-    flat = word_hashes().of(b"".join(contexts.to_pylist()).split(_BREAK)[:-1])
     columns = np.zeros((width, len(counts)), np.uint64)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-    columns[place, np.repeat(np.arange(len(counts)), counts)] = flat
+    for at in range(0, len(counts), 2000):
+        some = counts[at : at + 2000]
+        flat = hash_words(b"".join(contexts[at : at + 2000].to_pylist()).split(_BREAK)[:-1])
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(some) - some, some)
+        columns[place, np.repeat(np.arange(at, at + len(some)), some)] = flat
     return columns
 
 
@@ -365,16 +366,32 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(count - 1, base, np.uint64)]))
 
 
-def window_sums(hashes: np.ndarray) -> list[np.ndarray]:
-    """Two 64-bit hashes of every LEAST_WORDS successive words: sums of word hashes times powers."""
+def window_sums(columns: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of every LEAST_WORDS successive words down each column: sums of word hashes times powers."""
     out = []
     for base, inverse in _BASES:
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(base, len(hashes)))])
+        sums = np.cumsum(columns * _powers(base, len(columns))[:, None], axis=0)
+        sums = np.concatenate([np.zeros_like(sums[:1]), sums])
         windows = sums[LEAST_WORDS:] - sums[:-LEAST_WORDS]
-        out.append(windows * _powers(inverse, len(windows)))
+        out.append(windows * _powers(inverse, len(windows))[:, None])
     return out
 
 
+def _windows_in(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """As ``_window_hashes``, of one batch."""
+    place, low, high, offsets = (batch.column(name).to_numpy() for name in ("place", "low", "high", "offsets"))
+    left, right = (place - low).astype(np.int64), (high - place).astype(np.int64)
+    after = _word_columns(batch.column("suffix"), right, LEAST_WORDS)
+    before = _word_columns(batch.column("prefix"), left, WINDOW - 1)
+    sums = window_sums(np.concatenate([before[::-1], after]))
+    offset = np.arange(WINDOW)[::-1, None]  # of the windows in this order
+    wanted = (offsets >> offset & 1).astype(bool) & (offset <= left) & (LEAST_WORDS - offset <= right)
+    rows, windows = np.nonzero(wanted.T)
+    starts = (place[rows] - offset[windows, 0]).astype(np.int32)
+    long = [pa.array(one[windows, rows].view(np.int64)) for one in sums]
+    return pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(rows)), pa.array(starts), *long], ["node", "start", "w1", "w2"])
+
+
 def _window_hashes(contexts: DataFrame) -> DataFrame:
     """(node, start, w1, w2): a hash of those windows of the given positions whose offset is in ``offsets``.
 
@@ -382,32 +399,11 @@ def _window_hashes(contexts: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("place", "offsets", "suffix", "prefix")]
-            starts, sums, counts = [], ([], []), []
-            for place, offsets, suffix, prefix in zip(*columns, strict=True):
-                before = prefix.split(_BREAK)[:-1][::-1]
-                tokens = before + suffix.split(_BREAK)[:-1]
-                wanted = np.array([k for k in range(len(tokens) - LEAST_WORDS + 1) if offsets >> (len(before) - k) & 1], np.int64)
-                counts.append(len(wanted))
-                if not len(wanted):
-                    continue
-                # Only the words that the wanted windows reach.
-                first, last = int(wanted[0]), int(wanted[-1]) + LEAST_WORDS
-                values = window_sums(hashes.of(tokens[first:last]))
-                starts.append(wanted.astype(np.int32) + (place - len(before)))
-                for kept, value in zip(sums, values, strict=True):
-                    kept.append(value[wanted - first])
-            if any(counts):
-                rows = pa.array(np.repeat(np.arange(len(counts)), counts))
-                long = [pa.array(np.concatenate(kept).view(np.int64)) for kept in sums]
-                whole = [batch.column("node").take(rows), pa.array(np.concatenate(starts)), *long]
-                out = pa.RecordBatch.from_arrays(whole, ["node", "start", "w1", "w2"])
-                for at in range(0, out.num_rows, 20_000):
-                    yield out.slice(at, 20_000)
-
-    return contexts.select("node", "place", "offsets", "suffix", "prefix").mapInArrow(run, "node binary, start int, w1 long, w2 long")
+            for at in range(0, batch.num_rows, 1000):
+                yield _windows_in(batch.slice(at, 1000))
+
+    return contexts.select("node", "place", "low", "high", "offsets", "suffix", "prefix").mapInArrow(run, "node binary, start int, w1 long, w2 long")
 
 
 def _two_documents() -> list[Column]:

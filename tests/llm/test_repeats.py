@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from obslake.llm import repeats
 from obslake.llm.text import WordHashes, lower_words
@@ -74,6 +75,41 @@ def test_a_head_that_few_have_before_a_tail_that_all_have(spark):
     assert found(spark, docs) == brute(docs)
 
 
+def rows_stored(monkeypatch):
+    """Number of rows by purpose, of all that is stored from now on."""
+    rows, stored = defaultdict(int), repeats.stored
+
+    def counting(df, purpose):
+        table = stored(df, purpose)
+        rows[purpose] += table.count()
+        return table
+
+    monkeypatch.setattr(repeats, "stored", counting)
+    return rows
+
+
+def test_windows_are_stored_for_large_groups_only(spark, monkeypatch):
+    docs = corpus()
+    expected, rows = brute(docs), rows_stored(monkeypatch)
+    assert found(spark, docs) == expected
+    assert rows["shared-runs"] and not rows["windows"]
+    monkeypatch.setattr(repeats, "LARGE", 0)
+    assert found(spark, docs) == expected
+    assert rows["windows"]
+    monkeypatch.setattr(repeats, "LARGE", 10)
+    assert found(spark, docs) == expected
+
+
+def test_portions_end_where_a_key_does(monkeypatch):
+    monkeypatch.setattr(repeats, "_PLACES_AT_ONCE", 5)
+    keys = [1, 1, 2, 3, 3, 3, 3, 3, 3, 3, 3, 4, 5]
+    batches = [pa.RecordBatch.from_pydict({"key": keys[k : k + 2]}) for k in range(0, len(keys), 2)]
+    portions = [table.column("key").to_pylist() for table in repeats._whole_groups(iter(batches))]
+    assert [key for portion in portions for key in portion] == keys
+    assert len(portions) > 1 and all(a[-1] != b[0] for a, b in zip(portions, portions[1:], strict=False))
+    assert list(repeats._whole_groups(iter([batches[0].slice(0, 0)]))) == []
+
+
 def test_awkward_rows(spark, awkward, clashing, nothing):
     rows = sorted(map(repr, repeats.repeated_passages(awkward).collect()))
     assert rows and sorted(map(repr, repeats.repeated_passages(clashing).collect())) == rows
